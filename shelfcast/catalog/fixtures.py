@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfcast.plans.sizing import size_shuffles
 from shelfcast.sources.tables import RetailTables
 
 _SALE_KEY = """CAST(l_shipdate AS DATE) AS fecha, s_nationkey AS id_tienda,
@@ -128,6 +129,7 @@ STATEMENTS = {
   FROM {productos}""",
 }
 GIVEN_TABLES = ("lineitem", "orders", "supplier", "part", "events")
+_SIZED: set[tuple[str, str]] = set()
 _NAME = re.compile(r"{(\w+)}")
 
 
@@ -138,6 +140,10 @@ class Fixtures:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
+        sized = (spark.sparkContext.applicationId, self.sf_dir)
+        if sized not in _SIZED:
+            size_shuffles(spark, [f"{self.sf_dir}/{t}.parquet" for t in GIVEN_TABLES])
+            _SIZED.add(sized)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:

@@ -10,8 +10,7 @@ from shelfcast.functions import demand
 from shelfcast.functions.calendar import add_calendar
 from shelfcast.functions.dates import date_from_parts, days_between, iso_date
 from shelfcast.functions.ids import row_id
-from shelfcast.operators.fills import fill_missing
-from shelfcast.plans.dataset import joined_sales
+from shelfcast.plans.dataset import model_dataset
 
 
 @query("calendar_features", calendar("{ventas}"))
@@ -118,7 +117,7 @@ _TEMPERATURE = """CASE WHEN categoria = 'Bebidas'
 def _demand_inputs(fx):
     """Joined sales with weather and promotion; every other product stands for a drink."""
     drink = F.col("id_producto") % 2 == 0
-    return fill_missing(joined_sales(fx.tables)).withColumn(
+    return model_dataset(fx.tables, full_history_only=False).withColumn(
         "categoria", F.when(drink, demand.DRINKS).otherwise(F.col("categoria"))
     )
 

@@ -25,9 +25,6 @@ from shelfcast.sources.staging import new_path, stage
 from shelfcast.sources.tables import read_table
 from shelfcast.streaming.requests import quarantine_stream, read_requests, score_stream
 
-# Training is the slow part of these queries; the library default is the full forest.
-QUERY_TREES = 20
-
 FEATURE_LIST = ", ".join(FEATURES)
 _BUCKET = """(CAST('0x' || substr(md5(concat_ws('|', id_tienda, id_producto,
     strftime(fecha, '%Y-%m-%d'))), 1, 8) AS BIGINT) % 100)"""
@@ -84,7 +81,7 @@ def _trained(fx):
         dataset = stage(model_dataset(fx.tables), "dataset")
         train, _ = split_by_key(dataset)
         path = new_path(fx.spark, "model")
-        save_model(train_forest(train, trees=QUERY_TREES), path)
+        save_model(train_forest(train), path)
         _TRAINED[key] = dataset, path
     dataset, path = _TRAINED[key]
     return dataset, load_model(path)
@@ -122,7 +119,6 @@ def _(fx):
         metrics_path=paths["metrics"],
         audit_root=paths["audit"],
         run_id="r1",
-        trees=QUERY_TREES,
     )
 
 

@@ -15,17 +15,22 @@ def fill_zeros(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ZERO_FILLED})
 
 
-def fill_temperature(df: DataFrame, *, exact: bool = True) -> DataFrame:
+def fill_temperature(
+    df: DataFrame, *, over: DataFrame | None = None, exact: bool = True
+) -> DataFrame:
     """Missing temperatures become the median over all rows; without any they stay NULL.
 
-    The median is a scalar subquery: it is part of the same plan, and no job runs here.
+    ``over`` are the rows the median is taken of, ``df`` itself by default. The median is a
+    scalar subquery: it is part of the same plan, and no job runs here.
     """
     if "temperatura_media" not in df.columns:
         return df
     quantile = discrete_quantile if exact else approximate_quantile
-    median = quantile(df, "temperatura_media", 0.5).scalar()
+    median = quantile(df if over is None else over, "temperatura_media", 0.5).scalar()
     return df.withColumn("temperatura_media", F.coalesce("temperatura_media", median))
 
 
-def fill_missing(df: DataFrame, *, exact: bool = True) -> DataFrame:
-    return fill_temperature(fill_zeros(df), exact=exact)
+def fill_missing(
+    df: DataFrame, *, over: DataFrame | None = None, exact: bool = True
+) -> DataFrame:
+    return fill_temperature(fill_zeros(df), over=over, exact=exact)

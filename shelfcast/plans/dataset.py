@@ -7,30 +7,47 @@ from pyspark.sql import DataFrame
 from shelfcast.functions.calendar import add_calendar
 from shelfcast.operators.cleaning import clean_tables
 from shelfcast.operators.fills import fill_missing
-from shelfcast.operators.joins import merge_tables
+from shelfcast.operators.joins import attach, attach_promotions, measure
 from shelfcast.operators.lags import add_calendar_lags, add_row_lags, drop_short_history
 from shelfcast.schemas import DATASET_COLUMNS
-from shelfcast.sources.staging import stage
+from shelfcast.sources.staging import stage, stage_all
 from shelfcast.sources.tables import RetailTables
 
 
-def joined_sales(tables: RetailTables, *, staged: bool = True) -> DataFrame:
-    """Cleaned and joined sales. Median, group sizes and windows all read this table, so it
-    is written once instead of running the joins for each of them."""
-    joined = merge_tables(clean_tables(tables))
-    return stage(joined, "joined") if staged else joined
-
-
-def features(joined: DataFrame, *, calendar_lags: bool = False, exact: bool = True) -> DataFrame:
-    """Gaps filled, calendar and history added, all rows kept."""
-    with_calendar = add_calendar(fill_missing(joined, exact=exact))
-    add_lags = add_calendar_lags if calendar_lags else add_row_lags
-    return add_lags(with_calendar).select(*DATASET_COLUMNS)
-
-
 def model_dataset(
-    tables: RetailTables, *, staged: bool = True, calendar_lags: bool = False, exact: bool = True
+    tables: RetailTables,
+    *,
+    staged: bool = True,
+    calendar_lags: bool = False,
+    exact: bool = True,
+    full_history_only: bool = True,
 ) -> DataFrame:
-    """The 19-column dataset: one row per sale that has a history."""
-    joined = joined_sales(tables, staged=staged)
-    return drop_short_history(features(joined, calendar_lags=calendar_lags, exact=exact))
+    """The 19-column dataset: one row per sale, by default only those that have a history.
+
+    The order of the steps is chosen for the one wide shuffle, that of the history windows.
+    They need nothing but the sale, so weather and products, if each key has one row, join
+    the result of the windows, without a shuffle; calendar columns are computed there too.
+    Where keys repeat, the joins multiply rows and have to come first.
+
+    Group sizes, median and windows all read the joined sales. Staged, these are written to
+    the shared folder once; otherwise every reader runs the joins again.
+    """
+    cleaned = clean_tables(tables)
+    sales = attach_promotions(cleaned.ventas, cleaned.promociones)
+    weather, products = cleaned.clima, cleaned.productos
+    if staged:
+        sales, weather, products = stage_all(sales=sales, weather=weather, products=products)
+    dimensions = measure((weather, "fecha"), (products, "id_producto"))
+    join_late = all(d.unique for d in dimensions)
+
+    rows = sales
+    if not join_late:
+        rows = attach(sales, *dimensions)
+        rows = stage(rows, "joined") if staged else rows
+    complete = add_calendar_lags(rows) if calendar_lags else add_row_lags(rows)
+    if full_history_only:
+        complete = drop_short_history(complete)
+    if join_late:
+        complete = attach(complete, *dimensions)
+        rows = attach(rows, dimensions[0])
+    return add_calendar(fill_missing(complete, over=rows, exact=exact)).select(*DATASET_COLUMNS)

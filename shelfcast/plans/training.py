@@ -20,8 +20,6 @@ from shelfcast.sources.tables import read_model_dataset
 # The forest of the model and the share of rows it learns from.
 TREES, DEPTH, SEED = 100, 10, 42
 TRAIN_PERCENT = 80
-# More memory for node statistics means more nodes per pass over the data.
-NODE_STATISTICS_MB = 1024
 
 
 def split_bucket() -> Column:
@@ -53,15 +51,21 @@ def forest_pipeline(
         maxDepth=depth,
         seed=seed,
         featureSubsetStrategy="all",
-        maxMemoryInMB=NODE_STATISTICS_MB,
     )
     return Pipeline(stages=[assembler, forest])
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core: training computes far longer than it reads."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def train_forest(train: DataFrame, **options: int) -> PipelineModel:
-    """Fit on the features present in ``train``; the model keeps their names and order."""
+    """Fit on the features present in ``train``, best a stored table: it is read several times.
+    The model keeps the names of the features and their order."""
     features = available_features(train)
-    return forest_pipeline(features, **options).fit(select_features(train))
+    return forest_pipeline(features, **options).fit(_spread(select_features(train)))
 
 
 def model_features(model: PipelineModel) -> list[str]:

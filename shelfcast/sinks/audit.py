@@ -30,7 +30,7 @@ def create_tables(spark: SparkSession, root: str) -> None:
     """Create the audit tables that do not exist yet; existing ones are left as they are."""
     for table, schema in TABLES.items():
         empty = spark.createDataFrame([], schema)
-        empty.write.mode("ignore").parquet(table_path(root, table))
+        empty.write.mode("ignore").partitionBy("run_id").parquet(table_path(root, table))
 
 
 def read_audit(spark: SparkSession, root: str, table: str) -> DataFrame:

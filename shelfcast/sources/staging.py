@@ -7,6 +7,7 @@ the planner real sizes. The folder is the one the cluster names in ``spark.check
 from __future__ import annotations
 
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,3 +35,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_all(**tables: DataFrame) -> list[DataFrame]:
+    """Stage several tables at once, so that small ones do not wait for large ones."""
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return list(pool.map(stage, tables.values(), tables.keys()))
