@@ -71,7 +71,7 @@ def _lags_per_block(df: DataFrame, block_rows: int) -> DataFrame:
     # the tie-break is a uniform hash, so cutting its range cuts the day evenly and in order
     position = F.col("_tie") / F.lit(2.0**64) + 0.5
     rows = (
-        rows.join(crowded, day, "left")
+        rows.join(F.broadcast(crowded), day, "left")  # at most rows / block_rows days
         .withColumn("_slice", F.floor(position * F.coalesce("_slices", F.lit(1))))
         .drop("_slices")
     )
@@ -122,9 +122,11 @@ def _split_hot(df: DataFrame, max_rows: int) -> tuple[DataFrame, DataFrame | Non
     hot = hot_groups(df, max_rows)
     if hot.isEmpty():
         return df, None
-    keys = list(GROUP_KEYS)
     small = F.broadcast(hot)  # its rows times max_rows cannot exceed the table
-    return df.join(small, keys, "left_anti"), df.join(small, keys, "left_semi")
+    return tuple(
+        df.join(small, list(GROUP_KEYS), how).select(*df.columns)
+        for how in ("left_anti", "left_semi")
+    )
 
 
 def add_row_lags(
