@@ -16,8 +16,11 @@ def discrete_quantile(
     the distinct values of the one bin that holds the answer, are put in order.
     """
     value = F.col(column)
+    # The bin is tested here for both uses of the counts alike. Else the join below would
+    # add the test to one of them, and the planner could not share the aggregate.
+    valid = value.isNotNull() & ~F.isnan(value.cast("double"))
     counts = (
-        df.where(value.isNotNull() & ~F.isnan(value.cast("double")))
+        df.where(valid & F.floor(value / bin_width).isNotNull())
         .groupBy(value.alias("value"))
         .agg(F.count("*").alias("n"))
         .withColumn("bin", F.floor(F.col("value") / bin_width))

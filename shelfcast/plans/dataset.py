@@ -21,6 +21,7 @@ def model_dataset(
     calendar_lags: bool = False,
     exact: bool = True,
     full_history_only: bool = True,
+    already_clean: bool = False,
 ) -> DataFrame:
     """The 19-column dataset: one row per sale, by default only those that have a history.
 
@@ -32,7 +33,7 @@ def model_dataset(
     Group sizes, median and windows all read the joined sales. Staged, these are written to
     the shared folder once; otherwise every reader runs the joins again.
     """
-    cleaned = clean_tables(tables)
+    cleaned = tables if already_clean else clean_tables(tables)
     sales = attach_promotions(cleaned.ventas, cleaned.promociones)
     weather, products = cleaned.clima, cleaned.productos
     if staged:
