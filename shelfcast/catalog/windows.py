@@ -2,22 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
-
 from shelfcast.catalog.registry import query
 from shelfcast.catalog.sql_parts import day_history, row_history
-from shelfcast.operators.lags import (
-    add_calendar_lags,
-    add_row_lags,
-    lag,
-    rolling_mean,
-)
+from shelfcast.operators.lags import add_calendar_lags, add_row_lags
 from shelfcast.plans.dataset import model_dataset
-from shelfcast.schemas import GROUP_KEYS
-
-
-def _by_date():
-    return Window.partitionBy(*GROUP_KEYS).orderBy("fecha")
+from shelfcast.sources.staging import stage
 
 
 @query(
@@ -26,7 +15,7 @@ def _by_date():
   OVER (PARTITION BY id_tienda, id_producto ORDER BY fecha) AS lag_1 FROM {ventas}""",
 )
 def _(fx):
-    return fx["ventas"].withColumn("lag_1", lag(1, _by_date()))
+    return add_row_lags(fx["ventas"]).drop("lag_7", "media_movil_7")
 
 
 @query(
@@ -35,7 +24,7 @@ def _(fx):
   OVER (PARTITION BY id_tienda, id_producto ORDER BY fecha) AS lag_7 FROM {ventas}""",
 )
 def _(fx):
-    return fx["ventas"].withColumn("lag_7", lag(7, _by_date()))
+    return add_row_lags(fx["ventas"]).drop("lag_1", "media_movil_7")
 
 
 @query(
@@ -44,7 +33,7 @@ def _(fx):
   ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS media_movil_7 FROM {ventas}""",
 )
 def _(fx):
-    return fx["ventas"].withColumn("media_movil_7", rolling_mean(_by_date()))
+    return add_row_lags(fx["ventas"]).drop("lag_1", "lag_7")
 
 
 @query("row_lags", row_history("{ventas}"))
@@ -55,7 +44,7 @@ def _(fx):
 @query("row_lags_in_blocks", row_history("{ventas}"))
 def _(fx):
     """All groups of 30 rows and more count as hot."""
-    return add_row_lags(fx["ventas"], hot_rows=30, block_rows=10)
+    return add_row_lags(stage(fx["ventas"], "ventas"), hot_rows=30, block_rows=10)
 
 
 @query("calendar_lags", day_history("{ventas}"))
@@ -65,7 +54,7 @@ def _(fx):
 
 @query("calendar_lags_by_day", day_history("{ventas}"))
 def _(fx):
-    return add_calendar_lags(fx["ventas"], hot_rows=30)
+    return add_calendar_lags(stage(fx["ventas"], "ventas"), hot_rows=30)
 
 
 @query("calendar_lags_dense", day_history("{ventas_densas}"))

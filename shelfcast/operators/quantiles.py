@@ -5,44 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+BINS = 256
 
-def discrete_quantile(
-    df: DataFrame, column: str, q: float = 0.5, bin_width: float = 1.0
-) -> DataFrame:
+
+def discrete_quantile(df: DataFrame, column: str, q: float = 0.5) -> DataFrame:
     """One row, one column: the smallest value whose share of values up to it reaches ``q``.
 
     NULL and NaN do not count; without values the result is NULL. The column is reduced to
-    a histogram of its distinct values, then of bins of ``bin_width``; only the bins, and then
-    the distinct values of the one bin that holds the answer, are put in order.
+    counts of its distinct values, and these to 256 bins of about as many distinct values
+    each. Only the bins, and then the values of the one bin that holds the answer, are put
+    in order, whatever the distribution.
     """
     value = F.col(column)
-    # The bin is tested here for both uses of the counts alike. Else the join below would
-    # add the test to one of them, and the planner could not share the aggregate.
-    valid = value.isNotNull() & ~F.isnan(value.cast("double"))
     counts = (
-        df.where(valid & F.floor(value / bin_width).isNotNull())
+        df.where(value.isNotNull() & ~F.isnan(value.cast("double")))
         .groupBy(value.alias("value"))
         .agg(F.count("*").alias("n"))
-        .withColumn("bin", F.floor(F.col("value") / bin_width))
     )
-    everything = Window.partitionBy()
+    # Where exactly the bins begin does not matter: a bin is known by its least and largest value.
+    starts = F.percentile_approx("value", [i / BINS for i in range(1, BINS)], 10 * BINS)
+    overview = counts.agg(F.struct(starts.alias("starts"), F.sum("n").alias("total"))).scalar()
+    earlier_starts = F.filter("all.starts", lambda start: start <= F.col("value"))
     bins = (
-        counts.groupBy("bin")
-        .agg(F.sum("n").alias("n"))
-        .select(
-            "bin",
-            "n",
-            (F.sum("n").over(Window.orderBy("bin")) - F.col("n")).alias("before"),
-            F.ceil(F.sum("n").over(everything) * q).alias("rank"),
+        counts.withColumn("all", overview)
+        .groupBy(F.size(earlier_starts).alias("bin"))
+        .agg(
+            F.sum("n").alias("n"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+            F.greatest(F.ceil(F.max("all.total") * q), F.lit(1)).alias("rank"),
         )
     )
-    # rank 0 (q = 0) means the smallest value
-    target = F.greatest(F.col("rank"), F.lit(1))
-    holder = bins.where((F.col("before") < target) & (target <= F.col("before") + F.col("n")))
+    before = F.sum("n").over(Window.orderBy("low")) - F.col("n")
+    holder = bins.withColumn("before", before).where("before < rank AND rank <= before + n")
     reached = F.sum("n").over(Window.orderBy("value")) + F.col("before")
     return (
-        counts.join(F.broadcast(holder.drop("n")), "bin")  # at most one row
-        .select("value", (reached >= target).alias("reached"))
+        counts.join(
+            F.broadcast(holder.drop("n", "bin")),  # at most one row
+            F.col("value").between(F.col("low"), F.col("high")),
+        )
+        .select("value", (reached >= F.col("rank")).alias("reached"))
         .where("reached")
         .agg(F.min("value").alias(column))
     )

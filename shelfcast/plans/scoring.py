@@ -17,6 +17,7 @@ from shelfcast.operators.requests import (
 from shelfcast.plans.training import model_features
 from shelfcast.schemas import FEATURES, REQUEST_SCHEMA
 from shelfcast.sinks.audit import append_predictions
+from shelfcast.sources.staging import stage
 
 
 def predict(model: PipelineModel, requests: DataFrame) -> DataFrame:
@@ -44,6 +45,7 @@ def score_requests(
 ) -> tuple[DataFrame, DataFrame]:
     """Validate, predict and audit a batch; returns responses and rejected requests."""
     checked = check_requests(raw)
-    predicted = predict(model, valid_requests(checked))
+    # audit and response both read the predictions; the forest is run once
+    predicted = stage(predict(model, valid_requests(checked)), "predicted")
     append_predictions(predicted, audit_root, run_id=run_id)
     return response(predicted), rejected_requests(checked)

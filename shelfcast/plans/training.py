@@ -36,7 +36,7 @@ def split_by_key(df: DataFrame, percent: int = TRAIN_PERCENT) -> tuple[DataFrame
 def split_by_time(df: DataFrame, percent: int = TRAIN_PERCENT) -> tuple[DataFrame, DataFrame]:
     """Train on the days up to the cut, test on the days after it."""
     days = df.select(F.unix_date("fecha").alias("day"))
-    cut = discrete_quantile(days, "day", percent / 100, bin_width=366).scalar()
+    cut = discrete_quantile(days, "day", percent / 100).scalar()
     day = F.unix_date("fecha")
     return df.where(day <= cut), df.where(day > cut)
 

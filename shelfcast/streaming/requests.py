@@ -17,14 +17,15 @@ from shelfcast.schemas import AUDIT_PREDICTIONS, RAW_REQUEST_SCHEMA
 from shelfcast.sinks.audit import conform, prediction_rows
 
 
+FILES_PER_BATCH = 1000
+
+
 def read_requests(
-    spark: SparkSession, path: str, *, fmt: str = "json", max_files: int | None = None
+    spark: SparkSession, path: str, *, fmt: str = "json", max_files: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """Request files as a stream of checked requests."""
+    """Request files as a stream of checked requests; a backlog is read in bounded batches."""
     reader = spark.readStream.schema(RAW_REQUEST_SCHEMA).format(fmt)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return check_requests(reader.load(path))
+    return check_requests(reader.option("maxFilesPerTrigger", max_files).load(path))
 
 
 def _append(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -85,8 +85,13 @@ def test_median_takes_the_lower_middle(frame, values, median):
 @pytest.mark.parametrize("q", [0.0, 0.1, 0.5, 0.8, 1.0])
 def test_quantiles_of_any_spread(frame, q):
     rng = random.Random(q)
-    values = [rng.choice([rng.gauss(0, 1e-3), rng.gauss(0, 50), float(rng.randrange(5))])
-              for _ in range(500)]
+    draws = [
+        lambda: rng.gauss(0, 1e-3),
+        lambda: rng.gauss(0, 50),
+        lambda: float(rng.randrange(5)),
+        lambda: rng.choice([-1, 1]) * 10.0 ** rng.randrange(-300, 300),
+    ]
+    values = [rng.choice(draws)() for _ in range(2000)]
     df = frame([(v,) for v in [*values, float("nan")]], "x double")
     rank = max(1, -(-int(q * 1000) * len(values) // 1000))
     assert discrete_quantile(df, "x", q).first()[0] == sorted(values)[rank - 1]
