@@ -20,6 +20,7 @@ from shelfcast.plans.training import (
     train_job,
 )
 from shelfcast.schemas import FEATURES, SALE_KEYS
+from shelfcast.sinks.audit import read_audit
 from shelfcast.sinks.tables import write_dataset, write_table
 from shelfcast.sources.staging import new_path, stage
 from shelfcast.sources.tables import read_table
@@ -122,14 +123,31 @@ def _(fx):
     )
 
 
+# What was audited besides the prediction itself: all valid requests and no others.
+_AUDITED = f"""SELECT {FEATURE_LIST}, make_date(anio, mes, dia) AS fecha_objetivo, TRUE AS predicha
+FROM {{peticiones_revisadas}} WHERE motivos = ''"""
+
+
+def _audited(rows):
+    predicted = F.col("prediccion_unidades").isNotNull() & ~F.isnan("prediccion_unidades")
+    return rows.select(*FEATURES, "fecha_objetivo", predicted.alias("predicha"))
+
+
+@query("audited_request_batch", _AUDITED)
+def _(fx):
+    _, model = _trained(fx)
+    root = new_path(fx.spark, "audit")
+    score_requests(model, fx["peticiones"], root, run_id="r1")
+    return _audited(read_audit(fx.spark, root, "predicciones"))
+
+
 def _request_files(fx):
     path = new_path(fx.spark, "requests")
     write_table(fx["peticiones"], path, fmt="json")
     return path
 
 
-@query("score_request_stream")
-def _(fx):
+def _streamed(fx):
     _, model = _trained(fx)
     out = new_path(fx.spark, "stream-predictions")
     checked = read_requests(fx.spark, _request_files(fx))
@@ -138,6 +156,16 @@ def _(fx):
     return fx.spark.read.parquet(out)
 
 
+@query("score_request_stream")
+def _(fx):
+    return _streamed(fx)
+
+
+@query("audited_request_stream", _AUDITED)
+def _(fx):
+    return _audited(_streamed(fx))
+
+
 @query(
     "quarantine_request_stream",
     f"SELECT {FEATURE_LIST}, motivos FROM {{peticiones_revisadas}} WHERE motivos <> ''",

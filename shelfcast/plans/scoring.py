@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.operators.requests import (
+    REASONS,
     check_requests,
     model_input,
     rejected_requests,
     valid_requests,
 )
 from shelfcast.plans.training import model_features
-from shelfcast.schemas import FEATURES, REQUEST_SCHEMA
 from shelfcast.sinks.audit import append_predictions
 from shelfcast.sources.staging import stage
 
@@ -28,10 +28,13 @@ def predict(model: PipelineModel, requests: DataFrame) -> DataFrame:
 
 def predict_one(spark: SparkSession, model: PipelineModel, request: Mapping) -> float:
     """Prediction for a single request, for trying out a model."""
-    row = {name: str(value) for name, value in request.items()}
-    columns = [F.lit(row[name]).try_cast(REQUEST_SCHEMA[name].dataType).alias(name)
-               for name in FEATURES if name in row]
-    return float(predict(model, spark.range(1).select(*columns)).first().prediction)
+    features = model_features(model)
+    raw = spark.range(1).select(*(F.lit(str(v)).alias(name) for name, v in request.items()))
+    checked = check_requests(model_input(raw, features))
+    faults = [name for name in checked.first()[REASONS] if name in features]
+    if faults:
+        raise ValueError(f"invalid values for prediction: {faults}")
+    return float(predict(model, checked).first().prediction)
 
 
 def response(predicted: DataFrame) -> DataFrame:

@@ -23,8 +23,11 @@ def size_shuffles(
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
     total = files.agg(F.sum("length")).first()[0] or 0
     wanted = min(math.ceil(total / partition_bytes), MAX_PARTITIONS)
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    current = int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    setting = "spark.sql.shuffle.partitions"
+    current = int(spark.conf.get(setting))
+    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        current = int(spark.conf.get(setting, None) or current)
     if wanted > current:
-        spark.conf.set(initial, str(wanted))
+        spark.conf.set(setting, str(wanted))
     return max(wanted, current)

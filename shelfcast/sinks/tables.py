@@ -16,14 +16,15 @@ def write_table(
     writer.save(path)
 
 
-def write_dataset(df: DataFrame, path: str) -> None:
-    """The feature dataset by year and month, so that readers of a period skip the rest.
+def by_month(df: DataFrame) -> DataFrame:
+    """Rows of a month in few partitions; adaptive execution splits a month that is far larger
+    than others, which a plain repartition by month would leave to one task."""
+    return df.hint("rebalance", F.col("anio"), F.col("mes"))
+
 
-    REBALANCE gathers the rows of a month into few files, but lets adaptive execution split
-    a month that is far larger than others.
-    """
-    months = df.hint("rebalance", F.col("anio"), F.col("mes"))
-    months.write.mode("overwrite").partitionBy("anio", "mes").parquet(path)
+def write_dataset(df: DataFrame, path: str) -> None:
+    """The feature dataset by year and month, so that readers of a period skip the rest."""
+    by_month(df).write.mode("overwrite").partitionBy("anio", "mes").parquet(path)
 
 
 def write_metrics_json(metrics: DataFrame, path: str) -> None:

@@ -10,6 +10,7 @@ import tempfile
 from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _FALLBACK: dict[str, str] = {}
@@ -39,5 +40,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def stage_all(**tables: DataFrame) -> list[DataFrame]:
     """Stage several tables at once, so that small ones do not wait for large ones."""
+    write = inheritable_thread_target(stage)  # with the job group and pool of the caller
     with ThreadPoolExecutor(len(tables)) as pool:
-        return list(pool.map(stage, tables.values(), tables.keys()))
+        return list(pool.map(write, tables.values(), tables.keys()))

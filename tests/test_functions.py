@@ -117,5 +117,10 @@ def test_shuffle_size_follows_the_input(spark):
         assert spark.conf.get(key, None) is None
         assert size_shuffles(spark, paths, partition_bytes=10_000) == 12
         assert spark.conf.get(key) == "12"
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        assert size_shuffles(spark, paths, partition_bytes=5_000) == 24
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "24"
     finally:
         spark.conf.unset(key)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -146,6 +146,9 @@ def test_single_prediction_equals_batch(spark, model):
     batch = predict(model, valid_requests(check_requests(raw_requests(spark, [{}, {}]))))
     assert [r.prediction for r in batch.collect()] == [single, single]
     assert response(batch).first().prediccion_unidades_vendidas == round(single, 2)
+    assert predict_one(spark, model, {**REQUEST, "mes": 4.0}) == single
+    with pytest.raises(ValueError, match=r"invalid.*\['mes'\]"):
+        predict_one(spark, model, {**REQUEST, "mes": "abril"})
     with pytest.raises(ValueError, match="lag_1"):
         predict_one(spark, model, {k: v for k, v in REQUEST.items() if k != "lag_1"})
 

@@ -5,7 +5,7 @@ from shelfcast.catalog.fixtures import Fixtures
 from shelfcast.operators.cleaning import clean_tables
 from shelfcast.schemas import DATASET_COLUMNS, RAW_SCHEMAS
 from shelfcast.sinks import audit
-from shelfcast.sinks.tables import write_dataset, write_table
+from shelfcast.sinks.tables import by_month, write_dataset, write_table
 from shelfcast.sources.staging import new_path, stage, stage_all
 from shelfcast.sources.tables import (
     preview,
@@ -84,6 +84,7 @@ def dataset_like(spark):
 def test_dataset_is_written_by_month(spark, tmp_path):
     path = str(tmp_path / "d")
     df = dataset_like(spark)
+    assert "RebalancePartitions [anio" in by_month(df)._jdf.queryExecution().analyzed().toString()
     write_dataset(df, path)
     back = read_model_dataset(spark, path)
     assert back.count() == df.count()
