@@ -41,8 +41,31 @@ def split_by_time(df: DataFrame, percent: int = TRAIN_PERCENT) -> tuple[DataFram
     return df.where(day <= cut), df.where(day > cut)
 
 
+def _megabytes(size: str) -> int:
+    """Megabytes of a memory setting such as 512m or 8g."""
+    number, unit = size.lower().rstrip("ib").rstrip("kmgt"), size.lower().rstrip("ib")[-1]
+    scale = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}.get(unit, 1 / 1024**2)
+    return int(float(number) * scale)
+
+
+def node_statistics_mb(spark: SparkSession) -> int:
+    """Memory for the split statistics of one task: a quarter of its share of the heap, at most
+    the default of Spark ML. With less of it training takes more passes, not more memory."""
+    conf = spark.sparkContext.getConf()
+    if conf.get("spark.master", "").startswith("local"):
+        heap, tasks = conf.get("spark.driver.memory", "1g"), spark.sparkContext.defaultParallelism
+    else:
+        heap, tasks = conf.get("spark.executor.memory", "1g"), conf.get("spark.executor.cores", "1")
+    return max(16, min(256, _megabytes(heap) // (4 * int(tasks))))
+
+
 def forest_pipeline(
-    features: list[str], *, trees: int = TREES, depth: int = DEPTH, seed: int = SEED
+    features: list[str],
+    *,
+    trees: int = TREES,
+    depth: int = DEPTH,
+    seed: int = SEED,
+    statistics_mb: int = 256,
 ) -> Pipeline:
     assembler = VectorAssembler(inputCols=features, outputCol="features")
     forest = RandomForestRegressor(
@@ -51,6 +74,7 @@ def forest_pipeline(
         maxDepth=depth,
         seed=seed,
         featureSubsetStrategy="all",
+        maxMemoryInMB=statistics_mb,
     )
     return Pipeline(stages=[assembler, forest])
 
@@ -64,8 +88,9 @@ def _spread(df: DataFrame) -> DataFrame:
 def train_forest(train: DataFrame, **options: int) -> PipelineModel:
     """Fit on the features present in ``train``, best a stored table: it is read several times.
     The model keeps the names of the features and their order."""
-    features = available_features(train)
-    return forest_pipeline(features, **options).fit(_spread(select_features(train)))
+    options.setdefault("statistics_mb", node_statistics_mb(train.sparkSession))
+    pipeline = forest_pipeline(available_features(train), **options)
+    return pipeline.fit(_spread(select_features(train)))
 
 
 def model_features(model: PipelineModel) -> list[str]:

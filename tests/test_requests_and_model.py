@@ -15,9 +15,11 @@ from shelfcast.operators.requests import (
 from shelfcast.plans.dataset import model_dataset
 from shelfcast.plans.scoring import predict, predict_one, response, score_requests
 from shelfcast.plans.training import (
+    _megabytes,
     evaluate,
     load_model,
     model_features,
+    node_statistics_mb,
     save_model,
     split_by_key,
     split_by_time,
@@ -119,6 +121,12 @@ def test_splits(dataset):
     assert before.count() >= 0.8 * total
 
 
+def test_memory_settings(spark):
+    sizes = {"512m": 512, "8g": 8192, "1024k": 1, "2GB": 2048, "1t": 1024**2, str(2**30): 1024}
+    assert {size: _megabytes(size) for size in sizes} == sizes
+    assert node_statistics_mb(spark) == 256  # 8 GB for four tasks
+
+
 def test_forest_beats_the_mean(dataset, model):
     _, test = split_by_key(dataset)
     metrics = evaluate(model, test).first()
