@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import chat, mixing, sharding
+from shelfcast.llm import chat, mixing, pii, sharding
 from shelfcast.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,19 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = pii.find_spans(docs, pii.fit_redactor(docs))
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("pii_base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)],
+        F.sha2(pii.span_list("pii_base"), 256).alias("base_sha256"),
+        pii.span_list("pii_spans").alias("spans"),
+    )

@@ -29,3 +29,23 @@ def crc_bucket(doc_id: Column | str, buckets: int) -> Column:
     """crc32 of the id as text, modulo ``buckets``."""
     doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.crc32(doc_id.cast("string")) % buckets
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, rows: int, *, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """At most ``rows`` documents (doc_id, label, text) with a label in ``labels`` (doc_id,
+    label): those with the lowest hash of their id, the same in every run. A repeated id
+    counts once, with its largest label and its smallest text; null ids and labels do not."""
+    chosen = (
+        labels.where("doc_id IS NOT NULL AND label IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.max("label").alias("label"))
+        .orderBy(uniform_key("doc_id", seed=7), "doc_id")
+        .limit(rows)
+    )
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+    # the broadcast holds no more than ``rows`` pairs of numbers
+    return (
+        texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    )
