@@ -31,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from shelfcast.llm.components import components
 from shelfcast.sources.staging import stage
@@ -146,7 +147,7 @@ def _sets(n: int):
     return run
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def _shared(a: pd.Series, b: pd.Series) -> pd.Series:
     def count(x: bytes, y: bytes) -> int:
         left, right = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
