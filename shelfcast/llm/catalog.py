@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import chat, minhash, mixing, pii, sharding
+from shelfcast.llm import chat, minhash, mixing, pii, sentences, sharding, vectors
 from shelfcast.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,24 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sentences.encode_documents(read(spark, sf_dir, "documents"))
+    return encoded.select(
+        "doc_id",
+        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"),
+        F.xxhash64("ids").alias("ids_xxhash64"),
+        "n_bytes",
+        "parity",
+        "round_trip",
+    )
+
+
+@query("op3_vectors")
+def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicate_vectors(read(spark, sf_dir, "embeddings"))
+
+
 @query("op4_chat_formatting", chat.SQL)
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "\\### Assistant: </turn> ok"
