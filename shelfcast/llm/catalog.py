@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import chat, minhash, mixing, pii, sentences, sharding, vectors
-from shelfcast.llm.common import read
+from shelfcast.llm import chat, minhash, mixing, pii, sentences, sharding, toxicity, vectors
+from shelfcast.llm.common import crc_bucket, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +25,20 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_bucket("doc_id", 4) == 2
+    labels = read(spark, sf_dir, "labels").where(~held_out)
+    model = toxicity.fit_toxicity(docs, labels.select("doc_id", F.col("toxic").alias("label")))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query("op2_sentencepiece")
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = sentences.encode_documents(read(spark, sf_dir, "documents"))
