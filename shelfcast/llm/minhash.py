@@ -8,9 +8,11 @@ and a bit count, corrected for chance collisions, and weed out unlikely candidat
 left is confirmed on the full sets.
 
 Candidates are not expanded into all pairs of a bucket. Each class is first compared with the
-leader it shares most buckets with; where a bucket still holds several components after that,
-further leaders are tried, and in the end the members outside its largest component are
-compared with all others of the bucket. Pairs inside one component need no comparison.
+smallest class it shares most buckets with; what is linked to it forms a ball around it, with
+the distance of each member known. Then balls that share a bucket are compared by their
+centres. Jaccard distance is a metric, so centre distance and member distances tell which
+members could be linked at all: only those are compared one by one, and only where the balls
+are not in one component already.
 
 Semantics: a text with fewer words than a shingle is one shingle; a null text or one without
 words has the empty set and is linked with nothing. Ids are taken to be unique; rows repeated
@@ -23,7 +25,7 @@ four-bit estimate has a standard error of about 0.03; pairs within 0.14 of the t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,9 +42,11 @@ from shelfcast.sources.staging import stage
 BANDS, ROWS = 40, 6
 BITS = 4
 MARGIN = 0.14
-LEADER_ROUNDS = 3
+CLIMBS = 3
 PERCENT = 80
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
+# Distances are rounded quotients; bounds on them leave this much room.
+SLACK = 1e-9
 BLOCK = 2_048
 
 _PER_LONG = 64 // BITS
@@ -181,7 +185,6 @@ def near_duplicates(
     percent: int = PERCENT,
     bands: int = BANDS,
     rows: int = ROWS,
-    leader_rounds: int = LEADER_ROUNDS,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest id reachable over
     links of at least ``percent`` similarity) and kept (doc_id = component_id)."""
@@ -223,64 +226,77 @@ def near_duplicates(
     )
     signatures = leaders.select("rep", "packed")
 
-    def links_among(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are links: first by estimate, then on the full sets."""
+    def likely(pairs: DataFrame, slack: Column | float = 0.0) -> DataFrame:
+        """The pairs (a, b) whose estimate comes near the threshold less ``slack``."""
         signed = pairs.join(_as(signatures, "a", "packed"), "a").join(
             _as(signatures, "b", "packed"), "b"
         )
-        least = percent / 100 - MARGIN
-        likely = signed.where(
-            estimate(F.col("packed_a"), F.col("packed_b"), bands * rows) >= least
-        ).select("a", "b")
-        full = likely.join(_as(sets, "a", "shingles", "size", key="doc_id"), "a").join(
+        similarity = estimate(F.col("packed_a"), F.col("packed_b"), bands * rows)
+        return signed.where(similarity + slack >= percent / 100 - MARGIN).select(*pairs.columns)
+
+    def measured(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs with their distance on the full sets and whether they are links."""
+        full = pairs.join(_as(sets, "a", "shingles", "size", key="doc_id"), "a").join(
             _as(sets, "b", "shingles", "size", key="doc_id"), "b"
         )
-        both = F.least("size_a", "size_b") * 100 >= percent * F.greatest("size_a", "size_b")
-        shared = full.where(both).withColumn("shared", _shared("shingles_a", "shingles_b"))
+        shared = full.withColumn("shared", _shared("shingles_a", "shingles_b"))
         union = F.col("size_a") + F.col("size_b") - F.col("shared")
-        return shared.where(F.col("shared") * 100 >= percent * union).select("a", "b")
-
-    links, component, tested = None, None, None
-    for step in range(leader_rounds + 1):
-        if component is None:
-            members = buckets.withColumn("component", F.col("rep"))
-        else:
-            members = buckets.join(
-                component.withColumnRenamed("id", "rep"), "rep", "left"
-            ).withColumn("component", F.coalesce("component", "rep"))
-        members = stage(members, "minhash-members")
-        last = step == leader_rounds
-        pairs = _pairs_with_all(members) if last else _pairs_with_leader(members, step)
-        if step == 0:
-            # the leader shared in most buckets; ties by the smaller id
-            pairs = (
-                pairs.groupBy("a", "b")
-                .count()
-                .groupBy("b")
-                .agg(F.max_by("a", F.struct("count", -F.col("a"))).alias("a"))
-                .select("a", "b")
-            )
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "minhash-pairs")
-        if pairs.isEmpty():
-            if last:
-                break
-            continue
-        found = stage(links_among(pairs), "minhash-links")
-        links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        component = components(links)
+        return stage(
+            shared.select(
+                *pairs.columns,
+                (1 - F.col("shared") / union).alias("distance"),
+                (F.col("shared") * 100 >= percent * union).alias("linked"),
+            ),
+            name,
+        )
+
+    balls, links = _balls(buckets, lambda pairs: measured(likely(pairs), "minhash-near"))
+    component = components(links)
+    balls = stage(
+        balls.join(component.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
+            "component", F.coalesce("component", "rep")
+        ),
+        "minhash-balls",
+    )
+    radii = stage(
+        balls.groupBy("ball").agg(F.max("distance").alias("radius")), "minhash-radii"
+    )
+    pairs = (
+        _ball_pairs(buckets, balls)
+        .join(radii.select(F.col("ball").alias("a"), F.col("radius").alias("radius_a")), "a")
+        .join(radii.select(F.col("ball").alias("b"), F.col("radius").alias("radius_b")), "b")
+    )
+    room = F.col("radius_a") + F.col("radius_b")
+    centres = measured(stage(likely(pairs, room), "minhash-pairs"), "minhash-centres")
+    more = centres.where("linked").select("a", "b")
+    links = links.unionByName(more)
+    component = components(links)
+
+    # members of unlinked balls that the distances do not rule out
+    limit = 1 - percent / 100 + SLACK
+    open_pairs = (
+        centres.where(~F.col("linked") & (F.col("distance") <= limit + room))
+        .join(component.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
+        .join(component.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
+        .where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
+        .select(F.col("a").alias("ball_a"), F.col("b").alias("ball_b"), "distance")
+    )
+    members = balls.select("rep", "ball", F.col("distance").alias("out"))
+    inner = (
+        open_pairs.join(_renamed(members, "a"), "ball_a")
+        .where(F.col("distance") - F.col("out_a") <= limit + 1 - percent / 100)
+        .join(_renamed(members, "b"), "ball_b")
+        .where(F.col("distance") - F.col("out_a") - F.col("out_b") <= limit)
+        .select("a", "b")
+    )
+    last = measured(stage(likely(inner), "minhash-inner"), "minhash-members").where("linked")
+    component = components(links.unionByName(last.select("a", "b")))
 
     result = by_class.withColumn("_node", F.coalesce("rep", "doc_id"))
-    if component is not None:
-        result = result.join(
-            component.select(F.col("id").alias("_node"), F.col("component")), "_node", "left"
-        )
-        reached = F.coalesce("component", "_node")
-    else:
-        reached = F.col("_node")
+    result = result.join(
+        component.select(F.col("id").alias("_node"), F.col("component")), "_node", "left"
+    )
+    reached = F.coalesce("component", "_node")
     return result.select(
         "doc_id",
         "n_shingles",
@@ -303,47 +319,64 @@ def _shared_buckets(members: DataFrame) -> DataFrame:
     return members.join(several, "key")
 
 
-def _pairs_with_leader(members: DataFrame, step: int) -> DataFrame:
-    """Members of buckets with several components, each with the leader of its bucket: the
-    member first in order of component and id; in later steps the last, then one by hash."""
-    if step % 3 == 2:
-        order = F.struct(F.xxhash64("key", "rep").alias("_h"), "component", "rep")
-    else:
-        order = F.struct("component", "rep")
-    pick = F.max if step % 3 == 1 else F.min
-    heads = members.groupBy("key").agg(
-        pick(order).alias("_leader"),
-        F.min("component").alias("_low"),
-        F.max("component").alias("_high"),
+def _renamed(members: DataFrame, name: str) -> DataFrame:
+    return members.select(
+        F.col("rep").alias(name), F.col("ball").alias(f"ball_{name}"), F.col("out").alias(f"out_{name}")
     )
-    heads = stage(
-        heads.where("_low <> _high").select(
-            "key", F.col("_leader.rep").alias("_head"), F.col("_leader.component").alias("_of")
-        ),
-        "minhash-heads",
+
+
+def _balls(
+    buckets: DataFrame, measure: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (rep, ball, distance) and the links found on the way. The ball is named by its
+    centre, which is in no other ball. A class whose head has a head itself moves up to that
+    one if it is linked with it, else it stays a ball of its own."""
+    heads = stage(buckets.groupBy("key").agg(F.min("rep").alias("head")), "minhash-heads")
+    pairs = (
+        buckets.join(heads, "key")
+        .where("head < rep")
+        .groupBy("rep", "head")
+        .count()
+        .groupBy("rep")
+        .agg(F.max_by("head", F.struct("count", -F.col("head"))).alias("head"))
+        .select(F.col("head").alias("a"), F.col("rep").alias("b"))
     )
-    return (
-        members.join(heads, "key")
-        .where("component <> _of")
-        .select(F.least("rep", "_head").alias("a"), F.greatest("rep", "_head").alias("b"))
+    near = measure(pairs).where("linked").select("a", "b", "distance")
+    links, assigned = near.select("a", "b"), near
+    for _ in range(CLIMBS):
+        upper = assigned.select(F.col("b").alias("a"), F.col("a").alias("top"))
+        moving = assigned.join(upper, "a").select(F.col("top").alias("a"), "b")
+        moving = stage(moving, "minhash-moving")
+        if moving.isEmpty():
+            break
+        moved = measure(moving).where("linked").select("a", "b", "distance")
+        settled = assigned.join(moving.select("b"), "b", "left_anti")
+        links = links.unionByName(moved.select("a", "b"))
+        assigned = stage(settled.select("a", "b", "distance").unionByName(moved), "minhash-moved")
+    under = assigned.select(F.col("b").alias("a")).distinct()
+    assigned = assigned.join(under, "a", "left_anti")
+    every = buckets.select("rep").distinct()
+    balls = every.join(assigned.withColumnRenamed("b", "rep"), "rep", "left").select(
+        "rep",
+        F.coalesce("a", "rep").alias("ball"),
+        F.coalesce("distance", F.lit(0.0)).alias("distance"),
     )
+    return balls, links
 
 
-def _pairs_with_all(members: DataFrame) -> DataFrame:
-    """Of buckets with several components, the members outside the largest one, each with
-    all members of other components."""
-    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("key").agg(
-        F.max_by("component", F.struct("n", "component")).alias("_of"),
-        F.count(F.lit(1)).alias("_components"),
-    )
-    several = stage(largest.where("_components > 1").select("key", "_of"), "minhash-mixed")
-    mixed = stage(members.join(several, "key"), "minhash-mixed-members")
-    minor = mixed.where("component <> _of").select(
-        "key", F.col("rep").alias("_rep"), F.col("component").alias("_component")
+def _ball_pairs(buckets: DataFrame, balls: DataFrame) -> DataFrame:
+    """Distinct pairs a < b of balls of different components that share a bucket."""
+    inside = buckets.join(balls.select("rep", "ball", "component"), "rep")
+    entries = stage(inside.select("key", "ball", "component").distinct(), "minhash-entries")
+    several = entries.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
     )
+    several = stage(several.where("low <> high").select("key"), "minhash-mixed")
+    mixed = stage(entries.join(several, "key"), "minhash-mixed-entries")
+    other = mixed.select("key", F.col("ball").alias("_ball"), F.col("component").alias("_of"))
     return (
-        mixed.join(minor, "key")
-        .where("component <> _component")
-        .select(F.least("rep", "_rep").alias("a"), F.greatest("rep", "_rep").alias("b"))
+        mixed.join(other, "key")
+        .where("ball < _ball AND component <> _of")
+        .select(F.col("ball").alias("a"), F.col("_ball").alias("b"))
+        .distinct()
     )
