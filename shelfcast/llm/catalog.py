@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import chat, minhash, mixing, pii, sentences, sharding, toxicity, vectors
+from shelfcast.llm import bytenet, chat, minhash, mixing, pii, rules, sentences, sharding, toxicity, vectors
 from shelfcast.llm.common import crc_bucket, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,24 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.span_list("pii_base"), 256).alias("base_sha256"),
         pii.span_list("pii_spans").alias("spans"),
     )
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_bucket("doc_id", 3) == 1
+    labels = read(spark, sf_dir, "labels").where(~held_out)
+    model = bytenet.fit_quality(docs, labels.select("doc_id", F.col("quality").alias("label")))
+    return bytenet.score_quality(docs, model).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query("op10_quality_rules")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return rules.apply_rules(docs, rules.fit_rules(docs, labels))
