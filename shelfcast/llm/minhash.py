@@ -305,6 +305,21 @@ def near_duplicates(
     )
 
 
+def drop_near_duplicates(docs: DataFrame, found: DataFrame, *, doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that ``found`` (the result of ``near_duplicates``) keeps, one of
+    each set of repeated rows."""
+    gone = stage(found.where("NOT kept").select("doc_id").distinct(), "minhash-gone")
+    repeated = stage(
+        found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"),
+        "minhash-repeated",
+    )
+    kept = docs.join(gone, docs[doc_id] == gone["doc_id"], "left_anti")
+    same = docs[doc_id].eqNullSafe(repeated["doc_id"])
+    once = kept.join(repeated, same, "left_anti")
+    again = kept.join(repeated, same, "left_semi")
+    return once.unionByName(again.dropDuplicates())
+
+
 def _as(table: DataFrame, name: str, *columns: str, key: str = "rep") -> DataFrame:
     return table.select(F.col(key).alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 

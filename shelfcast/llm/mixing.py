@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import n_words, uniform_key
+from shelfcast.llm.common import WORD, n_words, uniform_key
 from shelfcast.sources.staging import stage
 
 # Weights of the sources in order, repeating; most passes over a source.
@@ -136,6 +136,40 @@ def mix_sources(
     )
 
 
+def take_mix(docs: DataFrame, mix: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``mix`` takes (made of the same rows with ``digest``): one per
+    whole pass, and one cut to its first words where the budget ends. A cut text is joined
+    by single spaces; a row of which nothing is taken goes. Columns are those of ``docs``."""
+    columns = docs.columns
+    id_, crc = F.col(doc_id).alias("_id"), F.crc32(text).alias("_crc")
+    # repeated rows are numbered on both sides, so that each takes its own share
+    rows = docs.select("*", id_, crc)
+    nth = Window.partitionBy("_id", "_crc").orderBy(F.lit(1))
+    rows = rows.withColumn("_nth", F.row_number().over(nth))
+    shares = mix.where("taken > 0").select(
+        F.col("doc_id").alias("_mid"),
+        F.col("text_crc32").alias("_mcrc"),
+        F.col("epochs").alias("_epochs"),
+        (F.col("taken") - F.col("epochs") * F.col("size")).alias("_part"),
+    )
+    numbered = Window.partitionBy("_mid", "_mcrc").orderBy(F.desc("_epochs"), F.desc("_part"))
+    shares = shares.withColumn("_mnth", F.row_number().over(numbered))
+    joined = rows.join(
+        shares,
+        F.col("_id").eqNullSafe(F.col("_mid"))
+        & F.col("_crc").eqNullSafe(F.col("_mcrc"))
+        & (F.col("_nth") == F.col("_mnth")),
+    )
+    last = F.col("_epochs") + (F.col("_part") > 0).cast("int")
+    copies = joined.withColumn("_pass", F.explode(F.sequence(F.lit(1), last)))
+    first_words = F.array_join(
+        F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, F.col("_part").cast("int")),
+        " ",
+    )
+    cut = F.when(F.col("_pass") > F.col("_epochs"), first_words).otherwise(F.col(text))
+    return copies.withColumn(text, cut).select(*columns)
+
+
 SQL = r"""
 WITH docs AS (
   SELECT doc_id, source,

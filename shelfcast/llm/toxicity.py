@@ -27,10 +27,12 @@ from collections.abc import Callable, Hashable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from shelfcast.llm.common import labelled_sample
 from shelfcast.sources.staging import stage
@@ -294,10 +296,11 @@ def _feature_batches(stems: dict[str, float]):
                 clause_features(text or "", lexicon, table)
                 for text in batch.column("text").to_pylist()
             ]
-            columns = [batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] != "text"]
-            names = [name for name in batch.schema.names if name != "text"]
             values = pa.array([list(r) for r in rows], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*columns, values], names=[*names, "features"])
+            kept = [name for name in batch.schema.names if name != "text"]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in kept), values], names=[*kept, "features"]
+            )
 
     return run
 
@@ -347,6 +350,13 @@ def fit_toxicity(
     return ToxicityModel(stems, tuple(fit_curve(x, y)))
 
 
+def _probability(features: Column, model: ToxicityModel) -> Column:
+    margin = F.lit(float(model.curve[0]))
+    for i, weight in enumerate(model.curve[1:]):
+        margin = margin + F.get(features, F.lit(i)) * float(weight)
+    return 1 / (1 + F.exp(-margin))
+
+
 def score_toxicity(
     docs: DataFrame, model: ToxicityModel, *, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -354,7 +364,18 @@ def score_toxicity(
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")
     ).mapInArrow(_feature_batches(model.stems), "doc_id long, features array<double>")
-    margin = F.lit(float(model.curve[0]))
-    for i, weight in enumerate(model.curve[1:]):
-        margin = margin + F.get("features", F.lit(i)) * float(weight)
-    return rows.select("doc_id", (1 / (1 + F.exp(-margin))).alias("score"))
+    return rows.select("doc_id", _probability(F.col("features"), model).alias("score"))
+
+
+def drop_toxic(
+    docs: DataFrame, model: ToxicityModel, *, text: str = "text", reject_from: float = 0.3
+) -> DataFrame:
+    """The rows of ``docs`` with a score below ``reject_from``, as they are."""
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        lexicon, table = Lexicon(model.stems), grammar()
+        for texts in batches:
+            yield pd.Series([clause_features(t or "", lexicon, table) for t in texts])
+
+    return docs.where(_probability(features(F.col(text)), model) < reject_from)
