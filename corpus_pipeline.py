@@ -34,8 +34,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = pii.find_spans(docs, pii.fit_redactor(docs))
-    clean = found.withColumn("text", pii.redact(F.col("text"), F.col("pii_spans")))
+    redactor = pii.fit_redactor(docs)
+    found = pii.find_spans(docs, redactor, base="__pii_base", every="__pii_spans")
+    clean = found.withColumn("text", pii.redact(F.col("text"), F.col("__pii_spans")))
     return _recount(clean).select(*docs.columns)
 
 

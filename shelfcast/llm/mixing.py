@@ -139,34 +139,35 @@ def mix_sources(
 def take_mix(docs: DataFrame, mix: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``mix`` takes (made of the same rows with ``digest``): one per
     whole pass, and one cut to its first words where the budget ends. A cut text is joined
-    by single spaces; a row of which nothing is taken goes. Columns are those of ``docs``."""
+    by single spaces; a row of which nothing is taken goes. Columns are those of ``docs``; names
+    beginning with __mix are the function's own."""
     columns = docs.columns
-    id_, crc = F.col(doc_id).alias("_id"), F.crc32(text).alias("_crc")
+    id_, crc = F.col(doc_id).alias("__mix_id"), F.crc32(text).alias("__mix_crc")
     # repeated rows are numbered on both sides, so that each takes its own share
     rows = docs.select("*", id_, crc)
-    nth = Window.partitionBy("_id", "_crc").orderBy(F.lit(1))
-    rows = rows.withColumn("_nth", F.row_number().over(nth))
+    nth = Window.partitionBy("__mix_id", "__mix_crc").orderBy(F.lit(1))
+    rows = rows.withColumn("__mix_nth", F.row_number().over(nth))
     shares = mix.where("taken > 0").select(
-        F.col("doc_id").alias("_mid"),
-        F.col("text_crc32").alias("_mcrc"),
-        F.col("epochs").alias("_epochs"),
-        (F.col("taken") - F.col("epochs") * F.col("size")).alias("_part"),
+        F.col("doc_id").alias("__mix_mid"),
+        F.col("text_crc32").alias("__mix_mcrc"),
+        F.col("epochs").alias("__mix_epochs"),
+        (F.col("taken") - F.col("epochs") * F.col("size")).alias("__mix_part"),
     )
-    numbered = Window.partitionBy("_mid", "_mcrc").orderBy(F.desc("_epochs"), F.desc("_part"))
-    shares = shares.withColumn("_mnth", F.row_number().over(numbered))
+    numbered = Window.partitionBy("__mix_mid", "__mix_mcrc").orderBy(F.desc("__mix_epochs"), F.desc("__mix_part"))
+    shares = shares.withColumn("__mix_mnth", F.row_number().over(numbered))
     joined = rows.join(
         shares,
-        F.col("_id").eqNullSafe(F.col("_mid"))
-        & F.col("_crc").eqNullSafe(F.col("_mcrc"))
-        & (F.col("_nth") == F.col("_mnth")),
+        F.col("__mix_id").eqNullSafe(F.col("__mix_mid"))
+        & F.col("__mix_crc").eqNullSafe(F.col("__mix_mcrc"))
+        & (F.col("__mix_nth") == F.col("__mix_mnth")),
     )
-    last = F.col("_epochs") + (F.col("_part") > 0).cast("int")
-    copies = joined.withColumn("_pass", F.explode(F.sequence(F.lit(1), last)))
+    last = F.col("__mix_epochs") + (F.col("__mix_part") > 0).cast("int")
+    copies = joined.withColumn("__mix_pass", F.explode(F.sequence(F.lit(1), last)))
     first_words = F.array_join(
-        F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, F.col("_part").cast("int")),
+        F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, F.col("__mix_part").cast("int")),
         " ",
     )
-    cut = F.when(F.col("_pass") > F.col("_epochs"), first_words).otherwise(F.col(text))
+    cut = F.when(F.col("__mix_pass") > F.col("__mix_epochs"), first_words).otherwise(F.col(text))
     return copies.withColumn(text, cut).select(*columns)
 
 

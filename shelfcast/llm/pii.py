@@ -355,13 +355,19 @@ def fit_redactor(
     return Redactor(model.trees, model.weights, tuple(thresholds))
 
 
-def find_spans(docs: DataFrame, redactor: Redactor, *, text: str = "text") -> DataFrame:
-    """``docs`` with pii_base and pii_spans (all spans), each an array of kind number, start
-    and end, ordered by kind and start."""
+def find_spans(
+    docs: DataFrame,
+    redactor: Redactor,
+    *,
+    text: str = "text",
+    base: str = "pii_base",
+    every: str = "pii_spans",
+) -> DataFrame:
+    """``docs`` with the columns ``base`` and ``every`` (all spans), each an array of kind
+    number, start and end, ordered by kind and start."""
     body = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumn("pii_base", base_spans(body)).withColumn(
-        "pii_spans",
-        F.array_sort(F.concat("pii_base", redactor.added_spans(body, F.col("pii_base")))),
+    return docs.withColumn(base, base_spans(body)).withColumn(
+        every, F.array_sort(F.concat(base, redactor.added_spans(body, F.col(base))))
     )
 
 
