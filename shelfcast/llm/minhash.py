@@ -279,12 +279,12 @@ def near_duplicates(
         .join(component.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
         .join(component.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
         .where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-        .select(F.col("a").alias("ball_a"), F.col("b").alias("ball_b"), "distance")
+        .select(F.col("a").alias("ball_a"), F.col("b").alias("ball_b"), "distance", "radius_b")
     )
     members = balls.select("rep", "ball", F.col("distance").alias("out"))
     inner = (
         open_pairs.join(_renamed(members, "a"), "ball_a")
-        .where(F.col("distance") - F.col("out_a") <= limit + 1 - percent / 100)
+        .where(F.col("distance") - F.col("out_a") - F.col("radius_b") <= limit)
         .join(_renamed(members, "b"), "ball_b")
         .where(F.col("distance") - F.col("out_a") - F.col("out_b") <= limit)
         .select("a", "b")
