@@ -207,7 +207,8 @@ def format_chat(
 def read_chat(formatted: DataFrame) -> DataFrame:
     """The turns (role, text) and the loss texts read back from ``formatted`` and its spans.
     Placeholders stay in the text of a turn as they stand in the body."""
-    turns = F.slice(F.split("formatted", OPEN), 2, 2**31 - 1)
+    pieces = F.split("formatted", OPEN)
+    turns = F.slice(pieces, 2, F.size(pieces))
 
     def read(turn: Column) -> Column:
         role = F.substring_index(turn, "\n", 1)
