@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,5 +51,24 @@ def labelled_sample(
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     # the broadcast holds no more than ``rows`` pairs of numbers
     return (
-        texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+        texts.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "label")
+        .agg(F.min("text").alias("text"))
     )
+
+
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str, most_bytes: int
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the texts of a slice hold about ``most_bytes``, or one text does:
+    what a task builds from a slice then stays small however long the texts are."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(False)
+        start = held = 0
+        for row, length in enumerate(lengths):
+            if row > start and held + length > most_bytes:
+                yield batch.slice(start, row - start)
+                start, held = row, 0
+            held += int(length)
+        if batch.num_rows > start:
+            yield batch.slice(start)
