@@ -278,7 +278,8 @@ def _learn_stems(sample: DataFrame) -> dict[str, float]:
         (F.col("neg") + 0.5) / (n0 - F.col("neg") + 0.5)
     )
     rows = (
-        counts.withColumn("z", (F.col("pos") / n1 - F.col("neg") / n0) / spread)
+        # what stands in every row has no spread, and says nothing
+        counts.withColumn("z", F.try_divide(F.col("pos") / n1 - F.col("neg") / n0, spread))
         .withColumn("odds", odds)
         .where((F.col("z") >= LEAST_Z) & (F.col("odds") >= LEAST_ODDS))
         .orderBy(F.desc("z"), "feature")
