@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import labelled_sample
+from shelfcast.llm.common import labelled_sample, slices
 
 # Documented parameters.
 SAMPLE_ROWS, TRAIN_CHUNKS = 4_000, 16
@@ -207,7 +207,7 @@ def fit_quality(
 
 def _scorer(model: QualityModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             if not texts:
                 continue

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Text that the Python side of an operator takes at a time; what it builds is a multiple of it.
+SLICE_BYTES = 2 * 1024 * 1024
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -58,7 +62,7 @@ def labelled_sample(
 
 
 def slices(
-    batches: Iterator[pa.RecordBatch], text: str, most_bytes: int
+    batches: Iterator[pa.RecordBatch], text: str = "text", most_bytes: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the texts of a slice hold about ``most_bytes``, or one text does:
     what a task builds from a slice then stays small however long the texts are."""

@@ -28,13 +28,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import LongType, StructType
 
+from shelfcast.llm.common import slices
 from shelfcast.llm.components import components
 from shelfcast.sources.staging import stage
 
@@ -44,7 +44,7 @@ BITS = 4
 MARGIN = 0.14
 CLIMBS = 3
 PERCENT = 80
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 # Distances are rounded quotients; bounds on them leave this much room.
 SLACK = 1e-9
 BLOCK = 2_048
@@ -112,7 +112,7 @@ def _band_keys(least: np.ndarray, rows: int) -> np.ndarray:
 def _features(n: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, multipliers = _Words(), _multipliers(bands * rows)
-        for batch in batches:
+        for batch in slices(batches):
             counts, digests, keys, packed = [], [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 found = shingles(text or b"", n, known)
@@ -141,7 +141,7 @@ def _features(n: int, bands: int, rows: int):
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             sets = [shingles(text or b"", n, known).tobytes() for text in texts]
             yield pa.RecordBatch.from_arrays(
@@ -151,13 +151,19 @@ def _sets(n: int):
     return run
 
 
-@F.pandas_udf(LongType())
-def _shared(a: pd.Series, b: pd.Series) -> pd.Series:
-    def count(x: bytes, y: bytes) -> int:
-        left, right = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        return len(np.intersect1d(left, right, assume_unique=True))
-
-    return pd.Series([count(x, y) for x, y in zip(a, b, strict=True)])
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs without their sets, with the number of shingles in both."""
+    for batch in slices(batches, "shingles_a"):
+        counts = []
+        for a, b in zip(batch.column("shingles_a"), batch.column("shingles_b"), strict=True):
+            left = np.frombuffer(a.as_buffer(), np.uint64)
+            right = np.frombuffer(b.as_buffer(), np.uint64)
+            counts.append(len(np.intersect1d(left, right, assume_unique=True)))
+        kept = [n for n in batch.schema.names if not n.startswith("shingles_")]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(n) for n in kept), pa.array(counts, pa.int64())],
+            names=[*kept, "shared"],
+        )
 
 
 def estimate(a: Column, b: Column, minima_count: int) -> Column:
@@ -239,7 +245,8 @@ def near_duplicates(
         full = pairs.join(_as(sets, "a", "shingles", "size", key="doc_id"), "a").join(
             _as(sets, "b", "shingles", "size", key="doc_id"), "b"
         )
-        shared = full.withColumn("shared", _shared("shingles_a", "shingles_b"))
+        kept = full.drop("shingles_a", "shingles_b").schema
+        shared = full.mapInArrow(_shared, StructType(kept.fields).add("shared", LongType()))
         union = F.col("size_a") + F.col("size_b") - F.col("shared")
         return stage(
             shared.select(

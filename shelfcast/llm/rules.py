@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import crc_bucket, labelled_sample
+from shelfcast.llm.common import crc_bucket, labelled_sample, slices
 
 # The base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -34,7 +34,7 @@ SAMPLE_ROWS = 4_000
 HASH_BITS = 16
 PASSES, RATE, RIDGE = 150, 0.05, 1e-6
 KEEP_FROM = 0.3
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 # Shares are small numbers; this brings margins into a useful range.
 SCALE = 40.0
 
@@ -109,7 +109,7 @@ def _prepared(batch: pa.RecordBatch, known: _Words) -> Iterator[tuple]:
 
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = _Words()
-    for batch in batches:
+    for batch in slices(batches):
         slots, shares = [], []
         for _, data, _, digests in _prepared(batch, known):
             own_slots, own_shares = [], []
@@ -228,7 +228,7 @@ def _scorer(model: RuleModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
         names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-        for batch in batches:
+        for batch in slices(batches):
             counts, probabilities = [], []
             for text, data, words, digests in _prepared(batch, known):
                 counts.append(base_counts(text, data, words, digests))

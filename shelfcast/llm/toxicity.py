@@ -29,20 +29,22 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from shelfcast.llm.common import labelled_sample
+from shelfcast.llm.common import SLICE_BYTES, labelled_sample, slices
 from shelfcast.sources.staging import stage
 
 # Documented parameters: labelled rows to learn from, size and evidence of the lexicon.
 SAMPLE_ROWS = 10_000
 MAX_STEMS, LEAST_ROWS, LEAST_SHARE, LEAST_Z, LEAST_ODDS = 2_000, 5, 0.008, 4.5, 1.5
 SHORTEST, LONGEST = 3, 8
+COUNT_ROWS = 100
 SEED_WEIGHT, THREAT_WEIGHT = 3.0, 4.0
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 # Symbols.
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, INTENT, STRONG, QUOTE, BREAK = range(10)
@@ -211,7 +213,7 @@ class ToxicityModel:
 
 
 def _word_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, "text", SLICE_BYTES // 4):
         families, found = [], []
         for text in batch.column("text").to_pylist():
             words = [w for w in TOKEN.findall((text or "").lower()) if w[0].isalpha()]
@@ -242,10 +244,14 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """Rows with and without the label per feature, summed up within the partition."""
     counts: tuple[Counter, Counter] = (Counter(), Counter())
     for batch in batches:
-        for label, found in zip(
-            batch.column("label").to_pylist(), batch.column("features").to_pylist(), strict=True
-        ):
-            counts[int(label)].update(found)
+        for at in range(0, batch.num_rows, COUNT_ROWS):
+            part = batch.slice(at, COUNT_ROWS)
+            for label in (0, 1):
+                own = part.column("features").filter(pc.equal(part.column("label"), label))
+                found = pc.value_counts(own.flatten())
+                names, times = found.field("values").to_pylist(), found.field("counts").to_pylist()
+                for name, n in zip(names, times, strict=True):
+                    counts[label][name] += n
     names = list(set(counts[0]) | set(counts[1]))
     for at in range(0, len(names), 50_000):
         part = names[at : at + 50_000]
@@ -292,7 +298,7 @@ def _learn_stems(sample: DataFrame) -> dict[str, float]:
 def _feature_batches(stems: dict[str, float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, table = Lexicon(stems), grammar()
-        for batch in batches:
+        for batch in slices(batches):
             rows = [
                 clause_features(text or "", lexicon, table)
                 for text in batch.column("text").to_pylist()
