@@ -11,8 +11,8 @@ Candidates are not expanded into all pairs of a bucket. Each class is first comp
 smallest class it shares most buckets with; what is linked to it forms a ball around it, with
 the distance of each member known. Then balls that share a bucket are compared by their
 centres. Jaccard distance is a metric, so centre distance and member distances tell which
-members could be linked at all: only those are compared one by one, and only where the balls
-are not in one component already.
+balls hold members that could be linked at all: only those are compared, in blocks, and only
+where the balls are not in one component already.
 
 Semantics: a text with fewer words than a shingle is one shingle; a null text or one without
 words has the empty set and is linked with nothing. Ids are taken to be unique; rows repeated
@@ -28,6 +28,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -48,6 +49,9 @@ KNOWN_WORDS = 100_000
 # Distances are rounded quotients; bounds on them leave this much room.
 SLACK = 1e-9
 BLOCK = 2_048
+# Balls of a bucket that are paired by a join, balls and shingles in a block beyond that.
+FEW_BALLS, BLOCK_BALLS, BLOCK_SHINGLES = 32, 256, 1 << 16
+MATRIX_COLUMNS = 8_192
 
 _PER_LONG = 64 // BITS
 
@@ -232,13 +236,13 @@ def near_duplicates(
     )
     signatures = leaders.select("rep", "packed")
 
-    def likely(pairs: DataFrame, slack: Column | float = 0.0) -> DataFrame:
-        """The pairs (a, b) whose estimate comes near the threshold less ``slack``."""
+    def likely(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose estimate comes near the threshold."""
         signed = pairs.join(_as(signatures, "a", "packed"), "a").join(
             _as(signatures, "b", "packed"), "b"
         )
         similarity = estimate(F.col("packed_a"), F.col("packed_b"), bands * rows)
-        return signed.where(similarity + slack >= percent / 100 - MARGIN).select(*pairs.columns)
+        return signed.where(similarity >= percent / 100 - MARGIN).select(*pairs.columns)
 
     def measured(pairs: DataFrame, name: str) -> DataFrame:
         """The pairs with their distance on the full sets and whether they are links."""
@@ -268,13 +272,14 @@ def near_duplicates(
     radii = stage(
         balls.groupBy("ball").agg(F.max("distance").alias("radius")), "minhash-radii"
     )
-    pairs = (
-        _ball_pairs(buckets, balls)
-        .join(radii.select(F.col("ball").alias("a"), F.col("radius").alias("radius_a")), "a")
-        .join(radii.select(F.col("ball").alias("b"), F.col("radius").alias("radius_b")), "b")
-    )
+    least = percent / 100 - MARGIN
+    about = signatures.withColumnRenamed("rep", "ball").join(radii, "ball")
+    pairs = stage(_ball_pairs(buckets, balls, about, least, bands * rows), "minhash-pairs")
+    pairs = pairs.join(
+        radii.select(F.col("ball").alias("a"), F.col("radius").alias("radius_a")), "a"
+    ).join(radii.select(F.col("ball").alias("b"), F.col("radius").alias("radius_b")), "b")
+    centres = measured(pairs, "minhash-centres")
     room = F.col("radius_a") + F.col("radius_b")
-    centres = measured(stage(likely(pairs, room), "minhash-pairs"), "minhash-centres")
     more = centres.where("linked").select("a", "b")
     links = links.unionByName(more)
     component = components(links)
@@ -286,18 +291,16 @@ def near_duplicates(
         .join(component.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
         .join(component.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
         .where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-        .select(F.col("a").alias("ball_a"), F.col("b").alias("ball_b"), "distance", "radius_b")
-    )
-    members = balls.select("rep", "ball", F.col("distance").alias("out"))
-    inner = (
-        open_pairs.join(_renamed(members, "a"), "ball_a")
-        .where(F.col("distance") - F.col("out_a") - F.col("radius_b") <= limit)
-        .join(_renamed(members, "b"), "ball_b")
-        .where(F.col("distance") - F.col("out_a") - F.col("out_b") <= limit)
         .select("a", "b")
     )
-    last = measured(stage(likely(inner), "minhash-inner"), "minhash-members").where("linked")
-    component = components(links.unionByName(last.select("a", "b")))
+    members = balls.select("rep", "ball").join(
+        component.withColumnRenamed("id", "rep"), "rep", "left"
+    )
+    members = stage(
+        members.withColumn("component", F.coalesce("component", "rep")), "minhash-inner"
+    )
+    last = _member_links(stage(open_pairs, "minhash-open"), members, sets, percent)
+    component = components(links.unionByName(last))
 
     result = by_class.withColumn("_node", F.coalesce("rep", "doc_id"))
     result = result.join(
@@ -341,12 +344,6 @@ def _shared_buckets(members: DataFrame) -> DataFrame:
     return members.join(several, "key")
 
 
-def _renamed(members: DataFrame, name: str) -> DataFrame:
-    return members.select(
-        F.col("rep").alias(name), F.col("ball").alias(f"ball_{name}"), F.col("out").alias(f"out_{name}")
-    )
-
-
 def _balls(
     buckets: DataFrame, measure: Callable[[DataFrame], DataFrame]
 ) -> tuple[DataFrame, DataFrame]:
@@ -386,19 +383,172 @@ def _balls(
     return balls, links
 
 
-def _ball_pairs(buckets: DataFrame, balls: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of balls of different components that share a bucket."""
+def _ball_pairs(
+    buckets: DataFrame, balls: DataFrame, about: DataFrame, least: float, minima_count: int
+) -> DataFrame:
+    """Distinct pairs a < b of balls of different components that share a bucket and whose
+    estimate, with the radii (``about``: ball, packed, radius) added, reaches ``least``.
+
+    A bucket of few balls is joined with itself: that makes at most FEW_BALLS pairs per entry.
+    The balls of a larger one are cut into blocks, and blocks are compared in tasks of two
+    blocks each, which return likely pairs alone."""
     inside = buckets.join(balls.select("rep", "ball", "component"), "rep")
     entries = stage(inside.select("key", "ball", "component").distinct(), "minhash-entries")
     several = entries.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.count(F.lit(1)).alias("n"),
     )
-    several = stage(several.where("low <> high").select("key"), "minhash-mixed")
-    mixed = stage(entries.join(several, "key"), "minhash-mixed-entries")
-    other = mixed.select("key", F.col("ball").alias("_ball"), F.col("component").alias("_of"))
-    return (
-        mixed.join(other, "key")
-        .where("ball < _ball AND component <> _of")
+    several = stage(several.where("low <> high").select("key", "n"), "minhash-mixed")
+    mixed = stage(
+        entries.join(several, "key").join(about, "ball"), "minhash-mixed-entries"
+    )
+    few = mixed.where(F.col("n") <= FEW_BALLS).drop("n")
+    other = few.select(*[F.col(c).alias(f"_{c}") for c in few.columns])
+    similarity = estimate(F.col("packed"), F.col("_packed"), minima_count)
+    near = (
+        few.join(other, F.col("key") == F.col("_key"))
+        .where("ball < _ball AND component <> _component")
+        .where(similarity + F.col("radius") + F.col("_radius") >= least)
         .select(F.col("ball").alias("a"), F.col("_ball").alias("b"))
-        .distinct()
     )
+    many = mixed.where(F.col("n") > FEW_BALLS).withColumn(
+        "_blocks", F.ceil(F.col("n") / BLOCK_BALLS)
+    )
+    own = F.pmod(F.xxhash64("ball"), F.col("_blocks"))
+    blocked = many.withColumn("_own", own).withColumn(
+        "_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    )
+    tasks = blocked.select(
+        "key",
+        F.least("_own", "_with").alias("i"),
+        F.greatest("_own", "_with").alias("j"),
+        "ball",
+        "component",
+        "packed",
+        "radius",
+    )
+    compared = tasks.groupBy("key", "i", "j").applyInPandas(
+        _block_pairs(least, minima_count), "a long, b long"
+    )
+    return near.unionByName(compared).distinct()
+
+
+def _block_pairs(least: float, minima_count: int):
+    chance = 1 / (1 << BITS)
+    low = np.uint64(0x1111111111111111)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        ball, component = rows["ball"].to_numpy(), rows["component"].to_numpy()
+        radius = rows["radius"].to_numpy()
+        packed = np.stack(rows["packed"].to_numpy()).view(np.uint64)
+        found = []
+        for i in range(len(rows)):
+            z = packed[i] ^ packed
+            z |= z >> np.uint64(1)
+            z |= z >> np.uint64(2)
+            unequal = np.bitwise_count(z & low).sum(axis=1)
+            similarity = (1 - unequal / minima_count - chance) / (1 - chance)
+            likely = similarity + radius + radius[i] >= least
+            likely &= (ball > ball[i]) & (component != component[i])
+            found += [(ball[i], b) for b in ball[likely]]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _member_links(
+    pairs: DataFrame, members: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
+    """Links (a, b) between members (rep, ball, component) of the balls paired in ``pairs``.
+
+    The pairs are gathered at their larger ball: its members on one side, those of its
+    partners on the other. Both sides are cut into blocks of about BLOCK_SHINGLES, and every
+    two blocks are compared in a task of their own, on the full sets. A task returns one link
+    per member and component at most, which is what components need."""
+    sizes = members.groupBy("ball").agg(F.count(F.lit(1)).alias("n"))
+    sizes = stage(sizes, "minhash-sizes")
+
+    def of(name: str) -> DataFrame:
+        return sizes.select(F.col("ball").alias(name), F.col("n").alias(f"n_{name}"))
+
+    larger = (F.col("n_a") > F.col("n_b")) | (
+        (F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b"))
+    )
+    at = pairs.join(of("a"), "a").join(of("b"), "b").select(
+        F.when(larger, F.col("a")).otherwise(F.col("b")).alias("at"),
+        F.when(larger, F.col("b")).otherwise(F.col("a")).alias("ball"),
+    )
+    centres = at.select("at").distinct().select("at", F.col("at").alias("ball"))
+    sides = stage(
+        centres.withColumn("side", F.lit(0)).unionByName(at.distinct().withColumn("side", F.lit(1))),
+        "minhash-sides",
+    )
+    measured = sets.select(F.col("doc_id").alias("rep"), "size")
+    items = stage(sides.join(members, "ball").join(measured, "rep"), "minhash-items")
+    weights = items.groupBy("at", "side").agg(F.sum("size").alias("shingles"))
+    blocks = stage(
+        weights.withColumn("blocks", F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+        .groupBy("at")
+        .agg(
+            F.max(F.when(F.col("side") == 0, F.col("blocks"))).alias("blocks_0"),
+            F.max(F.when(F.col("side") == 1, F.col("blocks"))).alias("blocks_1"),
+        ),
+        "minhash-blocks",
+    )
+    first = F.col("side") == 0
+    mine = F.when(first, F.col("blocks_0")).otherwise(F.col("blocks_1"))
+    theirs = F.when(first, F.col("blocks_1")).otherwise(F.col("blocks_0"))
+    own = F.pmod(F.xxhash64("rep"), mine)
+    placed = items.join(blocks, "at").withColumn("_own", own).withColumn(
+        "_with", F.explode(F.sequence(F.lit(0), theirs - 1))
+    )
+    tasks = placed.select(
+        "at",
+        F.when(first, F.col("_own")).otherwise(F.col("_with")).alias("i"),
+        F.when(first, F.col("_with")).otherwise(F.col("_own")).alias("j"),
+        "side",
+        "rep",
+        "component",
+    )
+    shingles_of = sets.select(F.col("doc_id").alias("rep"), "shingles")
+    return (
+        tasks.join(shingles_of, "rep")
+        .groupBy("at", "i", "j")
+        .applyInPandas(_block_links(percent), "a long, b long")
+    )
+
+
+def _block_links(percent: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        left, right = rows[rows["side"] == 0], rows[rows["side"] == 1]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        own = [[np.frombuffer(x, np.uint64) for x in side["shingles"]] for side in (left, right)]
+        size = [np.array([len(x) for x in side]) for side in own]
+        flat = [np.concatenate(side) for side in own]
+        row = [np.repeat(np.arange(len(n)), n) for n in size]
+        common = np.intersect1d(*flat)
+        shared = np.zeros((len(left), len(right)), np.int64)
+        for at in range(0, len(common), MATRIX_COLUMNS):
+            part = common[at : at + MATRIX_COLUMNS]
+            matrix = []
+            for side in (0, 1):
+                place = np.searchsorted(part, flat[side])
+                place[place == len(part)] = 0
+                hit = part[place] == flat[side]
+                m = np.zeros((len(size[side]), len(part)), np.float32)
+                m[row[side][hit], place[hit]] = 1
+                matrix.append(m)
+            shared += np.rint(matrix[0] @ matrix[1].T).astype(np.int64)
+        union = size[0][:, None] + size[1][None, :] - shared
+        linked = shared * 100 >= percent * union
+        component = [side["component"].to_numpy() for side in (left, right)]
+        linked &= component[0][:, None] != component[1][None, :]
+        found = {}
+        for i, j in zip(*np.nonzero(linked), strict=True):
+            # one link of the right member with each component on the left will do
+            found.setdefault((j, component[0][i]), (left["rep"].iat[i], right["rep"].iat[j]))
+        return pd.DataFrame(list(found.values()), columns=["a", "b"], dtype="int64")
+
+    return run

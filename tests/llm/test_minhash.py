@@ -1,6 +1,7 @@
 import random
 from itertools import combinations
 
+from shelfcast.llm import minhash
 from shelfcast.llm.components import components
 from shelfcast.llm.minhash import drop_near_duplicates, near_duplicates
 
@@ -110,6 +111,25 @@ def test_hot_group_makes_no_pairs(documents):
     assert {r.component_id for r in found} == {0}
 
 
+def test_loose_hot_group_loses_no_link(documents, monkeypatch):
+    """Copies so far apart that many are not linked with the centre: blocks compare them."""
+    monkeypatch.setattr(minhash, "FEW_BALLS", 8)
+    monkeypatch.setattr(minhash, "BLOCK_BALLS", 16)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 2_000)
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(260):
+        words = list(base)
+        for _ in range(rng.randrange(22)):
+            words[rng.randrange(150)] = f"z{rng.randrange(60)}"
+        rows.append((i, " ".join(words)))
+    expected = brute_force(rows, 2)
+    found = near_duplicates(documents(rows), n=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
+    assert len({c for _, c in expected.values()}) > 5
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(60)]
     star = [(100, i) for i in range(101, 200)] + [(300, 150)]
