@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcast.catalog.registry import query
@@ -25,7 +26,10 @@ from shelfcast.operators.summaries import (
     weather_ranges,
 )
 from shelfcast.plans.dataset import model_dataset
-from shelfcast.schemas import TARGET
+from shelfcast.schemas import SALE_KEYS, TARGET
+from shelfcast.sinks import audit
+from shelfcast.sources.staging import new_path, stage
+from shelfcast.sources.tables import preview
 
 
 @query(
@@ -201,3 +205,51 @@ def _(fx):
         .withColumn("fecha_entrenamiento", F.make_date("id", F.lit(12), F.lit(31)))
     )
     return newest_first(yearly, "fecha_entrenamiento")
+
+
+def _audit_root(fx):
+    root = new_path(fx.spark, "audit")
+    audit.create_tables(fx.spark, root)
+    return root
+
+
+@query(
+    "latest_audited_predictions",
+    "SELECT 'r2' AS run_id, least(count(*), 10) AS filas FROM {dataset}",
+)
+def _(fx):
+    """Two runs into the prediction table: the latest ten rows are of the second."""
+    root = _audit_root(fx)
+    forecast = stage(model_dataset(fx.tables).withColumn("prediction", F.col("lag_7")), "forecast")
+    for run in ("r1", "r2"):
+        audit.append_predictions(forecast, root, run_id=run)
+    rows = latest(audit.read_audit(fx.spark, root, "predicciones"), "fecha_prediccion", 10)
+    return rows.groupBy("run_id").agg(F.count("*").alias("filas"))
+
+
+@query(
+    "audited_metrics_history",
+    f"""SELECT run_id, lugar, mae, rmse, r2 FROM (SELECT {METRICS} FROM {{dataset}})
+CROSS JOIN (VALUES ('r3', 1), ('r2', 2), ('r1', 3)) t(run_id, lugar)""",
+)
+def _(fx):
+    """The evaluations of three runs in the metrics table, newest first."""
+    root = _audit_root(fx)
+    metrics = stage(forecast_metrics(model_dataset(fx.tables), TARGET, "lag_7"), "metrics")
+    for run in ("r1", "r2", "r3"):
+        audit.append_metrics(metrics, root, run_id=run)
+    history = newest_first(audit.read_audit(fx.spark, root, "metricas_modelo"), "fecha_entrenamiento")
+    place = F.row_number().over(Window.orderBy(F.desc("fecha_entrenamiento")))  # a row per run
+    return history.select("run_id", place.alias("lugar"), "mae", "rmse", "r2")
+
+
+@query(
+    "audited_dataset_first_rows",
+    """SELECT * EXCLUDE (descuento_pct), CAST(descuento_pct AS DOUBLE) AS descuento_pct,
+       'r1' AS run_id FROM {dataset} ORDER BY fecha, id_tienda, id_producto LIMIT 5""",
+)
+def _(fx):
+    root = _audit_root(fx)
+    audit.append_dataset(model_dataset(fx.tables), root, run_id="r1")
+    rows = audit.read_audit(fx.spark, root, "dataset_modelo")
+    return preview(rows, list(SALE_KEYS), 5).drop("id")

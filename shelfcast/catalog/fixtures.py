@@ -12,7 +12,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from shelfcast.plans.sizing import size_shuffles
 from shelfcast.sources.tables import RetailTables
 
 _SALE_KEY = """CAST(l_shipdate AS DATE) AS fecha, s_nationkey AS id_tienda,
@@ -103,7 +102,11 @@ STATEMENTS = {
          CASE WHEN id_producto = 5 THEN 'caro' ELSE CAST(precio_unitario AS STRING) END
            AS precio_unitario,
          CASE WHEN id_producto = 6 THEN NULL ELSE '1' END AS promocion_activa,
-         '10' AS descuento_pct, '18.5' AS temperatura_media, '0.0' AS lluvia_mm,
+         CAST(CAST(id_producto % 4 AS INT) * 5 AS STRING) AS descuento_pct,
+         CASE WHEN id_producto = 9 THEN 'NaN' WHEN id_producto = 10 THEN 'Infinity'
+              WHEN id_producto = 12 THEN '10f' WHEN id_producto = 13 THEN '1e1'
+              ELSE CAST(CAST(id_tienda + id_producto AS INT) AS STRING) END AS temperatura_media,
+         CAST(CAST(id_tienda % 3 AS INT) AS STRING) AS lluvia_mm,
          CAST(CAST(extract(year FROM fecha) AS INT) AS STRING) AS anio,
          CASE WHEN id_tienda = 7 THEN '99999999999'
               ELSE CAST(CAST(extract(month FROM fecha) AS INT) AS STRING) END AS mes,
@@ -114,16 +117,34 @@ STATEMENTS = {
          CASE WHEN id_producto = 8 THEN '' ELSE CAST(unidades_vendidas AS STRING) END
            AS media_movil_7
   FROM {ventas}""",
+    # as raw files have them: some units and discounts with decimals, some fields empty
+    "ventas_crudas": """
+  SELECT fecha, id_tienda, id_producto,
+         CASE WHEN id_producto % 9 = 0 THEN NULL WHEN id_producto % 2 = 0
+              THEN unidades_vendidas + 0.5 ELSE unidades_vendidas END AS unidades_vendidas,
+         precio_unitario FROM {ventas}""",
+    "promociones_crudas": """
+  SELECT fecha, id_tienda, id_producto, promocion_activa,
+         CASE WHEN id_producto % 9 = 0 THEN NULL
+              ELSE descuento_pct + CAST(id_producto % 4 AS DOUBLE) / 4 END AS descuento_pct
+  FROM {promociones}""",
     # two prices per product, the second only for some; product 9 has none
     "precios": """
   SELECT CAST(substr(p_brand, 7) AS INT) AS id_producto,
          CAST(min(CAST(round(p_retailprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS precio_base
   FROM {part} WHERE p_brand <> 'Brand#9' GROUP BY 1""",
+    # two sales per key, so that history is a matter of ties
+    "ventas_doble": """
+  SELECT fecha, id_tienda, id_producto, unidades_vendidas, precio_unitario FROM {ventas}
+  UNION ALL
+  SELECT fecha, id_tienda, id_producto, unidades_vendidas + 1.25 AS unidades_vendidas,
+         precio_unitario FROM {ventas}""",
     # same key, several values
     "promociones_repetidas": """
   SELECT fecha, id_tienda, id_producto, promocion_activa, descuento_pct FROM {promociones}
   UNION ALL
-  SELECT fecha, id_tienda, id_producto, promocion_activa, descuento_pct + 7 AS descuento_pct
+  SELECT fecha, id_tienda, id_producto, promocion_activa,
+         CASE WHEN id_producto % 2 = 0 THEN NULL ELSE descuento_pct + 7 END AS descuento_pct
   FROM {promociones} WHERE id_producto % 3 = 0""",
     "productos_nuevos": """
   SELECT id_producto + 20 AS id_producto, 'nuevo' AS nombre_producto, categoria
@@ -142,8 +163,6 @@ class Fixtures:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
-        if not any(self._known(name) in _SCHEMAS for name in GIVEN_TABLES):
-            size_shuffles(spark, [self._path(name) for name in GIVEN_TABLES])
 
     def _path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"

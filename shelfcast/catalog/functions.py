@@ -215,7 +215,9 @@ def _(fx):
 @query(
     "run_row_ids",
     """SELECT fecha, id_tienda, id_producto,
-       md5(concat_ws('|', 'r1', CAST(fecha AS VARCHAR), id_tienda, id_producto)) AS id,
+       md5(concat_ws('|', 'r1', '10:' || CAST(fecha AS VARCHAR),
+         length(CAST(id_tienda AS VARCHAR)) || ':' || id_tienda,
+         length(CAST(id_producto AS VARCHAR)) || ':' || id_producto)) AS id,
        TRUE AS fechado
 FROM {ventas}""",
 )

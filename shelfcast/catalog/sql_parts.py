@@ -1,5 +1,9 @@
 """DuckDB statements of the pipeline stages, the expected side of the comparisons."""
 
+from pyspark.sql.types import IntegerType
+
+from shelfcast.schemas import FEATURES, REQUEST_SCHEMA
+
 _HISTORY = """lag(unidades_vendidas, 1) OVER g AS lag_1,
          lag(unidades_vendidas, 7) OVER g AS lag_7,
          avg(unidades_vendidas) OVER (PARTITION BY id_tienda, id_producto ORDER BY fecha
@@ -79,11 +83,20 @@ PARTS = {
     "promociones_limpias": clean_promotions("{promociones}"),
     "clima_limpio": clean_weather("{clima}"),
     "productos_limpios": clean_products("{productos}"),
+    "ventas_de_crudas": clean_sales("{ventas_crudas}"),
+    "promociones_de_crudas": clean_promotions("{promociones_crudas}"),
+    "clima_de_crudas": clean_weather("{clima}"),
+    "productos_de_crudas": clean_products("{productos}"),
     "unidas": """
   SELECT * FROM {ventas_limpias} LEFT JOIN {promociones_limpias}
       USING (fecha, id_tienda, id_producto)
     LEFT JOIN {clima_limpio} USING (fecha)
     LEFT JOIN {productos_limpios} USING (id_producto)""",
+    "unidas_repetidas": """
+  SELECT v.* FROM {ventas_limpias} v LEFT JOIN (
+      SELECT fecha, id_tienda, id_producto FROM {promociones_limpias}
+      UNION ALL SELECT fecha, id_tienda, id_producto FROM {promociones_limpias})
+    USING (fecha, id_tienda, id_producto)""",
     "mediana": """
   SELECT percentile_disc(0.5) WITHIN GROUP (ORDER BY temperatura_media) AS m FROM {unidas}""",
     "rellenas": """
@@ -103,44 +116,26 @@ METRICS = """round(avg(abs(unidades_vendidas - lag_7)), 4) AS mae,
        round(sqrt(avg((unidades_vendidas - lag_7) ** 2)), 4) AS rmse,
        round(1 - avg((unidades_vendidas - lag_7) ** 2) / var_pop(unidades_vendidas), 4) AS r2"""
 
-_INTEGER_FIELDS = (
-    "id_tienda",
-    "id_producto",
-    "promocion_activa",
-    "anio",
-    "mes",
-    "dia",
-    "dia_semana",
-    "es_fin_de_semana",
-)
-_FIELDS = (
-    "id_tienda",
-    "id_producto",
-    "precio_unitario",
-    "promocion_activa",
-    "descuento_pct",
-    "temperatura_media",
-    "lluvia_mm",
-    "anio",
-    "mes",
-    "dia",
-    "dia_semana",
-    "es_fin_de_semana",
-    "lag_1",
-    "lag_7",
-    "media_movil_7",
-)
+_FIELDS = FEATURES
+_INTEGER_FIELDS = tuple(f.name for f in REQUEST_SCHEMA.fields if isinstance(f.dataType, IntegerType))
+
+
+def _number(name: str) -> str:
+    """Value of a plain decimal number; other spellings of numbers are none."""
+    plain = f"regexp_full_match(trim({name}), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')"
+    value = f"TRY_CAST({name} AS DOUBLE)"
+    return f"(CASE WHEN {plain} AND isfinite({value}) THEN {value} END)"
 
 
 def _checked(name: str) -> str:
     if name in _INTEGER_FIELDS:
-        value = f"TRY_CAST(TRY_CAST({name} AS DOUBLE) AS INTEGER)"
+        value = f"TRY_CAST({_number(name)} AS INTEGER)"
         return f"CASE WHEN {_fault(name)} IS NULL THEN {value} END AS {name}"
-    return f"TRY_CAST({name} AS DOUBLE) AS {name}"
+    return f"{_number(name)} AS {name}"
 
 
 def _fault(name: str) -> str:
-    number = f"TRY_CAST({name} AS DOUBLE)"
+    number = _number(name)
     valid = f"{number} IS NOT NULL"
     if name in _INTEGER_FIELDS:
         valid += f" AND {number} = floor({number}) AND abs({number}) < 2147483648"

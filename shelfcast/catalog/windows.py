@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from shelfcast.catalog.registry import query
 from shelfcast.catalog.sql_parts import day_history, row_history
 from shelfcast.operators.lags import add_calendar_lags, add_row_lags
@@ -54,7 +56,7 @@ def _(fx):
 
 @query("calendar_lags_by_day", day_history("{ventas}"))
 def _(fx):
-    return add_calendar_lags(stage(fx["ventas"], "ventas"), hot_rows=30)
+    return add_calendar_lags(stage(fx["ventas"], "ventas"))
 
 
 @query("calendar_lags_dense", day_history("{ventas_densas}"))
@@ -67,6 +69,19 @@ def model_dataset_query(fx):
     return model_dataset(fx.tables)
 
 
+@query(
+    "lags_whatever_is_joined",
+    "SELECT count(*) AS filas, count(*) AS iguales FROM {ventas_doble}",
+)
+def _(fx):
+    """History of tied sales with and without the columns of a weather table in the row."""
+    sales = fx["ventas_doble"]
+    plain = add_row_lags(sales)
+    wide = add_row_lags(sales.join(fx["clima"], "fecha", "left")).select(*plain.columns)
+    same = plain.intersectAll(wide).count()
+    return plain.agg(F.count("*").alias("filas")).withColumn("iguales", F.lit(same))
+
+
 @query("model_dataset_single_plan", "SELECT * FROM {dataset}")
 def _(fx):
     return model_dataset(fx.tables, staged=False)

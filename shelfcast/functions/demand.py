@@ -1,13 +1,13 @@
 """Deterministic demand and price formulas of the retail simulator.
 
-Thresholds, factors and base prices are fixed values.
+Thresholds and factors are fixed values.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Rain above this many millimetres keeps that share of the demand, wettest first.
@@ -24,23 +24,6 @@ PROMOTION_LIFT = 0.5
 # Yearly temperature curve, mean and amplitude in degrees.
 TEMPERATURE_MEAN, TEMPERATURE_SWING = 10, 8
 
-# List price by product id.
-BASE_PRICES = {
-    101: 1.50, 102: 2.30, 103: 1.80, 104: 3.50, 105: 1.25, 106: 7.50, 107: 4.00, 108: 3.20,
-    109: 8.50, 110: 5.50, 111: 2.50, 112: 1.80, 113: 1.50, 114: 2.00, 115: 1.75,
-    201: 2.00, 202: 1.50, 203: 1.75, 204: 3.50, 205: 1.80, 206: 2.20, 207: 2.30, 208: 1.90,
-    209: 1.60,
-    301: 2.50, 302: 3.00, 303: 2.75, 304: 1.20, 305: 1.80, 306: 2.50, 307: 1.40, 308: 3.20,
-    309: 8.00, 310: 2.80,
-    401: 3.25, 402: 1.00, 403: 4.50, 404: 5.00, 405: 0.75, 406: 0.90, 407: 6.00,
-    501: 3.50, 502: 2.00, 503: 1.50, 504: 4.00, 505: 3.00,
-}
-
-
-def base_price_table(spark: SparkSession) -> DataFrame:
-    """The list prices as a dimension: id_producto, precio_base."""
-    return spark.createDataFrame(list(BASE_PRICES.items()), "id_producto int, precio_base double")
-
 
 def promotion_flag(discount: Column) -> Column:
     return F.when(discount > 0, 1).otherwise(0)

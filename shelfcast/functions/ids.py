@@ -10,5 +10,7 @@ def row_id(run_id: Column | str, *columns: str) -> Column:
     """128-bit id of a row of a run. A dense serial would need a global order;
     a digest needs no coordination and is the same when a task runs again."""
     run = run_id if isinstance(run_id, Column) else F.lit(run_id)
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    texts = [F.col(c).cast("string") for c in columns]
+    # with its length before it, a value cannot run into the next, and NULL differs from ''
+    parts = [F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in texts]
     return F.md5(F.concat_ws("|", run, *parts))

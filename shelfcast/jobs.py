@@ -1,4 +1,5 @@
-"""The pipeline as jobs for spark-submit: clean, features, train, audit, score, stream.
+"""The pipeline as jobs for spark-submit: clean, features, train, audit, score, stream,
+reports.
 
     spark-submit --py-files shelfcast.zip shelfcast/jobs.py clean --raw DIR --out DIR
 
@@ -13,23 +14,33 @@ from pyspark.sql import SparkSession
 
 from shelfcast.operators.cleaning import clean_tables
 from shelfcast.operators.requests import check_requests, rejected_requests, valid_requests
+from shelfcast.operators.summaries import latest, newest_first
 from shelfcast.plans.dataset import model_dataset
 from shelfcast.plans.scoring import predict
-from shelfcast.plans.sizing import size_shuffles
+from shelfcast.plans.sizing import sized_shuffles
 from shelfcast.plans.training import TREES, load_model, train_job
-from shelfcast.schemas import RAW_REQUEST_SCHEMA, RAW_SCHEMAS
-from shelfcast.sinks.audit import append_dataset, append_predictions, create_tables
+from shelfcast.schemas import RAW_REQUEST_SCHEMA, RAW_SCHEMAS, SALE_KEYS
+from shelfcast.sinks.audit import append_dataset, append_predictions, create_tables, read_audit
 from shelfcast.sinks.tables import write_dataset, write_table
-from shelfcast.sources.tables import read_clean_tables, read_model_dataset, read_raw_tables
-from shelfcast.streaming.requests import quarantine_stream, read_requests, score_stream
-
-
-def clean_job(spark: SparkSession, raw: str, out: str, *, infer: bool = False) -> None:
+from shelfcast.sources.staging import dropping_staged, staged
+from shelfcast.sources.tables import (
+    preview,
+    read_clean_tables,
+    read_model_dataset,
+    read_raw_tables,
+)
+from shelfcast.streaming.requests import read_requests, score_stream
+
+
+def clean_job(
+    spark: SparkSession, raw: str, out: str, *, infer: bool = False, bad: str = "fail"
+) -> None:
     """``raw``/<table>.csv to ``out``/<table>."""
     paths = {name: f"{raw}/{name}.csv" for name in RAW_SCHEMAS}
-    size_shuffles(spark, list(paths.values()))
-    for name, df in clean_tables(read_raw_tables(spark, paths, infer=infer)).as_dict().items():
-        write_table(df, f"{out}/{name}")
+    tables = read_raw_tables(spark, paths, infer=infer, bad=bad)
+    with sized_shuffles(spark, list(paths.values())):
+        for name, df in clean_tables(tables).as_dict().items():
+            write_table(df, f"{out}/{name}")
 
 
 def features_job(
@@ -37,10 +48,10 @@ def features_job(
 ) -> None:
     """Cleaned tables to the feature dataset, by year and month."""
     paths = {name: f"{clean}/{name}" for name in RAW_SCHEMAS}
-    size_shuffles(spark, list(paths.values()))
     tables = read_clean_tables(spark, paths)
-    dataset = model_dataset(tables, already_clean=True, calendar_lags=calendar_lags)
-    write_dataset(dataset, out)
+    with sized_shuffles(spark, list(paths.values())):
+        dataset = model_dataset(tables, already_clean=True, calendar_lags=calendar_lags)
+        write_dataset(dataset, out)
 
 
 def audit_job(spark: SparkSession, dataset: str, root: str, *, run_id: str) -> None:
@@ -53,30 +64,40 @@ def score_job(
     spark: SparkSession, requests: str, model: str, root: str, rejected: str, *, run_id: str
 ) -> None:
     """A batch of request files into the prediction audit table; invalid requests aside."""
-    checked = check_requests(spark.read.schema(RAW_REQUEST_SCHEMA).json(requests))
+    read = check_requests(spark.read.schema(RAW_REQUEST_SCHEMA).json(requests))
     create_tables(spark, root)
-    append_predictions(predict(load_model(model), valid_requests(checked)), root, run_id=run_id)
-    write_table(rejected_requests(checked), rejected)
+    with staged(read, "requests") as checked:
+        append_predictions(predict(load_model(model), valid_requests(checked)), root, run_id=run_id)
+        write_table(rejected_requests(checked), rejected)
 
 
 def stream_job(
     spark: SparkSession,
     requests: str,
     model: str,
-    out: str,
+    root: str,
     rejected: str,
     checkpoint: str,
     *,
     run_id: str,
 ) -> None:
-    """Score the request files that have arrived since the last start."""
+    """Score the request files that have arrived since the last start into the prediction
+    audit table; invalid requests aside."""
+    create_tables(spark, root)
     checked = read_requests(spark, requests)
-    streams = [
-        score_stream(checked, load_model(model), out, f"{checkpoint}/scored", run_id=run_id),
-        quarantine_stream(checked, rejected, f"{checkpoint}/rejected"),
-    ]
-    for stream in streams:
-        stream.awaitTermination()
+    stream = score_stream(checked, load_model(model), root, rejected, checkpoint, run_id=run_id)
+    stream.awaitTermination()
+
+
+def reports_job(spark: SparkSession, root: str, out: str, *, rows: int = 10) -> None:
+    """The reports over the audit tables: latest predictions, metrics by time, first rows of
+    the dataset."""
+    predictions = read_audit(spark, root, "predicciones")
+    write_table(latest(predictions, "fecha_prediccion", rows), f"{out}/predicciones")
+    metrics = read_audit(spark, root, "metricas_modelo")
+    write_table(newest_first(metrics, "fecha_entrenamiento"), f"{out}/metricas_modelo")
+    dataset = read_audit(spark, root, "dataset_modelo")
+    write_table(preview(dataset, [*SALE_KEYS, "id"], rows), f"{out}/dataset_modelo")
 
 
 def _arguments() -> argparse.ArgumentParser:
@@ -91,14 +112,17 @@ def _arguments() -> argparse.ArgumentParser:
             sub.add_argument("--run-id", dest="run_id", required=True)
         return sub
 
-    job("clean", "raw", "out").add_argument("--infer", action="store_true")
+    clean = job("clean", "raw", "out")
+    clean.add_argument("--infer", action="store_true")
+    clean.add_argument("--bad", choices=["fail", "null"], default="fail")
     features = job("features", "clean", "out")
     features.add_argument("--calendar-lags", dest="calendar_lags", action="store_true")
     train = job("train", "dataset-path", "model-path", "metrics-path", "audit-root", run=True)
     train.add_argument("--trees", type=int, default=TREES)
     job("audit", "dataset", "root", run=True)
     job("score", "requests", "model", "root", "rejected", run=True)
-    job("stream", "requests", "model", "out", "rejected", "checkpoint", run=True)
+    job("stream", "requests", "model", "root", "rejected", "checkpoint", run=True)
+    job("reports", "root", "out").add_argument("--rows", type=int, default=10)
     return parser
 
 
@@ -109,13 +133,15 @@ JOBS = {
     "audit": audit_job,
     "score": score_job,
     "stream": stream_job,
+    "reports": reports_job,
 }
 
 
 def main(argv: list[str] | None = None) -> None:
     options = vars(_arguments().parse_args(argv))
     spark = SparkSession.builder.appName("shelfcast").getOrCreate()
-    JOBS[options.pop("job")](spark, **options)
+    with dropping_staged(spark):
+        JOBS[options.pop("job")](spark, **options)
 
 
 if __name__ == "__main__":

@@ -18,7 +18,9 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     """The first row of every key by ``order``; ties go to the smaller remaining columns.
 
     An aggregate rather than a ranking window: a hot key shrinks to one row before the
-    shuffle, and the planner knows that the keys of the result are unique.
+    shuffle, and the planner knows that the keys of the result are unique. Structs cannot be
+    kept in a hash aggregate, so it is planned as a sort aggregate with a sort before the
+    shuffle; where one column is wanted, min or max of it is cheaper.
     """
     rest = [c for c in df.columns if c not in keys]
     rank = [*order, *(c for c in rest if c not in order)]

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from shelfcast.functions.dates import days_between
-from shelfcast.operators.dedup import first_per_key
 from shelfcast.schemas import SALE_KEYS
 from shelfcast.sources.tables import RetailTables
 
@@ -86,16 +85,16 @@ def merge_tables(tables: RetailTables, limit: int = BROADCAST_BYTES) -> DataFram
 
 
 def lookup_discount(df: DataFrame, promotions: DataFrame) -> DataFrame:
-    """Discount of the first promotion of the key, 0 where there is none."""
-    discounts = first_per_key(promotions.select(*SALE_KEYS, "descuento_pct"), SALE_KEYS)
+    """Smallest discount among the promotions of the key, 0 where there is none."""
+    discounts = promotions.groupBy(*SALE_KEYS).agg(F.min("descuento_pct").alias("descuento_pct"))
     return df.join(discounts, list(SALE_KEYS), "left").withColumn(
         "descuento_pct", F.coalesce("descuento_pct", F.lit(0))
     )
 
 
 def lookup_category(df: DataFrame, products: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Category of the first catalogue row of the product; unknown products are left out."""
-    categories = first_per_key(products.select("id_producto", "categoria"), ["id_producto"])
+    """Smallest category among the rows of the product; unknown products are left out."""
+    categories = products.groupBy("id_producto").agg(F.min("categoria").alias("categoria"))
     (side,) = measure((categories, "id_producto"), limit=limit)
     return df.join(side.rows, side.key)
 

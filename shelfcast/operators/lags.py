@@ -2,8 +2,9 @@
 
 Row features look back over the previous rows of a group, calendar features over the
 previous days. A group normally is one row per day and fits one task with ease. Where keys
-repeat, a single group, or a single day of it, may hold a large share of the table; such
-groups are counted first and take a path on which no task sees more than a bounded block.
+repeat, a single group, or a single day of it, may hold a large share of the table; for row
+features such groups are counted first and take a path on which no task sees more than a
+bounded block, with the same result. Calendar features work on sums per day.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from shelfcast.schemas import GROUP_KEYS, LAG_COLUMNS, TARGET
+from shelfcast.schemas import GROUP_KEYS, LAG_COLUMNS, SALE_COLUMNS, TARGET
+from shelfcast.sources.staging import stage
 
 HISTORY = 7
 HOT_GROUP_ROWS = 5_000_000
@@ -40,16 +42,17 @@ def hot_groups(df: DataFrame, max_rows: int) -> DataFrame:
     return df.groupBy(*GROUP_KEYS).count().where(F.col("count") > max_rows).drop("count")
 
 
-def _tie_break(df: DataFrame) -> Column:
-    """Order among rows of one day: any will do, but it has to be the same on every attempt."""
-    return F.xxhash64(*df.columns)
+def _with_ties(df: DataFrame) -> DataFrame:
+    """Order among rows of one day: any will do, but it has to be the same on every attempt and
+    must not change with what has been joined to a sale. So the digest of the sale decides,
+    and only among rows of one sale, which joins with repeated keys make, that of the row."""
+    sale = [c for c in SALE_COLUMNS if c in df.columns]
+    return df.withColumns({"_tie": F.xxhash64(*sale), "_tie2": F.xxhash64(*df.columns)})
 
 
 def _lags_per_group(df: DataFrame) -> DataFrame:
-    window = Window.partitionBy(*GROUP_KEYS).orderBy("fecha", "_tie")
-    return (
-        df.withColumn("_tie", _tie_break(df)).withColumns(_row_features(window)).drop("_tie")
-    )
+    window = Window.partitionBy(*GROUP_KEYS).orderBy("fecha", "_tie", "_tie2")
+    return _with_ties(df).withColumns(_row_features(window)).drop("_tie", "_tie2")
 
 
 def _lags_per_block(df: DataFrame, block_rows: int) -> DataFrame:
@@ -60,7 +63,7 @@ def _lags_per_block(df: DataFrame, block_rows: int) -> DataFrame:
     """
     day = [*GROUP_KEYS, "fecha"]
     block = [*day, "_slice"]
-    rows = df.withColumn("_tie", _tie_break(df))
+    rows = _with_ties(df)
 
     crowded = (
         rows.groupBy(*day)
@@ -71,14 +74,14 @@ def _lags_per_block(df: DataFrame, block_rows: int) -> DataFrame:
     # the tie-break is a uniform hash, so cutting its range cuts the day evenly and in order
     position = F.col("_tie") / F.lit(2.0**64) + 0.5
     rows = (
-        rows.join(F.broadcast(crowded), day, "left")  # at most rows / block_rows days
+        rows.join(crowded, day, "left")  # small as a rule, but left to the planner
         .withColumn("_slice", F.floor(position * F.coalesce("_slices", F.lit(1))))
         .drop("_slices")
     )
 
-    latest = Window.partitionBy(*block).orderBy(F.desc("_tie"))
+    latest = Window.partitionBy(*block).orderBy(F.desc("_tie"), F.desc("_tie2"))
     tails = (
-        rows.select(*block, "_tie", TARGET)
+        rows.select(*block, "_tie", "_tie2", TARGET)
         .withColumn("_age", F.row_number().over(latest))
         .where(F.col("_age") <= HISTORY)
         .groupBy(*block)
@@ -102,12 +105,13 @@ def _lags_per_block(df: DataFrame, block_rows: int) -> DataFrame:
         .select(
             *block,
             F.col("_tie").cast("long"),
+            F.lit(0).cast("long").alias("_tie2"),
             F.col(f"_row.{TARGET}").alias(TARGET),
             F.lit(False).alias("_own"),
         )
     )
 
-    window = Window.partitionBy(*block).orderBy("_own", "_tie")
+    window = Window.partitionBy(*block).orderBy("_own", "_tie", "_tie2")
     return (
         rows.withColumn("_own", F.lit(True))
         .unionByName(prefixes, allowMissingColumns=True)
@@ -118,13 +122,14 @@ def _lags_per_block(df: DataFrame, block_rows: int) -> DataFrame:
 
 
 def _split_hot(df: DataFrame, max_rows: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary groups, and those of hot ones if there are any."""
-    hot = hot_groups(df, max_rows)
+    """Rows of ordinary groups, and those of hot ones if there are any. The hot groups are
+    found by a job of its own over ``df``, best a stored table; they are stored, so that the
+    planner sees their size and the two joins do not search for them again."""
+    hot = stage(hot_groups(df, max_rows), "hot-groups")
     if hot.isEmpty():
         return df, None
-    small = F.broadcast(hot)  # its rows times max_rows cannot exceed the table
     return tuple(
-        df.join(small, list(GROUP_KEYS), how).select(*df.columns)
+        df.join(hot, list(GROUP_KEYS), how).select(*df.columns)
         for how in ("left_anti", "left_semi")
     )
 
@@ -143,16 +148,6 @@ def _day_frame(start: int, end: int) -> WindowSpec:
     return by_day.rangeBetween(start, end)
 
 
-def _calendar_lags_per_group(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "lag_1": F.max(TARGET).over(_day_frame(-1, -1)),
-            "lag_7": F.max(TARGET).over(_day_frame(-HISTORY, -HISTORY)),
-            "media_movil_7": F.avg(TARGET).over(_day_frame(-HISTORY, -1)),
-        }
-    )
-
-
 def _calendar_lags_by_day(df: DataFrame) -> DataFrame:
     """Rows of one day share one frame, so days are summed up first and joined back."""
     day = [*GROUP_KEYS, "fecha"]
@@ -172,12 +167,13 @@ def _calendar_lags_by_day(df: DataFrame) -> DataFrame:
     return df.join(days, day, "left").select(*df.columns, *LAG_COLUMNS)
 
 
-def add_calendar_lags(df: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def add_calendar_lags(df: DataFrame) -> DataFrame:
     """The same columns by date: yesterday, seven days ago, mean of the last seven days.
-    Days without a row are no history; of repeated keys the lags take the largest value."""
-    ordinary, hot = _split_hot(df, hot_rows)
-    result = _calendar_lags_per_group(ordinary)
-    return result if hot is None else result.unionByName(_calendar_lags_by_day(hot))
+    Days without a row are no history; of repeated keys the lags take the largest value.
+
+    All groups take the one path: days are summed up before they are shuffled, so a group
+    has as many rows as it has days, however many sales."""
+    return _calendar_lags_by_day(df)
 
 
 def drop_short_history(df: DataFrame) -> DataFrame:

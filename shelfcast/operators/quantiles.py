@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 256
+from shelfcast.sources.staging import stage
 
 
 def discrete_quantile(df: DataFrame, column: str, q: float = 0.5) -> DataFrame:
     """One row, one column: the smallest value whose share of values up to it reaches ``q``.
 
     NULL and NaN do not count; without values the result is NULL. The column is reduced to
-    counts of its distinct values, and these to 256 bins of about as many distinct values
-    each. Only the bins, and then the values of the one bin that holds the answer, are put
-    in order, whatever the distribution.
+    counts of its distinct values, which are cut into ranges and stored with the number of
+    their range. Sums per range tell which one holds the answer, and only there the values
+    are put in order: no task sees more than a range, and nothing but one row per range
+    meets in one task.
     """
     value = F.col(column)
     counts = (
@@ -22,29 +23,24 @@ def discrete_quantile(df: DataFrame, column: str, q: float = 0.5) -> DataFrame:
         .groupBy(value.alias("value"))
         .agg(F.count("*").alias("n"))
     )
-    # Where exactly the bins begin does not matter: a bin is known by its least and largest value.
-    starts = F.percentile_approx("value", [i / BINS for i in range(1, BINS)], 10 * BINS)
-    overview = counts.agg(F.struct(starts.alias("starts"), F.sum("n").alias("total"))).scalar()
-    earlier_starts = F.filter("all.starts", lambda start: start <= F.col("value"))
-    bins = (
-        counts.withColumn("all", overview)
-        .groupBy(F.size(earlier_starts).alias("bin"))
-        .agg(
-            F.sum("n").alias("n"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-            F.greatest(F.ceil(F.max("all.total") * q), F.lit(1)).alias("rank"),
-        )
+    ranges = stage(
+        counts.repartitionByRange("value").withColumn("range", F.spark_partition_id()),
+        "quantile-ranges",
     )
-    before = F.sum("n").over(Window.orderBy("low")) - F.col("n")
-    holder = bins.withColumn("before", before).where("before < rank AND rank <= before + n")
-    reached = F.sum("n").over(Window.orderBy("value")) + F.col("before")
+    sums = ranges.groupBy("range").agg(F.sum("n").alias("n"))
+    upto = F.sum("n").over(Window.orderBy("range"))
+    total = F.sum("n").over(Window.partitionBy())
+    holder = (
+        sums.withColumn("before", upto - F.col("n"))
+        .withColumn("rank", F.greatest(F.ceil(total * q), F.lit(1)))
+        .where("before < rank AND rank <= before + n")
+        .drop("n")
+    )
+    inside = Window.partitionBy("range").orderBy("value")
+    reached = F.sum("n").over(inside) + F.col("before") >= F.col("rank")
     return (
-        counts.join(
-            F.broadcast(holder.drop("n", "bin")),  # at most one row
-            F.col("value").between(F.col("low"), F.col("high")),
-        )
-        .select("value", (reached >= F.col("rank")).alias("reached"))
+        ranges.join(holder, "range")
+        .select("value", reached.alias("reached"))
         .where("reached")
         .agg(F.min("value").alias(column))
     )

@@ -11,6 +11,7 @@ from pyspark.sql.types import IntegerType
 from shelfcast.schemas import FEATURES, REQUEST_SCHEMA, TARGET
 
 REASONS = "motivos"
+PLAIN_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 
@@ -35,8 +36,11 @@ def model_input(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
 
 
 def _typed(name: str, text: Column) -> tuple[Column, Column]:
-    """Value of a raw field and whether it is valid: whole numbers for integer fields."""
-    number = text.try_cast("double")
+    """Value of a raw field and whether it is valid: a plain finite number, whole for integer
+    fields. NaN, infinities and spellings such as 10f would stop the model or the batch."""
+    value = F.trim(text).try_cast("double")
+    finite = ~F.isnan(value) & (F.abs(value) < float("inf"))
+    number = F.when(F.trim(text).rlike(PLAIN_NUMBER) & finite, value)
     if isinstance(REQUEST_SCHEMA[name].dataType, IntegerType):
         whole = (number == F.floor(number)) & number.between(_INT_MIN, _INT_MAX)
         return F.when(whole, number.try_cast("int")), F.coalesce(whole, F.lit(False))

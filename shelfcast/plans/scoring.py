@@ -21,9 +21,14 @@ from shelfcast.sources.staging import stage
 
 
 def predict(model: PipelineModel, requests: DataFrame) -> DataFrame:
-    """Typed requests with their ``prediction``."""
-    inputs = model_input(requests, model_features(model))
-    return model.transform(inputs).drop("features")
+    """Typed requests with their ``prediction``; columns that are no feature, such as the id of
+    a request, are carried along."""
+    features = model_features(model)
+    model_input(requests, features)  # names what is missing
+    own = {"features", "prediction"} & set(requests.columns)
+    if own:
+        raise ValueError(f"columns reserved for the model: {sorted(own)}")
+    return model.transform(requests).drop("features")
 
 
 def predict_one(spark: SparkSession, model: PipelineModel, request: Mapping) -> float:

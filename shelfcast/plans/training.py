@@ -20,6 +20,8 @@ from shelfcast.sources.tables import read_model_dataset
 # The forest of the model and the share of rows it learns from.
 TREES, DEPTH, SEED = 100, 10, 42
 TRAIN_PERCENT = 80
+# Documented parameter: partitions of the training rows.
+TRAIN_PARTITIONS = 32
 
 
 def split_bucket() -> Column:
@@ -79,18 +81,22 @@ def forest_pipeline(
     return Pipeline(stages=[assembler, forest])
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core: training computes far longer than it reads."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+def _spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Bagging draws by partition and row, so both must follow from the data alone: rows go to
+    a fixed number of partitions by their digest and are ordered there. The model is then the
+    same whatever the partitions of the input and the number of cores."""
+    return df.repartition(partitions, *df.columns).sortWithinPartitions(*df.columns)
 
 
-def train_forest(train: DataFrame, **options: int) -> PipelineModel:
+def train_forest(
+    train: DataFrame, *, partitions: int = TRAIN_PARTITIONS, **options: int
+) -> PipelineModel:
     """Fit on the features present in ``train``, best a stored table: it is read several times.
-    The model keeps the names of the features and their order."""
+    The model keeps the names of the features and their order. It depends on ``partitions``:
+    choose it by the size of the data, not of the cluster."""
     options.setdefault("statistics_mb", node_statistics_mb(train.sparkSession))
     pipeline = forest_pipeline(available_features(train), **options)
-    return pipeline.fit(_spread(select_features(train)))
+    return pipeline.fit(_spread(select_features(train), partitions))
 
 
 def model_features(model: PipelineModel) -> list[str]:

@@ -23,20 +23,32 @@ def _struct(**columns) -> StructType:
 
 
 # Dates of raw files stay text until cleaning, so that a bad date loses one row, not the job.
+# Units and discounts may have decimals.
 RAW_SCHEMAS = {
     "ventas": _struct(
-        fecha=STRING, id_tienda=INT, id_producto=INT, unidades_vendidas=INT, precio_unitario=DOUBLE
+        fecha=STRING,
+        id_tienda=INT,
+        id_producto=INT,
+        unidades_vendidas=DOUBLE,
+        precio_unitario=DOUBLE,
     ),
     "promociones": _struct(
-        fecha=STRING, id_tienda=INT, id_producto=INT, promocion_activa=INT, descuento_pct=INT
+        fecha=STRING, id_tienda=INT, id_producto=INT, promocion_activa=INT, descuento_pct=DOUBLE
     ),
     "clima": _struct(fecha=STRING, temperatura_media=DOUBLE, lluvia_mm=DOUBLE),
     "productos": _struct(id_producto=INT, nombre_producto=STRING, categoria=STRING),
 }
 
+# Cleaned tables keep the columns; their dates are dates.
+CLEAN_SCHEMAS = {
+    name: StructType([StructField(f.name, DATE if f.name == "fecha" else f.dataType) for f in raw])
+    for name, raw in RAW_SCHEMAS.items()
+}
+
 GROUP_KEYS = ("id_tienda", "id_producto")
 SALE_KEYS = ("fecha", "id_tienda", "id_producto")
 TARGET = "unidades_vendidas"
+SALE_COLUMNS = (*SALE_KEYS, TARGET, "precio_unitario", "promocion_activa", "descuento_pct")
 LAG_COLUMNS = ("lag_1", "lag_7", "media_movil_7")
 
 DATASET_COLUMNS = (

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from shelfcast.functions.dates import date_from_parts
 from shelfcast.functions.ids import row_id
-from shelfcast.schemas import AUDIT_DATASET, AUDIT_METRICS, AUDIT_PREDICTIONS, SALE_KEYS
+from shelfcast.schemas import AUDIT_DATASET, AUDIT_METRICS, AUDIT_PREDICTIONS
 
 TABLES: dict[str, StructType] = {
     "dataset_modelo": AUDIT_DATASET,
@@ -59,9 +59,9 @@ def append_jdbc(df: DataFrame, table: str, options: dict[str, str]) -> None:
 
 
 def dataset_rows(dataset: DataFrame, run_id: str) -> DataFrame:
-    return dataset.withColumns(
-        {"run_id": F.lit(run_id), "id": row_id(run_id, *SALE_KEYS, "unidades_vendidas")}
-    )
+    """Rows may be equal in every column (a promotion that occurs twice doubles its sales), so
+    their ids are drawn. The draw has a seed per partition: a repeated task draws the same."""
+    return dataset.withColumns({"run_id": F.lit(run_id), "id": F.uuid()})
 
 
 def prediction_rows(predicted: DataFrame, run_id: str | Column) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegerType, StringType, StructType
 
 from shelfcast.functions.dates import parse_date
-from shelfcast.schemas import RAW_SCHEMAS
+from shelfcast.schemas import CLEAN_SCHEMAS, RAW_SCHEMAS
 
 
 @dataclass(frozen=True)
@@ -28,44 +29,101 @@ class RetailTables:
         return RetailTables(**{name: fn(name, df) for name, df in self.as_dict().items()})
 
 
+def _parsed(text: Column, kind: DataType) -> Column:
+    """The value of a CSV field, NULL where it cannot be read as ``kind``."""
+    if isinstance(kind, IntegerType):
+        number = F.trim(text).try_cast("double")
+        return F.when(number == F.floor(number), number.try_cast("int"))
+    if isinstance(kind, StringType):
+        return text
+    return F.trim(text).try_cast(kind.simpleString())
+
+
+def _typed(text: DataFrame, schema: StructType, bad: str, path: str) -> DataFrame:
+    """Text columns as the columns of ``schema`` that the file has, found by name."""
+    if bad not in ("fail", "null"):
+        raise ValueError("bad values either fail or become null")
+    columns = []
+    for f in schema.fields:
+        if f.name not in text.columns:
+            continue
+        field = F.col(f.name)
+        value = _parsed(field, f.dataType)
+        if bad == "fail":
+            what = F.concat(F.lit(f"{path}: column {f.name} holds no {f.dataType.simpleString()}: "), field)
+            unreadable = value.isNull() & (F.trim(field) != "")
+            value = F.when(unreadable, F.raise_error(what)).otherwise(value)
+        columns.append(value.cast(f.dataType).alias(f.name))
+    return text.select(*columns)
+
+
+def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as text, named by the header. Every file has to have the same header."""
+    return spark.read.option("header", True).option("enforceSchema", False).csv(path)
+
+
 def read_table(
     spark: SparkSession,
     path: str,
     *,
     schema: StructType | None = None,
     fmt: str = "csv",
+    bad: str = "fail",
 ) -> DataFrame:
-    """Scan one table. CSV has a header row; without a schema its types are inferred,
+    """Scan one table. CSV has a header row, and its columns may stand in any order; with a
+    schema a field that is not empty but cannot be read stops the job, or becomes NULL with
+    ``bad="null"`` (``unreadable_values`` counts them). Without a schema types are inferred,
     which costs an extra pass over the files."""
+    if fmt == "csv" and schema is not None:
+        return _typed(read_csv_text(spark, path), schema, bad, path)
     reader = spark.read
     if fmt == "csv":
-        # enforceSchema off: header names are compared with the schema instead of trusted by position
-        reader = reader.option("header", True).option("enforceSchema", schema is None)
-        if schema is None:
-            reader = reader.option("inferSchema", True)
-    if schema is not None:
+        reader = reader.option("header", True).option("inferSchema", True)
+    elif schema is not None:
         reader = reader.schema(schema)
     return reader.format(fmt).load(path)
 
 
-def read_raw_tables(
-    spark: SparkSession, paths: Mapping[str, str], *, fmt: str = "csv", infer: bool = False
+def unreadable_values(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """One row: per column of ``schema`` that the CSV has, the fields that cannot be read."""
+    text = read_csv_text(spark, path)
+    return text.agg(
+        *(
+            F.count_if(
+                (F.trim(F.col(f.name)) != "") & _parsed(F.col(f.name), f.dataType).isNull()
+            ).alias(f.name)
+            for f in schema.fields
+            if f.name in text.columns
+        )
+    )
+
+
+def _read_all(
+    spark: SparkSession, paths: Mapping[str, str], schemas: Mapping[str, StructType], **options
 ) -> RetailTables:
-    typed = fmt == "csv" and not infer
     return RetailTables(
-        **{
-            name: read_table(spark, paths[name], fmt=fmt, schema=RAW_SCHEMAS[name] if typed else None)
-            for name in RAW_SCHEMAS
-        }
+        **{name: read_table(spark, paths[name], schema=schemas.get(name), **options) for name in RAW_SCHEMAS}
     )
 
 
+def read_raw_tables(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    *,
+    fmt: str = "csv",
+    infer: bool = False,
+    bad: str = "fail",
+) -> RetailTables:
+    typed = fmt == "csv" and not infer
+    return _read_all(spark, paths, RAW_SCHEMAS if typed else {}, fmt=fmt, bad=bad)
+
+
 def read_clean_tables(
     spark: SparkSession, paths: Mapping[str, str], *, fmt: str = "parquet"
 ) -> RetailTables:
     """Cleaned tables with their dates typed, whatever the file format kept of them."""
-    raw = read_raw_tables(spark, paths, fmt=fmt)
-    return raw.map(lambda _, df: parse_date(df) if "fecha" in df.columns else df)
+    tables = _read_all(spark, paths, CLEAN_SCHEMAS if fmt == "csv" else {}, fmt=fmt)
+    return tables.map(lambda _, df: parse_date(df) if "fecha" in df.columns else df)
 
 
 def read_model_dataset(spark: SparkSession, path: str, *, fmt: str = "parquet") -> DataFrame:

@@ -1,11 +1,16 @@
 """Scoring request files as they arrive.
 
-Both queries are stateless. The file sink commits every batch once, and the checkpoint
-remembers which files were read, so a restart neither repeats nor loses a request.
+The stream is stateless. Each micro-batch is read and checked once and then split: valid
+requests are scored and appended to the prediction audit table as a run of their own,
+rejected ones go to the quarantine by batch. Both writes replace what an earlier attempt of
+the same batch has left, and the checkpoint remembers which files were read, so a restart
+neither repeats nor loses a request. Rows of other runs stay as they are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +18,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.operators.requests import check_requests, rejected_requests, valid_requests
 from shelfcast.plans.scoring import predict
-from shelfcast.schemas import AUDIT_PREDICTIONS, RAW_REQUEST_SCHEMA
-from shelfcast.sinks.audit import conform, prediction_rows
-
+from shelfcast.schemas import RAW_REQUEST_SCHEMA
+from shelfcast.sinks.audit import append_predictions
+from shelfcast.sources.staging import staged
 
 FILES_PER_BATCH = 1000
+BATCH = "lote"
 
 
 def read_requests(
@@ -28,25 +34,43 @@ def read_requests(
     return check_requests(reader.option("maxFilesPerTrigger", max_files).load(path))
 
 
-def _append(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
+def write_rejected(rejected: DataFrame, path: str, batch: str) -> None:
+    """Rejected requests with the names of their invalid fields, under the name of the batch."""
+    (
+        rejected.withColumn(BATCH, F.lit(batch))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BATCH)
+        .parquet(path)
     )
 
 
-def score_stream(
-    checked: DataFrame, model: PipelineModel, path: str, checkpoint: str, *, run_id: str
-) -> StreamingQuery:
-    """Predictions of the valid requests, in the layout of the prediction audit table."""
-    predicted = predict(model, valid_requests(checked))
-    rows = conform(prediction_rows(predicted, F.lit(run_id)), AUDIT_PREDICTIONS)
-    return _append(rows, path, checkpoint)
+def _each_batch(
+    model: PipelineModel, audit_root: str, rejected_path: str, run_id: str
+) -> Callable[[DataFrame, int], None]:
+    def process(checked: DataFrame, batch: int) -> None:
+        run = f"{run_id}-{batch}"
+        with staged(checked, "request-batch") as stored:  # the requests are read once
+            append_predictions(predict(model, valid_requests(stored)), audit_root, run_id=run)
+            write_rejected(rejected_requests(stored), rejected_path, run)
 
+    return process
 
-def quarantine_stream(checked: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Rejected requests with the names of their invalid fields."""
-    return _append(rejected_requests(checked), path, checkpoint)
+
+def score_stream(
+    checked: DataFrame,
+    model: PipelineModel,
+    audit_root: str,
+    rejected_path: str,
+    checkpoint: str,
+    *,
+    run_id: str,
+) -> StreamingQuery:
+    """Predictions of the valid requests into the audit table of ``audit_root`` as the runs
+    ``run_id``-0, -1, ...; rejected requests to ``rejected_path``."""
+    return (
+        checked.writeStream.foreachBatch(_each_batch(model, audit_root, rejected_path, run_id))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -7,16 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from shelfcast.catalog import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-UNCHECKED = {
-    "forest_evaluation",
-    "forest_predictions",
-    "score_request_batch",
-    "score_request_stream",
-    "train_job",
-}
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -31,8 +24,9 @@ def comparable(columns, rows):
     return sorted(tuple(repr(row[i]) for i in order) for row in rows)
 
 
-def test_every_query_has_sql_but_the_model_ones():
-    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) == UNCHECKED
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
@@ -41,10 +35,10 @@ def test_entry(spark):
     assert len(df.columns) == 19 and df.count() == 4215
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, name):
-    df = entry_point.queries()[name](spark, SF_DIR)
-    result = duck.execute(entry_point.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    result = duck.execute(ORACLES[name])
     columns = [c[0] for c in result.description]
     assert sorted(df.columns) == sorted(columns)
     assert comparable(df.columns, df.collect()) == comparable(columns, result.fetchall())

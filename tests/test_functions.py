@@ -15,7 +15,7 @@ from shelfcast.operators.summaries import (
     newest_first,
     promotion_share,
 )
-from shelfcast.plans.sizing import size_shuffles
+from shelfcast.plans.sizing import sized_shuffles, wanted_partitions
 
 
 def test_calendar(frame, rows):
@@ -69,16 +69,12 @@ def test_price_and_seasons(spark, frame):
     assert [r[1] for r in got] == [5] * 5 + [2] * 6 + [5]
 
 
-def test_base_prices(spark):
-    table = demand.base_price_table(spark)
-    assert table.count() == 46
-    assert table.where("id_producto = 503").first().precio_base == 1.5
-
-
 def test_row_ids_are_repeatable_and_tell_nulls_apart(frame):
-    df = frame([(1, None), (1, "a"), (2, "a")], "k int, v string")
+    df = frame([(1, None), (1, ""), (1, "a"), (2, "a"), (1, "-")], "k int, v string")
     first = [r[0] for r in df.select(row_id("r", "k", "v")).collect()]
-    assert len(set(first)) == 3
+    assert len(set(first)) == 5
+    pairs = frame([("a|1:b", "c"), ("a", "b|1:c")], "k string, v string")
+    assert pairs.select(row_id("r", "k", "v")).distinct().count() == 2
     assert first == [r[0] for r in df.select(row_id("r", "k", "v")).collect()]
     assert first != [r[0] for r in df.select(row_id("s", "k", "v")).collect()]
 
@@ -112,15 +108,16 @@ def test_latest(frame):
 def test_shuffle_size_follows_the_input(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     paths = ["/root/testdata/sf0.001/lineitem.parquet"]
+    with sized_shuffles(spark, paths) as n:
+        assert n == 4 and spark.conf.get(key, None) is None
+    with sized_shuffles(spark, paths, partition_bytes=10_000) as n:
+        assert n == 12 and spark.conf.get(key) == "12"
+    assert spark.conf.get(key, None) is None
     try:
-        assert size_shuffles(spark, paths) == 4
-        assert spark.conf.get(key, None) is None
-        assert size_shuffles(spark, paths, partition_bytes=10_000) == 12
-        assert spark.conf.get(key) == "12"
         spark.conf.set("spark.sql.adaptive.enabled", "false")
-        assert size_shuffles(spark, paths, partition_bytes=5_000) == 24
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "24"
+        with sized_shuffles(spark, paths, partition_bytes=5_000):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "24"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
     finally:
-        spark.conf.unset(key)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert wanted_partitions(spark, paths, 1) > 100_000  # no upper bound

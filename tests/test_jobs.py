@@ -1,26 +1,24 @@
 import json
+from pathlib import Path
+
+from pyspark.sql import functions as F
 
 from shelfcast import jobs
 from shelfcast.catalog.fixtures import Fixtures
 from shelfcast.plans.dataset import model_dataset
-from shelfcast.schemas import DATASET_COLUMNS, FEATURES, RAW_SCHEMAS
+from shelfcast.schemas import DATASET_COLUMNS, FEATURES
 from shelfcast.sinks import audit
 from shelfcast.sinks.tables import write_table
-from shelfcast.sources.tables import read_model_dataset
+from shelfcast.sources.tables import RetailTables, read_model_dataset
 
 
 def test_pipeline_from_csv_files_to_predictions(spark, tmp_path, rows):
     at = lambda name: str(tmp_path / name)
     tables = Fixtures(spark, "/root/testdata/sf0.001").tables
-    typed = tables.map(
-        lambda name, df: df.selectExpr(
-            *(
-                f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
-                for f in RAW_SCHEMAS[name].fields
-            )
-        )
-    )
-    for name, df in typed.as_dict().items():
+    # decimals, and columns in another order than the schema has
+    halves = tables.ventas.withColumn("unidades_vendidas", F.col("unidades_vendidas") + 0.5)
+    tables = RetailTables(halves, tables.promociones, tables.clima, tables.productos)
+    for name, df in tables.map(lambda _, df: df.select(*reversed(df.columns))).as_dict().items():
         write_table(df, f"{at('raw')}/{name}.csv", fmt="csv")
 
     jobs.main(["clean", "--raw", at("raw"), "--out", at("clean")])
@@ -46,11 +44,17 @@ def test_pipeline_from_csv_files_to_predictions(spark, tmp_path, rows):
     scoring = ["--requests", at("requests"), "--model", at("model"), "--run-id", "p"]
     jobs.main(["score", *scoring, "--root", at("audit"), "--rejected", at("bad")])
     jobs.main(
-        ["stream", *scoring, "--out", at("live"), "--rejected", at("live-bad"), "--checkpoint",
+        ["stream", *scoring, "--root", at("audit"), "--rejected", at("live-bad"), "--checkpoint",
          at("marks")]
     )
-    batch = audit.read_audit(spark, at("audit"), "predicciones")
-    live = spark.read.parquet(at("live"))
-    assert batch.count() == live.count() == 1
-    assert batch.first().prediccion_unidades == live.first().prediccion_unidades
+    stored = audit.read_audit(spark, at("audit"), "predicciones")
+    by_run = {r.run_id: r.prediccion_unidades for r in stored.collect()}
+    assert set(by_run) == {"p", "p-0"} and by_run["p"] == by_run["p-0"]
     assert spark.read.parquet(at("bad")).count() == spark.read.parquet(at("live-bad")).count() == 1
+
+    jobs.main(["reports", "--root", at("audit"), "--out", at("reports"), "--rows", "3"])
+    counts = {n: spark.read.parquet(f"{at('reports')}/{n}").count() for n in audit.TABLES}
+    assert counts == {"dataset_modelo": 3, "predicciones": 2, "metricas_modelo": 1}
+    # nothing that the jobs staged is left
+    staged = Path(spark.conf.get("spark.checkpoint.dir")) / "shelfcast"
+    assert not [p for p in staged.glob("*") if p.name.startswith(("requests-", "request-batch-"))]

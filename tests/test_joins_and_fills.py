@@ -35,7 +35,7 @@ def tables(frame):
             "precio_unitario double",
         ),
         promociones=frame(
-            [(DAY, 1, 1, 1, 10), (DAY, 1, 1, 1, 20)],
+            [(DAY, 1, 1, 1, 10), (DAY, 1, 1, 1, 20), (NEXT, 2, 1, 1, None), (NEXT, 2, 1, 1, 20)],
             "fecha date, id_tienda int, id_producto int, promocion_activa int, descuento_pct int",
         ),
         clima=frame(
@@ -51,7 +51,7 @@ def tables(frame):
 def test_merge_keeps_sales_and_multiplies_repeated_keys(tables):
     merged = merge_tables(tables)
     assert merged.columns == list(DATASET_COLUMNS[:11])
-    assert merged.count() == 4
+    assert merged.count() == 5
     assert merged.where("id_producto = 2").first().nombre_producto is None
 
 
@@ -62,7 +62,8 @@ def test_fills(tables, rows):
     assert rows(filled) == [
         (1, DAY, 1, 10, 9.5, 0.0),
         (1, DAY, 1, 20, 9.5, 0.0),
-        (1, NEXT, 0, 0, 9.5, 0.0),
+        (1, NEXT, 1, 0, 9.5, 0.0),
+        (1, NEXT, 1, 20, 9.5, 0.0),
         (2, DAY, 0, 0, 9.5, 0.0),
     ]
     assert dict(filled.dtypes)["descuento_pct"] == "int"
@@ -117,7 +118,7 @@ def test_dimensions_are_measured(frame):
 def test_lookups(tables, frame, rows):
     sales = tables.ventas.select("fecha", "id_tienda", "id_producto")
     discounts = lookup_discount(sales, tables.promociones).select("id_producto", "descuento_pct")
-    assert rows(discounts) == [(1, 0), (1, 10), (2, 0)]
+    assert rows(discounts) == [(1, 10), (1, 20), (2, 0)]  # NULL is no discount
     assert rows(lookup_category(sales, tables.productos).select("id_producto", "categoria")) == [
         (1, "Panaderia"),
         (1, "Panaderia"),
@@ -164,3 +165,23 @@ def test_dataset_is_the_same_whichever_way_it_is_joined(spark, rows, staged, rep
         assert got.where("id_producto = 3").select("categoria").distinct().count() == 2
     else:
         assert rows(got) == rows(model_dataset(t))
+
+
+def test_a_repeated_day_without_sales_changes_nothing(spark, rows):
+    """Repeated sale keys, so that the lags are a matter of the order of ties."""
+    fx = Fixtures(spark, "/root/testdata/sf0.001")
+    t = fx.tables
+    far = t.clima.limit(1).withColumn("fecha", F.lit(datetime.date(2030, 1, 1)))
+    plain, repeated = (
+        model_dataset(RetailTables(fx["ventas_doble"], t.promociones, weather, t.productos))
+        for weather in (t.clima.unionByName(far), t.clima.unionByName(far).unionByName(
+            far.withColumn("lluvia_mm", F.lit(99.0))))
+    )
+    assert rows(plain) == rows(repeated)
+
+
+def test_median_orders_ranges_not_the_table(frame):
+    df = frame([(float(i % 997),) for i in range(5000)], "x double")
+    plan = discrete_quantile(df, "x")._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and "value#" in line]
+    assert windows and all("[range#" in line for line in windows)

@@ -30,24 +30,24 @@ from shelfcast.schemas import FEATURES, RAW_REQUEST_SCHEMA, TARGET
 from shelfcast.sinks import audit
 from shelfcast.sinks.tables import write_dataset
 from shelfcast.sources.staging import stage
-from shelfcast.streaming.requests import quarantine_stream, read_requests, score_stream
+from shelfcast.streaming.requests import read_requests, score_stream
 
 REQUEST = {
-    "id_tienda": 1,
-    "id_producto": 11,
-    "precio_unitario": 2.5,
-    "promocion_activa": 1,
-    "descuento_pct": 10,
-    "temperatura_media": 18.5,
-    "lluvia_mm": 0.0,
-    "anio": 2026,
-    "mes": 4,
-    "dia": 20,
-    "dia_semana": 3,
-    "es_fin_de_semana": 0,
-    "lag_1": 35,
-    "lag_7": 30,
-    "media_movil_7": 32.4,
+    "id_tienda": 7,
+    "id_producto": 23,
+    "precio_unitario": 913.2,
+    "promocion_activa": 0,
+    "descuento_pct": 2.5,
+    "temperatura_media": -1.25,
+    "lluvia_mm": 6,
+    "anio": 1996,
+    "mes": 11,
+    "dia": 2,
+    "dia_semana": 7,
+    "es_fin_de_semana": 1,
+    "lag_1": 12,
+    "lag_7": 41,
+    "media_movil_7": 22.75,
 }
 
 
@@ -78,14 +78,22 @@ def test_request_checks(spark):
             {"dia": "99999999999"},
             {"id_producto": "NaN"},
             {"precio_unitario": ""},
+            {"lluvia_mm": "NaN"},
+            {"lluvia_mm": "Infinity"},
+            {"lluvia_mm": "-inf"},
+            {"lluvia_mm": "10f"},
+            {"lluvia_mm": "1e999"},
+            {"lluvia_mm": "1e3", "lag_7": " .5 ", "mes": "1.1e1"},
         ],
     )
     checked = check_requests(raw)
-    assert valid_requests(checked).count() == 2
+    assert valid_requests(checked).count() == 3
+    assert valid_requests(checked).where("lluvia_mm = 1000 AND lag_7 = 0.5").count() == 1
     assert sorted(r.motivos for r in rejected_requests(checked).collect()) == [
         ["dia"],
         ["id_producto"],
         ["id_tienda"],
+        *[["lluvia_mm"]] * 5,
         ["mes", "lag_1"],
         ["precio_unitario"],
     ]
@@ -154,7 +162,7 @@ def test_single_prediction_equals_batch(spark, model):
     batch = predict(model, valid_requests(check_requests(raw_requests(spark, [{}, {}]))))
     assert [r.prediction for r in batch.collect()] == [single, single]
     assert response(batch).first().prediccion_unidades_vendidas == round(single, 2)
-    assert predict_one(spark, model, {**REQUEST, "mes": 4.0}) == single
+    assert predict_one(spark, model, {**REQUEST, "mes": 11.0}) == single
     with pytest.raises(ValueError, match=r"invalid.*\['mes'\]"):
         predict_one(spark, model, {**REQUEST, "mes": "abril"})
     with pytest.raises(ValueError, match="lag_1"):
@@ -173,7 +181,7 @@ def test_batch_scoring_is_audited(spark, model, tmp_path):
     assert stored.groupBy("run_id").count().orderBy("run_id").collect() == [("a", 3), ("b", 3)]
     assert stored.select("id").distinct().count() == 6
     dates = {r.fecha_objetivo for r in stored.collect()}
-    assert dates == {datetime.date(2026, 4, 20), None}
+    assert dates == {datetime.date(1996, 11, 2), None}
     assert stored.where("fecha_prediccion is null").isEmpty()
 
 
@@ -203,23 +211,47 @@ def write_requests(directory, name, requests):
     (directory / name).write_text("\n".join(json.dumps(r) for r in requests))
 
 
+def test_predictions_keep_what_identifies_a_request(spark, model):
+    raw = raw_requests(spark, [{}, {"lag_1": "3"}]).withColumn("cliente", F.col("lag_1"))
+    got = predict(model, valid_requests(check_requests(raw)))
+    assert sorted(r.cliente for r in got.collect()) == ["12", "3"]
+    assert response(got).columns[0] == "cliente"
+    with pytest.raises(ValueError, match="reserved"):
+        predict(model, got)
+
+
+def test_forest_does_not_depend_on_input_partitions(dataset):
+    train, test = split_by_key(dataset)
+    trees = [
+        train_forest(train.repartition(n), trees=3, depth=3).stages[-1].toDebugString.split("\n", 1)[1]
+        for n in (4, 8)
+    ]
+    assert trees[0] == trees[1]
+
+
 def test_stream_equals_batch_and_restarts_add_nothing(spark, model, tmp_path):
-    source, out, bad = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "bad")
+    source, root, bad = tmp_path / "in", str(tmp_path / "audit"), str(tmp_path / "bad")
+    audit.create_tables(spark, root)
+    score_requests(model, raw_requests(spark, [{}, {}, {}]), root, run_id="batch")
     first = [{**REQUEST, "lag_1": i} for i in range(20)] + [{**REQUEST, "mes": "x"}]
-    write_requests(source, "a.json", first)
+    write_requests(source, "a.json", [*first, {**REQUEST, "lluvia_mm": "NaN"}])
 
-    def run():
+    def run(marks="c1"):
         checked = read_requests(spark, str(source), max_files=1)
-        score_stream(checked, model, out, str(tmp_path / "c1"), run_id="s").awaitTermination()
-        quarantine_stream(checked, bad, str(tmp_path / "c2")).awaitTermination()
-        return spark.read.parquet(out), spark.read.parquet(bad)
+        where = str(tmp_path / marks)
+        score_stream(checked, model, root, bad, where, run_id="s").awaitTermination()
+        stored = audit.read_audit(spark, root, "predicciones")
+        return stored.where("run_id <> 'batch'"), stored, spark.read.parquet(bad)
 
     for _ in range(2):
-        scored, rejected = run()
-        assert (scored.count(), rejected.count()) == (20, 1)
+        scored, stored, rejected = run()
+        assert (scored.count(), rejected.count(), stored.count()) == (20, 2, 23)
     write_requests(source, "b.json", [{**REQUEST, "lag_1": 99}])
-    scored, rejected = run()
-    assert (scored.count(), rejected.count()) == (21, 1)
+    scored, stored, rejected = run()
+    assert (scored.count(), rejected.count(), stored.count()) == (21, 2, 24)
+    # a stream that has lost its marks writes the same batches again
+    scored, stored, rejected = run("c2")
+    assert (scored.count(), rejected.count(), stored.count()) == (21, 2, 24)
 
     raw = spark.read.schema(RAW_REQUEST_SCHEMA).json(str(source))
     batch = predict(model, valid_requests(check_requests(raw)))
