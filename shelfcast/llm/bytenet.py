@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import labelled_sample, slices
+from shelfcast.llm.common import labelled_sample, lean, slices
 
 # Documented parameters.
 SAMPLE_ROWS, TRAIN_CHUNKS = 4_000, 16
@@ -220,7 +220,7 @@ def _scorer(model: QualityModel):
                 [batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"]
             )
 
-    return run
+    return lean(run)
 
 
 def score_quality(

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from shelfcast.llm.common import slices
+from shelfcast.llm.common import lean, slices
 from shelfcast.llm.components import components
 from shelfcast.sources.staging import stage
 
@@ -139,7 +139,7 @@ def _features(n: int, bands: int, rows: int):
                 names=["doc_id", "n_shingles", "digest", "keys", "packed"],
             )
 
-    return run
+    return lean(run)
 
 
 def _sets(n: int):
@@ -152,7 +152,7 @@ def _sets(n: int):
                 [batch.column("doc_id"), pa.array(sets, pa.binary())], names=["doc_id", "shingles"]
             )
 
-    return run
+    return lean(run)
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +250,7 @@ def near_duplicates(
             _as(sets, "b", "shingles", "size", key="doc_id"), "b"
         )
         kept = full.drop("shingles_a", "shingles_b").schema
-        shared = full.mapInArrow(_shared, StructType(kept.fields).add("shared", LongType()))
+        shared = full.mapInArrow(lean(_shared), StructType(kept.fields).add("shared", LongType()))
         union = F.col("size_a") + F.col("size_b") - F.col("shared")
         return stage(
             shared.select(

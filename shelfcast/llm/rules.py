@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import crc_bucket, labelled_sample, slices
+from shelfcast.llm.common import crc_bucket, labelled_sample, lean, slices
 
 # The base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -205,7 +205,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_R
     )
     rows = (
         sample.mapInArrow(
-            _training_rows,
+            lean(_training_rows),
             "doc_id long, label int, held boolean, slots array<int>, shares array<float>",
         )
         .toArrow()
@@ -239,7 +239,7 @@ def _scorer(model: RuleModel):
                 names=["doc_id", *names, "probability"],
             )
 
-    return run
+    return lean(run)
 
 
 def apply_rules(

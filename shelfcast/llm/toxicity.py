@@ -25,17 +25,16 @@ import re
 from collections import Counter
 from collections.abc import Callable, Hashable, Iterator
 from dataclasses import dataclass, field
+from operator import mul
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
 
-from shelfcast.llm.common import SLICE_BYTES, labelled_sample, slices
+from shelfcast.llm.common import SLICE_BYTES, labelled_sample, lean, slices
 from shelfcast.sources.staging import stage
 
 # Documented parameters: labelled rows to learn from, size and evidence of the lexicon.
@@ -273,7 +272,7 @@ def _learn_stems(sample: DataFrame) -> dict[str, float]:
         return {}
     counts = (
         sample.select("label", "features")
-        .mapInArrow(_count_features, "feature string, pos long, neg long")
+        .mapInArrow(lean(_count_features), "feature string, pos long, neg long")
         .groupBy("feature")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
         .where(F.col("pos") >= max(LEAST_ROWS, math.ceil(LEAST_SHARE * n1)))
@@ -309,7 +308,7 @@ def _feature_batches(stems: dict[str, float]):
                 [*(batch.column(name) for name in kept), values], names=[*kept, "features"]
             )
 
-    return run
+    return lean(run)
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -336,7 +335,7 @@ def fit_toxicity(
     sample = stage(labelled_sample(docs, labels, sample_rows), "toxic-sample")
     words = stage(
         sample.select("doc_id", F.col("label").cast("int").alias("label"), "text").mapInArrow(
-            _word_features, "doc_id long, label int, family long, features array<string>"
+            lean(_word_features), "doc_id long, label int, family long, features array<string>"
         ),
         "toxic-words",
     )
@@ -379,10 +378,17 @@ def drop_toxic(
 ) -> DataFrame:
     """The rows of ``docs`` with a score below ``reject_from``, as they are."""
 
-    @F.pandas_udf(ArrayType(DoubleType()))
-    def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    names, schema = docs.columns, docs.schema
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, table = Lexicon(model.stems), grammar()
-        for texts in batches:
-            yield pd.Series([clause_features(t or "", lexicon, table) for t in texts])
+        for batch in slices(batches, text):
+            margins = [
+                model.curve[0]
+                + sum(map(mul, model.curve[1:], clause_features(t or "", lexicon, table)))
+                for t in batch.column(text).to_pylist()
+            ]
+            clean = [1 / (1 + math.exp(-min(max(m, -500), 500))) < reject_from for m in margins]
+            yield batch.filter(pa.array(clean, pa.bool_())).select(names)
 
-    return docs.where(_probability(features(F.col(text)), model) < reject_from)
+    return docs.mapInArrow(lean(keep), schema)

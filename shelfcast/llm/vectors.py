@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from shelfcast.llm.common import lean
 from shelfcast.llm.components import components
 from shelfcast.sources.staging import stage
 
@@ -131,7 +132,7 @@ def _hash_batches(tables: int, rotations: int):
                 names=["vec_id", "unit", "digest", "homes", "probes"],
             )
 
-    return run
+    return lean(run)
 
 
 @F.pandas_udf(DoubleType())
