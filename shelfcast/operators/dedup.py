@@ -15,7 +15,8 @@ def drop_identical_rows(df: DataFrame) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """The first row of every key by ``order``; ties go to the smaller remaining columns.
+    """The first row of every key by ``order``; ties go to the smaller remaining columns. A value
+    comes before NULL.
 
     An aggregate rather than a ranking window: a hot key shrinks to one row before the
     shuffle, and the planner knows that the keys of the result are unique. Structs cannot be
@@ -26,7 +27,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     rank = [*order, *(c for c in rest if c not in order)]
     if not rest:
         return df.dropDuplicates()
-    first = F.min_by(F.struct(*rest), F.struct(*rank)).alias("first")
+    nulls_last = [x for c in rank for x in (F.col(c).isNull(), F.col(c))]
+    first = F.min_by(F.struct(*rest), F.struct(*nulls_last)).alias("first")
     return df.groupBy(*keys).agg(first).select(*keys, "first.*").select(*df.columns)
 
 
