@@ -30,7 +30,7 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 WINDOW = 3
 
 # Documented parameters: training rows, hash space, training, fixed probability to keep.
-SAMPLE_ROWS = 4_000
+SAMPLE_ROWS = 2_500
 HASH_BITS = 16
 PASSES, RATE, RIDGE = 150, 0.05, 1e-6
 KEEP_FROM = 0.3
@@ -154,7 +154,7 @@ class RuleModel:
 def _fit_weights(slots: list, shares: list, y: np.ndarray) -> tuple[np.ndarray, float]:
     """Full-batch Adam on the sparse rows; both labels weigh the same."""
     index, value = np.concatenate(slots), np.concatenate(shares)
-    row = np.repeat(np.arange(len(y)), [len(s) for s in slots])
+    row = np.repeat(np.arange(len(y), dtype=np.int32), [len(s) for s in slots])
     weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     size = 4 << HASH_BITS
     w, bias = np.zeros(size, np.float32), 0.0
