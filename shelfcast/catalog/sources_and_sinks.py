@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType
 
 from shelfcast.catalog.fixtures import Fixtures
 from shelfcast.catalog.registry import query
-from shelfcast.catalog.sql_parts import METRICS, clean_promotions, clean_sales
+from shelfcast.catalog.sql_parts import METRICS, clean_sales
 from shelfcast.operators.cleaning import clean_table, clean_tables
 from shelfcast.operators.joins import merge_tables
 from shelfcast.operators.metrics import forecast_metrics
