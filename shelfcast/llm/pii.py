@@ -2,10 +2,10 @@ r"""Personal data: base rules, proposed candidates, boosted trees, redaction.
 
 Base rules find e-mail addresses, IP addresses, card and phone numbers by format and check.
 On top of them loose generators propose overlapping candidates; boosted trees score each by
-its format and the characters around it; a threshold per kind, calibrated on held-out
-candidates, decides which are added. The trees learn from documents of a bounded sample,
-where base spans are the positive candidates; checksums are no feature, so what looks and
-stands like personal data scores high although a check fails.
+its format and the characters around it; a threshold per kind, calibrated on the candidates
+of all documents that the trees did not learn from, decides which are added. The trees learn
+from documents of a bounded sample, where base spans are the positive candidates; checksums
+are no feature, so what looks and stands like personal data scores high although a check fails.
 
 All of it is expressions over one row: the trees become CASE expressions, so scoring is a
 part of the scan, without shuffle or Python.
@@ -299,13 +299,11 @@ def _trees(model: GBTClassificationModel) -> list:
     return [_node(tree._call_java("rootNode")) for tree in model.trees]
 
 
-def training_candidates(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """Candidates of the sampled documents: kind, features and whether a base span of the kind
-    makes up most of the candidate."""
-    every = docs.select("doc_id", F.lit(1).alias("label"))
-    sample = labelled_sample(docs, every, sample_docs)
-    text = F.col("text")
-    rows = sample.select(
+def labelled_candidates(docs: DataFrame) -> DataFrame:
+    """Candidates of ``docs`` (doc_id, text): doc_id, kind, features and whether a base span of
+    the kind makes up most of the candidate."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(
         "doc_id", base_spans(text).alias("base"), F.explode(candidates(text)).alias("c")
     )
     c = F.col("c")
@@ -315,35 +313,59 @@ def training_candidates(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Data
         return (b["kind"] == c["kind"]) & (shared * 5 >= (c["end"] - c["start"]) * 3)
 
     return rows.select(
+        "doc_id",
         c["kind"].alias("kind"),
         features(c).alias("features"),
         F.exists("base", same).cast("double").alias("label"),
-        (uniform_key("doc_id", c["start"], seed=11) % 4).alias("fold"),
+    )
+
+
+def _learned_from() -> Column:
+    """Of the sampled documents three in four are learned from."""
+    return F.col("doc_id").isNotNull() & (uniform_key("doc_id", seed=11) % 4 > 0)
+
+
+def training_candidates(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """Candidates of the documents to learn from, with the key the sample is ordered by."""
+    every = docs.select("doc_id", F.lit(1).alias("label"))
+    sample = labelled_sample(docs, every, sample_docs).where(_learned_from())
+    return labelled_candidates(sample.select("doc_id", "text")).withColumn(
+        "key", uniform_key("doc_id", seed=7)
+    )
+
+
+def score_counts(docs: DataFrame, model: Redactor, last_key: int) -> list:
+    """Candidates (n) and those that are base spans (hits) per kind and bin of the score, over
+    all documents but those learned from: at most BINS + 1 rows per kind. A document was
+    sampled where its key is not above ``last_key``."""
+    learned = (uniform_key("doc_id", seed=7) <= last_key) & _learned_from()
+    # the lambda computes the features of a candidate once for all nodes of the trees
+    score = F.transform(F.array("features"), model.score)[0]
+    return (
+        labelled_candidates(docs.where(~learned))
+        .select("kind", "label", F.floor(score * BINS).alias("bin"))
+        .groupBy("kind", "bin")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("hits"))
+        .collect()
     )
 
 
 def fit_redactor(
     docs: DataFrame, *, sample_docs: int = SAMPLE_DOCS, precision: float = PRECISION
 ) -> Redactor:
-    """Learn the trees on three folds of the candidates and the thresholds on the fourth."""
+    """Learn the trees on three in four documents of the sample and the thresholds on the
+    candidates of all other documents."""
     rows = stage(training_candidates(docs, sample_docs), "pii-candidates")
-    kinds = {r["label"] for r in rows.where("fold > 0").select("label").distinct().collect()}
-    if kinds != {0.0, 1.0}:
+    seen = rows.agg(F.collect_set("label").alias("labels"), F.max("key").alias("key")).first()
+    if set(seen["labels"]) != {0.0, 1.0}:
         return Redactor()
     trainer = GBTClassifier(
         maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED, maxMemoryInMB=64
     )
-    train = rows.where("fold > 0").select(array_to_vector("features").alias("features"), "label")
+    train = rows.select(array_to_vector("features").alias("features"), "label")
     fitted = trainer.fit(train)
     model = Redactor(_trees(fitted), list(fitted.treeWeights))
-    # at most BINS + 1 rows per kind
-    bins = (
-        rows.where("fold = 0")
-        .select("kind", "label", F.floor(model.score(F.col("features")) * BINS).alias("bin"))
-        .groupBy("kind", "bin")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("hits"))
-        .collect()
-    )
+    bins = score_counts(docs, model, seen["key"])
     thresholds = []
     for kind in range(len(KINDS)):
         best, n, hits = None, 0, 0.0

@@ -98,6 +98,14 @@ def test_learned_spans_only_add(documents):
         assert not r.text.count("order") or not every
 
 
+def test_thresholds_come_from_all_documents(documents):
+    # fifty documents with a phone number, too few of them within a sample of 200
+    rows = corpus(1_500)
+    rows = [(i, t if i % 10 == 0 or "+" not in t else "order 123456") for i, t in rows]
+    model = pii.fit_redactor(documents(rows), sample_docs=200)
+    assert model.trees and model.thresholds[pii.KINDS.index("phone")] is not None
+
+
 def test_added_spans_lie_beside_base_spans(documents):
     df = documents([(1, "call 555 123-4567 or +1 (017) 555-7713 or 555 123-9999"), (2, None)])
     always = pii.Redactor([1.0], [1.0], (0.5,) * 4)
