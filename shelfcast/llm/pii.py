@@ -1,11 +1,13 @@
 r"""Personal data: base rules, proposed candidates, boosted trees, redaction.
 
 Base rules find e-mail addresses, IP addresses, card and phone numbers by format and check.
-On top of them loose generators propose overlapping candidates; boosted trees score each by
+On top of them loose generators propose overlapping candidates, several from every start, also
+beside base spans and other numbers; boosted trees score each by
 its format and the characters around it; a threshold per kind, calibrated on the candidates
 of all documents that the trees did not learn from, decides which are added. The trees learn
 from documents of a bounded sample, where base spans are the positive candidates; checksums
 are no feature, so what looks and stands like personal data scores high although a check fails.
+Of overlapping spans above the threshold the one with the highest score is added.
 
 All of it is expressions over one row: the trees become CASE expressions, so scoring is a
 part of the scan, without shuffle or Python.
@@ -41,13 +43,25 @@ CARD = r"(?<![0-9]|[0-9][ -])[0-9](?:[0-9 -](?<=[0-9]|[0-9][ -](?=[0-9])))++"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 IP_PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 
-# Loose formats that propose candidates, by kind.
+# Loose formats that propose candidates. Of e-mail addresses there is a wide one, and a narrow
+# one that begins at every run of address characters: its head, then what follows it.
+WIDE_EMAIL = (
+    r"(?<![^\s<>()\[\]\"',;])[^\s@<>()\[\]\"',;]{1,64}+"
+    r"(?:@|\s?[\[(]at[\])]\s?)[^\s@<>()\[\]\"',;]{2,255}+"
+)
+EMAIL_HEAD = (
+    r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]{1,64}+(?:@|\s?[\[(]at[\])]\s?)(?=[A-Za-z0-9])"
+)
+EMAIL_TAIL = r"^[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+"
+# The other kinds are runs of digit groups: from every group on, every run of at most LONGEST
+# characters in the format of a kind. Groups are looked at in blocks of 64; a run that begins in
+# a block may end behind it.
+BLOCK = r"(?<![0-9])[0-9](?=[0-9 ().:+-]{5})[0-9]*+(?:[ ().:+-]{1,28}[0-9]++){0,63}+"
+LONGEST = 30
 LOOSE = {
-    "email": r"(?<![^\s<>()\[\]\"',;])[^\s@<>()\[\]\"',;]{1,64}+"
-    r"(?:@|\s?[\[(]at[\])]\s?)[^\s@<>()\[\]\"',;]{2,255}+",
-    "ip": r"(?<![0-9A-Za-z])[0-9]{1,4}(?:[.:-][0-9]{1,4}){3}(?![0-9])",
-    "card": r"(?<![0-9])[0-9][0-9 .-]{10,28}[0-9](?![0-9])",
-    "phone": r"(?<![0-9A-Za-z])[+(]?[0-9][0-9 ().-]{5,20}[0-9](?![0-9])",
+    "ip": r"^[0-9]{1,4}(?:[.:-][0-9]{1,4}){3}$",
+    "card": r"^[0-9][0-9 .-]{10,28}[0-9]$",
+    "phone": r"^[+(]{0,2}[0-9][0-9 ().-]{5,22}[0-9]$",
 }
 # Words around a candidate that speak for a kind.
 CUES = (
@@ -142,41 +156,117 @@ def base_spans(text: Column) -> Column:
     return F.concat(*found)
 
 
-def _in_context(text: Column, number: int) -> Callable[[Column], Column]:
-    def build(s: Column) -> Column:
-        before = F.substring(
+def _candidate(number: int, text: Column, at: Column, start: Column, end: Column) -> Column:
+    """A candidate with its surroundings; ``text`` begins at position ``at`` of the document."""
+    parts = {
+        "kind": F.lit(number),
+        "start": start,
+        "end": end,
+        "value": F.substring(text, start - at + 1, end - start),
+        "before": F.substring(
             text,
-            F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1,
-            F.least(s["start"], F.lit(CONTEXT)),
+            F.greatest(start - at - CONTEXT, F.lit(0)) + 1,
+            F.least(start - at, F.lit(CONTEXT)),
+        ),
+        "after": F.substring(text, end - at + 1, F.lit(CONTEXT // 2)),
+    }
+    return F.named_struct(*[x for k, v in parts.items() for x in (F.lit(k), v)])
+
+
+def _addresses(text: Column) -> Column:
+    """Candidates for e-mail addresses: wide ones and narrow ones, which may overlap."""
+
+    def whole(head: Column) -> Column:
+        tail = F.regexp_extract(F.substring(text, head["end"] + 1, F.lit(255)), EMAIL_TAIL, 0)
+        return F.struct(
+            head["start"].alias("start"),
+            (head["end"] + F.length(tail)).alias("end"),
+            F.concat(head["value"], tail).alias("value"),
+        )
+
+    spans = F.array_distinct(
+        F.concat(spans_of(text, WIDE_EMAIL), F.transform(spans_of(text, EMAIL_HEAD), whole))
+    )
+    zero = F.lit(0)
+    return F.transform(spans, lambda s: _candidate(0, text, zero, s["start"], s["end"]))
+
+
+def _runs_in(text: Column) -> Callable[[Column], Column]:
+    """Candidates for the other kinds that begin in a block of digit groups."""
+
+    def runs(block: Column) -> Column:
+        at = F.greatest(block["start"] - CONTEXT, F.lit(0))
+        length = block["end"] - block["start"]
+        window = F.substring(text, at + 1, block["end"] - at + LONGEST + CONTEXT // 2 + 2)
+        body = F.substring(window, block["start"] - at + 1, length + LONGEST + 1)
+        # what is used more than once is bound by a lambda over an array of one
+        bound = F.array(
+            F.struct(
+                at.alias("at"),
+                window.alias("window"),
+                spans_of(body, "[0-9]++").alias("groups"),
+            )
         )
-        after = F.substring(text, s["end"] + 1, F.lit(CONTEXT // 2))
-        parts = {
-            "kind": F.lit(number),
-            "start": s["start"],
-            "end": s["end"],
-            "value": s["value"],
-            "before": before,
-            "after": after,
-        }
-        return F.named_struct(*[x for k, v in parts.items() for x in (F.lit(k), v)])
+        return F.flatten(F.transform(bound, lambda w: _runs_of(w, block["start"], length)))
 
-    return build
+    return runs
 
 
-def candidates(text: Column) -> Column:
-    """What the loose generators propose: kind, start, end, value and its surroundings."""
-    possible = {
-        "email": F.contains(text, F.lit("@")) | F.contains(text, F.lit("at]"))
-        | F.contains(text, F.lit("at)")),
-        "ip": text.rlike("[0-9][.:-][0-9]"),
-        "card": text.rlike("[0-9][0-9 .-]{10}"),
-        "phone": text.rlike("[0-9][0-9 ().-]{5}"),
-    }
-    found = []
+def _runs_of(w: Column, block_start: Column, length: Column) -> Column:
+    groups, window, at = w["groups"], w["window"], w["at"]
+
+    def from_group(first: Column) -> Column:
+        start = block_start + first["start"]
+        lead = F.substring(
+            window, F.greatest(start - at - 3, F.lit(0)) + 1, F.least(start - at, F.lit(3))
+        )
+        sign = F.length(F.regexp_extract(lead, r"(?<![0-9A-Za-z])[+(]{1,2}$", 0))
+        apart = ~lead.rlike("[0-9A-Za-z]$")
+        ends = F.filter(
+            groups,
+            lambda g: (g["end"] > first["start"] + 5) & (g["end"] <= first["start"] + LONGEST),
+        )
+
+        def kinds(last: Column) -> Column:
+            end = block_start + last["end"]
+            proposed = [
+                F.when(F.lit(True) if kind == "card" else apart, _candidate(
+                    number, window, at, start - sign if kind == "phone" else start, end
+                ))
+                for number, kind in enumerate(KINDS)
+                if kind in LOOSE
+            ]
+            return F.filter(F.array(*proposed), _in_format)
+
+        return F.flatten(F.transform(ends, kinds))
+
+    starts = F.filter(groups, lambda g: g["start"] < length)
+    return F.flatten(F.transform(starts, from_group))
+
+
+def _in_format(c: Column) -> Column:
+    fits = F.lit(False)
     for number, kind in enumerate(KINDS):
-        spans = F.when(possible[kind], spans_of(text, LOOSE[kind])).otherwise(_none())
-        found.append(F.transform(spans, _in_context(text, number)))
-    return F.concat(*found)
+        if kind in LOOSE:
+            fits = fits | ((c["kind"] == number) & c["value"].rlike(LOOSE[kind]))
+    return c.isNotNull() & fits
+
+
+def candidates(text: Column) -> Column:
+    """What the loose generators propose: kind, start, end, value and its surroundings. Spans
+    overlap, also within a kind."""
+    at = F.contains(text, F.lit("@")) | F.contains(text, F.lit("at]"))
+    at = at | F.contains(text, F.lit("at)"))
+    none = F.filter(
+        F.array(_candidate(0, text, F.lit(0), F.lit(0), F.lit(0))), lambda c: F.lit(False)
+    )
+    blocks = F.when(
+        text.rlike("[0-9][0-9 ().:+-]{5}"), spans_of(text, BLOCK)
+    ).otherwise(_none())
+    return F.concat(
+        F.when(at, _addresses(text)).otherwise(none),
+        F.flatten(F.transform(blocks, _runs_in(text))),
+    )
 
 
 def _flag(condition: Column) -> Column:
@@ -217,6 +307,10 @@ def features(c: Column) -> Column:
     )
 
 
+def _overlap(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+
 @dataclass(frozen=True)
 class Redactor:
     """Boosted trees as nested tuples (feature, threshold, left, right) or leaf values, their
@@ -241,16 +335,13 @@ class Redactor:
         return 1 / (1 + F.exp(-2 * margin))
 
     def added_spans(self, text: Column, base: Column) -> Column:
-        """Candidates above the threshold of their kind that overlap no base span, and of
-        those overlapping each other the ones that begin first."""
+        """Candidates from the threshold of their kind on that overlap no base span; of those
+        overlapping each other the one with the highest score, then the longest, then the first."""
         empty = F.array().cast("array<struct<kind:int,start:int,end:int>>")
         if all(t is None for t in self.thresholds):
             return empty
         limits = F.array(*[F.lit(2.0 if t is None else float(t)) for t in self.thresholds])
-        free = F.filter(
-            candidates(text),
-            lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
-        )
+        free = F.filter(candidates(text), lambda c: ~F.exists(base, lambda b: _overlap(b, c)))
         scored = F.transform(
             F.transform(
                 free,
@@ -262,25 +353,22 @@ class Redactor:
                 ),
             ),
             lambda c: F.struct(
+                (-self.score(c["f"])).alias("order"),
+                (c["start"] - c["end"]).alias("shortness"),
                 c["start"].alias("start"),
                 c["end"].alias("end"),
                 c["kind"].alias("kind"),
-                (self.score(c["f"]) >= F.get(limits, c["kind"])).alias("take"),
             ),
         )
-        chosen = F.array_sort(F.filter(scored, lambda c: c["take"]))
-        first = F.struct(F.lit(0).alias("end"), empty.alias("spans"))
+        chosen = F.filter(scored, lambda c: -c["order"] >= F.get(limits, c["kind"]))
 
-        def step(acc: Column, c: Column) -> Column:
+        def step(taken: Column, c: Column) -> Column:
             span = F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
-            return F.when(
-                c["start"] >= acc["end"],
-                F.struct(
-                    c["end"].alias("end"), F.concat(acc["spans"], F.array(span)).alias("spans")
-                ),
-            ).otherwise(acc)
+            return F.when(F.exists(taken, lambda t: _overlap(t, c)), taken).otherwise(
+                F.concat(taken, F.array(span))
+            )
 
-        return F.aggregate(chosen, first, step, lambda acc: acc["spans"])
+        return F.aggregate(F.array_sort(chosen), empty, step)
 
 
 def _node(node) -> tuple | float:
@@ -300,23 +388,25 @@ def _trees(model: GBTClassificationModel) -> list:
 
 
 def labelled_candidates(docs: DataFrame) -> DataFrame:
-    """Candidates of ``docs`` (doc_id, text): doc_id, kind, features and whether a base span of
-    the kind makes up most of the candidate."""
+    """Candidates of ``docs`` (doc_id, text): doc_id, kind, features and whether they are a base
+    span of their kind. Those that only overlap one are left out, as they are never added and
+    no example of what is none."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
         "doc_id", base_spans(text).alias("base"), F.explode(candidates(text)).alias("c")
     )
     c = F.col("c")
-
-    def same(b: Column) -> Column:
-        shared = F.least(b["end"], c["end"]) - F.greatest(b["start"], c["start"])
-        return (b["kind"] == c["kind"]) & (shared * 5 >= (c["end"] - c["start"]) * 3)
-
-    return rows.select(
-        "doc_id",
-        c["kind"].alias("kind"),
-        features(c).alias("features"),
-        F.exists("base", same).cast("double").alias("label"),
+    own = F.filter("base", lambda b: (b["kind"] == c["kind"]) & _overlap(b, c))
+    same = F.exists("own", lambda b: (b["start"] == c["start"]) & (b["end"] == c["end"]))
+    return (
+        rows.select("doc_id", "c", own.alias("own"))
+        .where((F.size("own") == 0) | same)
+        .select(
+            "doc_id",
+            c["kind"].alias("kind"),
+            features(c).alias("features"),
+            (F.size("own") > 0).cast("double").alias("label"),
+        )
     )
 
 

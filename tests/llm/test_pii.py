@@ -117,6 +117,44 @@ def test_added_spans_lie_beside_base_spans(documents):
     assert found[2].pii_spans == []
 
 
+def test_candidates_beside_dates_numbers_and_base_spans(documents):
+    texts = {
+        1: ("555 123-4567 190.137.223.204", ["555 123-4567"]),
+        2: ("555 123-4567 555 987-6543 555 111-2222", ["555 123-4567", "555 987-6543", "555 111-2222"]),
+        3: ("on 2024-05-06 555 123 4567", ["555 123 4567", "2024-05-06"]),
+        4: ("joe[at]x.com|ann[at]y.com", ["joe[at]x.com", "ann[at]y.com"]),
+        5: ("é😀 tel(+4415551234 1234 5678 1234 5678 9 1.2.3.4", ["+4415551234", "1234 5678 1234 5678", "1.2.3.4"]),
+        6: ("7 " * 90 + "555 123-4567 " * 90, ["555 123-4567"]),
+        7: (None, []),
+    }
+    found = documents([(i, t) for i, (t, _) in texts.items()]).select(
+        "doc_id", "text", pii.candidates(F.coalesce("text", F.lit(""))).alias("c")
+    )
+    for r in found.collect():
+        spans = [(c.kind, c.start, c.end) for c in r.c]
+        assert len(spans) == len(set(spans))
+        assert all(r.text[c.start : c.end] == c.value for c in r.c)
+        assert all(r.text[max(c.start - 32, 0) : c.start] == c.before for c in r.c)
+        assert all(r.text[c.end : c.end + 16] == c.after for c in r.c)
+        assert set(texts[r.doc_id][1]) <= {c.value for c in r.c}
+        if r.doc_id == 6:
+            assert sum(c.value == "555 123-4567" and c.kind == 3 for c in r.c) == 90
+
+
+def test_overlaps_go_to_the_highest_score(documents):
+    # ten digits in three groups score higher than any other run
+    shape = (5, 9.5, -1.0, (5, 10.5, (6, 2.5, -1.0, (6, 3.5, 1.0, -1.0)), -1.0))
+    model = pii.Redactor([shape], [1.0], (None, None, None, 0.5))
+    rows = [
+        (1, "555 123-4567 190.137.223.204"),
+        (2, "555 123-4567 555 987-6543 555 111-2222"),
+        (3, "on 2024-05-06 555 123 4567"),
+    ]
+    clean = pii.find_spans(documents(rows), model).select("doc_id", pii.redact(F.col("text"), F.col("pii_spans")))
+    got = {r[0]: r[1] for r in clean.collect()}
+    assert got == {1: "<PHONE> <IP>", 2: "<PHONE> <PHONE> <PHONE>", 3: "on 2024-05-06 <PHONE>"}
+
+
 def test_redaction(documents):
     df = documents([(1, "é a@b.co x 1.2.3.4!"), (2, None), (3, "none"), (4, "+4 111 111 111 1.1.1.1 z")])
     found = pii.find_spans(df, pii.Redactor())
