@@ -5,17 +5,21 @@ filters run over every position of a chunk, and each filter keeps its maximum. A
 reads the maxima of a chunk; mean and maximum of it over all chunks give one probability. What
 repeats a few words fires few filters, what is noise fires others, so both show.
 
-The network is trained here, with Adam on labelled texts of a bounded sample; of a very long
-training text at most ``TRAIN_CHUNKS`` evenly spaced chunks are used. Scoring reads whole
-texts, a block of chunks at a time.
+The network is trained here, with Adam on all chunks of labelled texts of a sample that is
+bounded in rows and bytes. Scoring reads whole texts, a block of chunks at a time.
+
+Scores come from weights on binary grids, coarse enough that every product and partial sum is
+a number the machine holds exactly. Sums then do not depend on their order, so neither the
+batch, the partition nor the library of matrix products shows in a score.
 
 Semantics: a null or empty text is one chunk of padding. The score depends on the text alone,
-so repeated rows score alike. Without labels of both kinds the score is the share of label 1
-(0.5 without labels). Other columns are not looked at.
+so repeated rows score alike, to the last bit. Without labels of both kinds the score is the
+share of label 1 (0.5 without labels). Other columns are not looked at.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,15 +28,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import labelled_sample, lean, slices
+from shelfcast.llm.common import labelled_sample, lean, slices, within_bytes
 
 # Documented parameters.
-SAMPLE_ROWS, TRAIN_CHUNKS = 4_000, 16
+SAMPLE_ROWS, SAMPLE_BYTES = 4_000, 32 * 1024 * 1024
 CHUNK, HOP = 512, 448
 EMBEDDING, WIDTH, FILTERS, HIDDEN = 8, 6, 24, 16
 EPOCHS, BATCH, RATE, DECAY, SEED = 8, 32, 0.01, 1e-5, 3
 PAD = 256
 BLOCK = 64
+# Grids of the weights when scoring: those of the filters follow from what 24 bits hold.
+EMBED_UNIT, HIDDEN_UNIT, LAYER_UNIT = 2.0**-8, 2.0**-16, 2.0**-20
+
+
+def on_grid(values: np.ndarray, unit: float) -> np.ndarray:
+    return np.round(np.asarray(values, np.float64) / unit) * unit
 
 
 def chunks_of(text: bytes, most: int | None = None) -> np.ndarray:
@@ -110,25 +120,62 @@ class Network:
         pooled = np.hstack([mean, most])
         return layer, counts, pooled, pooled @ self.out + self.out_bias
 
+    def exact(self) -> Network:
+        """The network with weights on grids: the responses of the filters are exact in single
+        precision (24 bits), the hidden layer in double precision (53 bits)."""
+        embed = on_grid(self.embed, EMBED_UNIT)
+        largest = np.tile(np.abs(embed).max(axis=0), WIDTH)
+        bound = float((largest[:, None] * (np.abs(self.filters) + 2.0**-8)).sum(axis=0).max())
+        unit = min(2.0 ** math.ceil(math.log2(bound / EMBED_UNIT / 2.0**23)), 2.0**-8)
+        single = np.float32
+        return Network(
+            embed.astype(single),
+            on_grid(self.filters, unit).astype(single),
+            on_grid(self.filter_bias, HIDDEN_UNIT),
+            on_grid(self.hidden, HIDDEN_UNIT),
+            on_grid(self.hidden_bias, HIDDEN_UNIT),
+            self.out.astype(np.float64),
+            self.out_bias.astype(np.float64),
+        )
+
+    def layer(self, chunks: np.ndarray) -> np.ndarray:
+        """Hidden layer of each chunk, rounded to a grid on which sums over chunks are exact."""
+        maxima = self.maxima(chunks).astype(np.float64)
+        return np.maximum(on_grid(maxima @ self.hidden + self.hidden_bias, LAYER_UNIT), 0)
+
     def margins(self, texts: list[bytes]) -> np.ndarray:
-        maxima, starts, count = [], [], 0
-        pending: list[np.ndarray] = []
+        """Margin of each text; the same whatever texts stand beside it."""
+        exact = self.exact()
+        # of every text: number of chunks, sum and maximum of the hidden layer
+        counts = np.zeros(len(texts))
+        sums, tops = np.zeros((len(texts), HIDDEN)), np.zeros((len(texts), HIDDEN))
+        pending: list[tuple[int, np.ndarray]] = []
 
         def flush() -> None:
-            if pending:
-                maxima.append(self.maxima(np.concatenate(pending)))
-                pending.clear()
-
-        for text in texts:
+            layer = exact.layer(np.concatenate([part for _, part in pending]))
+            at = 0
+            for text, part in pending:
+                own = layer[at : at + len(part)]
+                at += len(part)
+                counts[text] += len(part)
+                sums[text] += own.sum(axis=0)
+                tops[text] = np.maximum(tops[text], own.max(axis=0))
+            pending.clear()
+
+        for i, text in enumerate(texts):
             own = chunks_of(text)
-            starts.append(count)
-            count += len(own)
             for at in range(0, len(own), 16 * BLOCK):
-                pending.append(own[at : at + 16 * BLOCK])
-                if sum(map(len, pending)) >= 16 * BLOCK:
+                pending.append((i, own[at : at + 16 * BLOCK]))
+                if sum(len(part) for _, part in pending) >= 16 * BLOCK:
                     flush()
-        flush()
-        return self.combine(np.concatenate(maxima), np.array(starts))[-1]
+        if pending:
+            flush()
+        pooled = np.hstack([sums / counts[:, None], tops]) if texts else np.zeros((0, 2 * HIDDEN))
+        # term by term: every text adds up in the same order
+        margin = np.full(len(texts), exact.out_bias[0])
+        for j in range(2 * HIDDEN):
+            margin += pooled[:, j] * exact.out[j]
+        return margin
 
 
 def _gradients(net: Network, chunks: np.ndarray, starts: np.ndarray, y: np.ndarray) -> list:
@@ -143,14 +190,18 @@ def _gradients(net: Network, chunks: np.ndarray, starts: np.ndarray, y: np.ndarr
     d_layer = d_layer + top * (d_pooled[:, HIDDEN:] / np.maximum(ties, 1))[text]
     d_layer = d_layer * (layer > 0)
     d_maxima = (d_layer @ net.hidden.T) * (maxima > 0)
-    # only the window of the maximum of a filter takes part in its gradient
-    windows = places[:, :, None] + np.arange(WIDTH)
-    codes = np.take_along_axis(chunks[:, None, :], windows, axis=2)
-    inputs = net.embed[codes].reshape(len(chunks), FILTERS, -1)
-    d_filters = np.einsum("cf,cfk->kf", d_maxima, inputs)
-    d_inputs = d_maxima[:, :, None] * net.filters.T
-    d_embed = np.zeros_like(net.embed)
-    np.add.at(d_embed, codes.reshape(-1), d_inputs.reshape(-1, EMBEDDING))
+    d_embed, d_filters = np.zeros_like(net.embed), np.zeros_like(net.filters)
+    for at in range(0, len(chunks), 16 * BLOCK):
+        part = slice(at, at + 16 * BLOCK)
+        # only the window of the maximum of a filter takes part in its gradient
+        windows = places[part, :, None] + np.arange(WIDTH)
+        codes = np.take_along_axis(chunks[part, None, :], windows, axis=2)
+        inputs = net.embed[codes].reshape(len(codes), FILTERS, -1)
+        d_filters += np.einsum("cf,cfk->kf", d_maxima[part], inputs)
+        d_inputs = (d_maxima[part, :, None] * net.filters.T).reshape(-1, EMBEDDING)
+        flat = codes.reshape(-1)
+        for e in range(EMBEDDING):
+            d_embed[:, e] += np.bincount(flat, d_inputs[:, e], PAD + 1)
     return [
         d_embed,
         d_filters,
@@ -165,7 +216,7 @@ def _gradients(net: Network, chunks: np.ndarray, starts: np.ndarray, y: np.ndarr
 def train(texts: list[bytes], labels: np.ndarray, seed: int = SEED) -> Network:
     """Adam over ``EPOCHS`` passes in an order that depends on ``seed`` alone."""
     net, rng = Network.fresh(seed), np.random.default_rng(seed + 1)
-    cut = [chunks_of(text, TRAIN_CHUNKS) for text in texts]
+    cut = [chunks_of(text) for text in texts]
     first = [np.zeros_like(p) for p in net.parameters()]
     second = [np.zeros_like(p) for p in net.parameters()]
     steps = EPOCHS * -(-len(texts) // BATCH)
@@ -194,11 +245,16 @@ class QualityModel:
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    sample_rows: int = SAMPLE_ROWS,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> QualityModel:
-    """Train on ``labels`` (doc_id, label 0 or 1) over ``docs`` (doc_id, text), on at most
-    ``sample_rows`` rows, which come to the driver."""
-    rows = labelled_sample(docs, labels, sample_rows).toPandas().sort_values("doc_id")
+    """Train on ``labels`` (doc_id, label 0 or 1) over ``docs`` (doc_id, text): on at most
+    ``sample_rows`` rows and ``sample_bytes`` bytes of whole texts, which come to the driver."""
+    sample = within_bytes(labelled_sample(docs, labels, sample_rows), sample_bytes)
+    rows = sample.toPandas().sort_values("doc_id")
     y = rows["label"].to_numpy(np.float32)
     if len(set(y)) < 2:
         return QualityModel(None, float(y.mean()) if len(y) else 0.5)
@@ -214,8 +270,8 @@ def _scorer(model: QualityModel):
             if model.network is None:
                 scores = np.full(len(texts), model.share)
             else:
-                margins = model.network.margins(texts).astype(np.float64)
-                scores = 1 / (1 + np.exp(-np.clip(margins, -500, 500)))
+                margins = np.clip(model.network.margins(texts), -500, 500)
+                scores = [1 / (1 + math.exp(-margin)) for margin in margins.tolist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"]
             )

@@ -8,9 +8,11 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfcast.sources.staging import stage
+
 # Fixed value: a word is a run of characters other than space and the controls 09 to 0D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -56,11 +58,20 @@ def labelled_sample(
     )
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     # the broadcast holds no more than ``rows`` pairs of numbers
-    return (
-        texts.join(F.broadcast(chosen), "doc_id")
-        .groupBy("doc_id", "label")
-        .agg(F.min("text").alias("text"))
-    )
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+
+
+def within_bytes(sample: DataFrame, most_bytes: int) -> DataFrame:
+    """The rows of a ``labelled_sample`` that come first in the order of its key and together
+    hold no more than ``most_bytes`` of text; texts stay whole. The sample is bounded in rows,
+    so one task can add up their sizes."""
+    kept = stage(sample, "sample")
+    in_order = Window.orderBy(uniform_key("doc_id", seed=7), "doc_id")
+    sizes = kept.select("doc_id", F.octet_length("text").cast("long").alias("_bytes"))
+    first = sizes.select("doc_id", F.sum("_bytes").over(in_order).alias("_so_far"))
+    chosen = first.where(F.col("_so_far") <= most_bytes).select("doc_id")
+    return kept.join(F.broadcast(chosen), "doc_id", "left_semi")
 
 
 def slices(

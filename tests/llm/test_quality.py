@@ -86,6 +86,82 @@ def test_scores_do_not_depend_on_the_batch():
     assert together[0] == together[3]
 
 
+def test_equal_texts_score_alike_in_any_partition(spark, documents):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abc dé\n") for _ in range(rng.randrange(2_000))) for _ in range(40)]
+    texts += ["", None, "z" * 70_000, "q w " * 9_000]
+    rows = [(i, texts[(7 * i) % len(texts)]) for i in range(3 * len(texts))]
+    model = B.QualityModel(B.Network.fresh(3))
+    results = []
+    for partitions in (1, 3, 7):
+        scored = B.score_quality(documents(rows, partitions), model)
+        results.append({r.doc_id: r.score for r in scored.collect()})
+    assert results[0] == results[1] == results[2]
+    by_text = {}
+    for i, text in rows:
+        by_text.setdefault(text or "", set()).add(results[0][i])
+    assert all(len(scores) == 1 for scores in by_text.values())
+
+
+def plain_margin(net, text):
+    """The network filter by filter and place by place, in exact fractions up to the mean."""
+    data = list(text) + [B.PAD] * max(0, B.CHUNK - len(text))
+    starts = range(0, max(1, len(data) - B.CHUNK + B.HOP), B.HOP)
+    layers = []
+    for start in starts:
+        chunk = (data[start : start + B.CHUNK] + [B.PAD] * B.CHUNK)[: B.CHUNK]
+        embedded = [[float(v) for v in net.embed[c]] for c in chunk]
+        maxima = []
+        for f in range(B.FILTERS):
+            weights = [float(w) for w in net.filters[:, f]]
+            best = max(
+                sum(e * w for e, w in zip(sum(embedded[at : at + B.WIDTH], []), weights))
+                for at in range(B.CHUNK - B.WIDTH + 1)
+            )
+            maxima.append(max(best + float(net.filter_bias[f]), 0.0))
+        layers.append([
+            max(sum(m * float(net.hidden[f, h]) for f, m in enumerate(maxima)) + float(net.hidden_bias[h]), 0.0)
+            for h in range(B.HIDDEN)
+        ])
+    mean = [sum(layer[h] for layer in layers) / len(layers) for h in range(B.HIDDEN)]
+    top = [max(layer[h] for layer in layers) for h in range(B.HIDDEN)]
+    return float(net.out_bias[0]) + sum(p * float(w) for p, w in zip(mean + top, net.out))
+
+
+def test_margins_equal_a_plain_forward_pass():
+    net = B.Network.fresh(6)
+    for p in (net.filter_bias, net.hidden_bias, net.out_bias):
+        p += 0.05
+    rng = random.Random(2)
+    for length in (0, 3, 512, 513, 1_100):
+        text = bytes(rng.randrange(256) for _ in range(length))
+        assert abs(net.margins([text])[0] - plain_margin(net.exact(), text)) < 1e-4
+
+
+def test_scoring_weights_leave_every_sum_exact():
+    net = B.Network.fresh(8)
+    for p in net.parameters():
+        p *= 3
+    exact = net.exact()
+    unit = np.abs(exact.filters[exact.filters != 0]).min()
+    while not np.array_equal(np.round(exact.filters / unit) * unit, exact.filters):
+        unit /= 2
+    largest = np.tile(np.abs(exact.embed).max(axis=0), B.WIDTH)
+    bound = (largest[:, None] * np.abs(exact.filters)).sum(axis=0).max()
+    assert bound / (unit * B.EMBED_UNIT) <= 2**24
+
+
+def test_samples_are_bounded_in_bytes(spark, documents):
+    df = documents([(i, "x" * 1_000) for i in range(50)])
+    known = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, label int")
+    from shelfcast.llm.common import labelled_sample, within_bytes
+
+    sample = labelled_sample(df, known, 40)
+    assert within_bytes(sample, 10_500).count() == 10
+    assert within_bytes(sample, 10**9).count() == 40
+    assert {len(r.text) for r in within_bytes(sample, 10_500).collect()} == {1_000}
+
+
 def brute_counts(text):
     text = text or ""
     words = text.encode().split()
