@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bytenet, chat, minhash, mixing, pii, rules, sentences, sharding, toxicity, vectors
+from shelfcast.llm import (
+    bytenet,
+    chat,
+    interactions,
+    minhash,
+    mixing,
+    pii,
+    rules,
+    sentences,
+    sharding,
+    toxicity,
+    vectors,
+)
 from shelfcast.llm.common import crc_bucket, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,3 +158,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return rules.apply_rules(docs, rules.fit_rules(docs, labels))
+
+
+@query("op11_filter_audit", interactions.SQL)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit_filters(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    )
