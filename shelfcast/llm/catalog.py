@@ -14,6 +14,7 @@ from shelfcast.llm import (
     minhash,
     mixing,
     pii,
+    repair,
     rules,
     sentences,
     sharding,
@@ -165,3 +166,9 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audit_filters(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     )
+
+
+@query("op12_conversation_repair", repair.SQL)
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations")
+    return repair.repair_report(rows, repair.in_order(repair.damage(rows)))
