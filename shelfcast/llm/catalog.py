@@ -13,6 +13,7 @@ from shelfcast.llm import (
     interactions,
     minhash,
     mixing,
+    mtree,
     pii,
     repair,
     rules,
@@ -172,3 +173,8 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations")
     return repair.repair_report(rows, repair.in_order(repair.damage(rows)))
+
+
+@query("op13_top_k", mtree.SQL)
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.exact_top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
