@@ -261,10 +261,9 @@ def _assign(cells: Cells):
     return lean(run)
 
 
-def choose_pivots(vectors: DataFrame, rows: int, most: float) -> Cells:
-    """Pivots far from each other, out of PIVOT_ROWS rows with the lowest hash of their id: one
-    per TREE vectors, PIVOTS at most."""
-    wanted = min(PIVOTS, max(1, rows // TREE))
+def choose_pivots(vectors: DataFrame, wanted: int, most: float) -> Cells:
+    """At most ``wanted`` pivots far from each other, for every length among the PIVOT_ROWS rows
+    with the lowest hash of their id."""
     sample = vectors.orderBy(uniform_key("vec_id", seed=3), "vec_id").limit(PIVOT_ROWS)
     pivots: dict[int, np.ndarray] = {}
     by_width: dict[int, list[bytes]] = {}
@@ -298,16 +297,15 @@ def _packed(x: np.ndarray) -> bytes:
     return x.astype("<i4").tobytes()
 
 
-def _build_pages(cells: Cells):
+def _build_pages(cells: Cells, page: int):
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         width, cell, chunk = (int(k) for k in key)
         group = group.sort_values("vec_id")
         x = unpacked(group["vector"].tolist(), width)
         norms = group["norm"].to_numpy()
         pivot = x[0] if cell < 0 else cells.pivots[width][cell]
-        pages = build(
-            group["vec_id"].to_numpy(), x, norms, cells.most, pivot, float(pivot @ pivot)
-        )
+        ids = group["vec_id"].to_numpy()
+        pages = build(ids, x, norms, cells.most, pivot, float(pivot @ pivot), page=page)
         return pd.DataFrame(
             [
                 (
@@ -362,7 +360,9 @@ def _needs(cells: Cells):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            least = batch.column("least").cast(pa.float64()).to_numpy(zero_copy_only=False)
+            # rounded above 2^53; the slack of the bounds covers that
+            least = pc.cast(batch.column("least"), pa.float64(), safe=False)
+            least = least.to_numpy(zero_copy_only=False)
             for width, rows, x, norms in _by_width(batch):
                 pivots = cells.pivots.get(width, np.zeros((0, width)))
                 base = norms + cells.most
@@ -401,6 +401,10 @@ def exact_top_k(
     *,
     vec_id: str = "vec_id",
     vector: str = "embedding",
+    tree: int = TREE,
+    page: int = PAGE,
+    block: int = BLOCK,
+    pivots: int = PIVOTS,
 ) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): of every row of ``vectors`` for which ``is_query``
     (an expression over its id, named vec_id) holds, the k other rows of the highest integer
@@ -416,7 +420,8 @@ def exact_top_k(
     )
     entries = stage(rows, "mtree-vectors")
     size = entries.agg(F.max("norm").alias("most"), F.count(F.lit(1)).alias("n")).first()
-    cells = choose_pivots(entries, size["n"], float(size["most"] or 0.0))
+    wanted = min(pivots, max(1, size["n"] // tree))
+    cells = choose_pivots(entries, wanted, float(size["most"] or 0.0))
     dealt = stage(
         entries.mapInArrow(
             _assign(cells), "vec_id long, width int, vector binary, norm double, cell int"
@@ -424,19 +429,19 @@ def exact_top_k(
         "mtree-cells",
     )
     pages = stage(
-        _chunked(dealt, ["width", "cell"], TREE, "chunk")
+        _chunked(dealt, ["width", "cell"], tree, "chunk")
         .groupBy(*TREE_KEY)
-        .applyInPandas(_build_pages(cells), _PAGES),
+        .applyInPandas(_build_pages(cells, page), _PAGES),
         "mtree-pages",
     )
     trees = pages.where("node = 0").select(*TREE_KEY, "radius")
 
     asked = dealt.where(is_query)
-    blocks = max(1, -(-asked.count() // BLOCK))
+    blocks = min(wanted, max(1, -(-asked.count() // block)))
     # few queries of several pivots share a block, many of one pivot are dealt to several
-    share = F.floor(F.greatest("cell", F.lit(0)) * min(blocks, PIVOTS) / PIVOTS).cast("int")
+    share = F.floor(F.greatest("cell", F.lit(0)) * blocks / wanted).cast("int")
     queries = stage(
-        _chunked(asked.withColumn("_share", share), ["width", "_share"], BLOCK, "_part").select(
+        _chunked(asked.withColumn("_share", share), ["width", "_share"], block, "_part").select(
             "vec_id",
             "width",
             "vector",

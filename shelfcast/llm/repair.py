@@ -311,26 +311,35 @@ _PIECES_TYPE = pa.list_(
 )
 
 
+_REPAIRS = [
+    ("cost", pa.int64()), ("audit", pa.string()), ("illegal", pa.int64()), ("pieces", _PIECES_TYPE)
+]
+
+
 def _compose_conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(batch.num_rows):
-            blocks = batch.column("blocks")[at].as_py()
+        held: list[tuple] = []
+        size = begin = 0
+        for at, row in enumerate(batch.column("blocks")):
+            blocks = row.as_py()
             cost, audit = cheapest(compose_all([_table(b["tops"]) for b in blocks]))
             initials = [b["initials"] for b in blocks]
             pieces = [
                 {"block": b["block"], "start": start, "edits": edits}
                 for b, (start, edits) in zip(blocks, pieces_of(audit, initials), strict=True)
             ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("conv_id").slice(at, 1),
-                    pa.array([cost], pa.int64()),
-                    pa.array([audit], pa.string()),
-                    pa.array([illegal_pairs("".join(initials))], pa.int64()),
-                    pa.array([pieces], _PIECES_TYPE),
-                ],
-                names=["conv_id", "cost", "audit", "illegal", "pieces"],
-            )
+            held.append((cost, audit, illegal_pairs("".join(initials)), pieces))
+            size += len(audit)
+            if size > 1_000_000 or at == batch.num_rows - 1:
+                columns = zip(zip(*held, strict=True), _REPAIRS, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("conv_id").slice(begin, len(held)),
+                        *(pa.array(values, kind) for values, (_, kind) in columns),
+                    ],
+                    names=["conv_id", *(name for name, _ in _REPAIRS)],
+                )
+                held, size, begin = [], 0, at + 1
 
 
 def repairs(faults: DataFrame) -> DataFrame:
