@@ -7,9 +7,10 @@ distance: d(q, v)^2 = |q|^2 + M^2 - 2 q.v. That is a metric, so an M-tree can se
 Vectors are dealt to the nearest of a few pivots, and a pivot's vectors to trees of bounded size.
 A tree is a table of pages: inner pages route to pages below, leaf pages hold vectors; each page
 keeps its routing vector, covering radius and distance to the routing vector of its parent, each
-entry of a leaf its distance to the routing vector. A query goes through a tree best first: a heap
-of pages by their least possible distance, until that is beyond the k-th best found. What the
-stored distances rule out by the triangle inequality is never computed.
+entry of a leaf its distance to the routing vector. The queries of a block go through a tree
+together, best first: a heap of pages by their least possible distance, until that is beyond the
+k-th best found. What the stored distances rule out by the triangle inequality for all queries
+that look into a page is never computed.
 
 Queries stand in blocks of bounded size. First each searches a tree of its own pivot, which gives
 it a k-th best; then its block is matched with the trees that some query of it cannot rule out by
@@ -43,7 +44,7 @@ from shelfcast.sources.staging import stage
 
 # Documented parameters: vectors of a tree and a page, pages under a page, queries of a block,
 # pivots and the rows they are chosen from.
-TREE, PAGE, FANOUT = 8_192, 128, 32
+TREE, PAGE, FANOUT = 8_192, 256, 32
 BLOCK = 1_024
 PIVOTS, PIVOT_ROWS = 32, 512
 SEED = 11
@@ -177,49 +178,82 @@ class Tree:
         self.computed = 0
 
     def search(
-        self, query: np.ndarray, norm: float, query_id: int, k: int, least: int | None = None
-    ) -> list[tuple[int, int]]:
-        """The k best (score, id), best first, of those that score at least ``least``."""
-        base, slack = norm + self.most, SLACK * math.sqrt(self.most)
-        best: list[tuple[int, int]] = []
-
-        def limit() -> float:
-            bound = best[-1][0] if len(best) == k else least
-            if least is not None and bound is not None:
-                bound = max(bound, least)
-            return math.inf if bound is None else math.sqrt(max(base - 2 * float(bound), 0)) + slack
-
-        def apart(scores: np.ndarray) -> np.ndarray:
-            return np.sqrt(np.maximum(base - 2 * scores, 0))
-
-        reach = limit()
+        self,
+        queries: np.ndarray,
+        norms: np.ndarray,
+        query_ids: np.ndarray,
+        k: int,
+        least: np.ndarray | None = None,
+    ) -> list[list[tuple[int, int]]]:
+        """Per query (a row of ``queries``) the k best (score, id), best first, of those that
+        score at least ``least`` (NaN: any).
+
+        The heap holds the pages still to be seen, by the least distance that any query could
+        find in them. What a page costs is paid only for the queries it is open for: those
+        whose bound for it is within their k-th best distance.
+        """
+        base, slack = norms + self.most, SLACK * math.sqrt(self.most)
+        bounds = np.full(len(queries), np.nan) if least is None else least.astype(np.float64)
+        floors = [-math.inf if math.isnan(b) else int(b) for b in bounds.tolist()]
+        best: list[list[tuple[int, int]]] = [[] for _ in queries]
         root = self.pages[0]
-        gap = float(apart(np.array([root.routing @ query]))[0])
-        heap = [(max(gap - root.radius, 0.0), 0, gap)]
+
+        def apart(scores: np.ndarray, asking: np.ndarray) -> np.ndarray:
+            return np.sqrt(np.maximum(base[asking, None] - 2 * scores, 0))
+
+        every = np.arange(len(queries))
+        reach = np.where(np.isnan(bounds), np.inf, np.sqrt(np.maximum(base - 2 * bounds, 0)) + slack)
+        gaps = {0: apart((queries @ root.routing)[:, None], every)[:, 0]}
+        heap = [(0.0, 0)]
         while heap:
-            bound, number, gap = heapq.heappop(heap)
-            if bound > reach:
+            nearest, number = heapq.heappop(heap)
+            gap, page = gaps.pop(number), self.pages[number]
+            if nearest > reach.max():
                 break
-            page = self.pages[number]
-            if page.leaf:
-                near = np.flatnonzero((np.abs(gap - page.reach) <= reach) & (page.ids != query_id))
-                self.computed += len(near)
-                if not len(near):
-                    continue
-                scores = products(page.members[near], query, self.most, norm)
-                found = zip((-scores).tolist(), page.ids[near].tolist(), strict=True)
-                merged = heapq.nsmallest(k, [*found, *((-s, i) for s, i in best)])
-                best = [(-s, i) for s, i in merged]
-                reach = limit()
+            asking = np.flatnonzero(gap - page.radius <= reach)
+            if not len(asking):
+                continue
+            gap, far = gap[asking], reach[asking]
+            if not page.leaf:
+                numbers, routings, radii, between = self.below[number]
+                possible = np.abs(gap[:, None] - between) - radii <= far[:, None]
+                open_ = np.flatnonzero(possible.any(axis=0))
+                self.computed += len(open_) * len(asking)
+                there = apart(queries[asking] @ routings[open_].T, asking)
+                for at, n in enumerate(numbers[open_].tolist()):
+                    mine = np.where(possible[:, open_[at]], there[:, at], np.inf)
+                    bound = float((mine - radii[open_[at]]).min())
+                    if bound < np.inf:
+                        gaps[n] = np.full(len(queries), np.inf)
+                        gaps[n][asking] = mine
+                        heapq.heappush(heap, (max(bound, 0.0), n))
+                continue
+            near = np.abs(gap[:, None] - page.reach) <= far[:, None]
+            near &= page.ids != query_ids[asking, None]
+            entries = np.flatnonzero(near.any(axis=0))
+            self.computed += len(entries) * len(asking)
+            if not len(entries):
                 continue
-            numbers, routings, radii, gaps = self.below[number]
-            open_ = np.flatnonzero(np.abs(gap - gaps) - radii <= reach)
-            self.computed += len(open_)
-            there = apart(routings[open_] @ query)
-            for n, d, r in zip(numbers[open_].tolist(), there.tolist(), radii[open_].tolist(), strict=True):
-                if d - r <= reach:
-                    heapq.heappush(heap, (max(d - r, bound), n, d))
-        return best if least is None else [b for b in best if b[0] >= least]
+            whole = len(entries) == len(page.ids)
+            members = page.members if whole else page.members[entries]
+            scores = products(queries[asking], members, self.most, float(norms[asking].max()))
+            limits = [best[q][-1][0] if len(best[q]) == k else floors[q] for q in asking.tolist()]
+            good = scores >= np.array(limits, np.float64)[:, None] - 1  # compared exactly below
+            good &= near if whole else near[:, entries]
+            for at in np.flatnonzero(good.any(axis=1)).tolist():
+                q, found = int(asking[at]), np.flatnonzero(good[at])
+                own = scores[at, found]
+                if len(found) > k:
+                    kept = own >= np.partition(own, -k)[-k]
+                    found, own = found[kept], own[kept]
+                ids = page.ids[entries[found]].tolist()
+                added = [(-s, i) for s, i in zip(own.tolist(), ids, strict=True) if s >= floors[q]]
+                merged = heapq.nsmallest(k, [*added, *((-s, i) for s, i in best[q])])
+                best[q] = [(-s, i) for s, i in merged]
+                if len(best[q]) == k:
+                    bound = max(best[q][-1][0], floors[q])
+                    reach[q] = math.sqrt(max(base[q] - 2 * float(bound), 0)) + slack
+        return best
 
 
 @dataclass(frozen=True)
@@ -340,16 +374,15 @@ def _search_pair(most: float, k: int, first: bool):
 
     def run(key: tuple, pages: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         found = []
+        width, cell, chunk = (int(c) for c in key[1:])
+        queries = queries[((queries["home"] == cell) & (chunk == 0)) == first]
         if len(pages) and len(queries):
-            width, cell, chunk = (int(c) for c in key[1:])
             tree = _read_tree(pages, width, most)
-            for q in queries.itertuples():
-                own = q.home == cell and chunk == 0
-                if own != first:
-                    continue
-                least = None if first or pd.isna(q.least) else int(q.least)
-                best = tree.search(unpacked([q.vector], width)[0], q.norm, q.vec_id, k, least)
-                found += [(q.vec_id, i, s) for s, i in best]
+            asked = unpacked(queries["vector"].tolist(), width)
+            ids = queries["vec_id"].to_numpy()
+            least = None if first else queries["least"].to_numpy(np.float64, na_value=np.nan)
+            results = tree.search(asked, queries["norm"].to_numpy(), ids, k, least)
+            found = [(q, i, s) for q, best in zip(ids, results, strict=True) for s, i in best]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     return run

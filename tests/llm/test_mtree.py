@@ -122,7 +122,7 @@ def test_bounds_avoid_computations():
     tree = M.Tree(M.build(np.arange(4_000), x, norms, most, x[0], norms[0], page=32), most)
     longest = norms.argsort()[-20:]
     for q in longest.tolist():
-        best = tree.search(x[q], norms[q], q, 5)
+        (best,) = tree.search(x[[q]], norms[[q]], np.array([q]), 5)
         scores = (x @ x[q]).astype(int)
         order = sorted((-s, i) for i, s in enumerate(scores.tolist()) if i != q)[:5]
         assert best == [(-s, i) for s, i in order]
