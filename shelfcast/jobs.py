@@ -14,13 +14,19 @@ from pyspark.sql import SparkSession
 
 from shelfcast.operators.cleaning import clean_tables
 from shelfcast.operators.requests import check_requests, rejected_requests, valid_requests
-from shelfcast.operators.summaries import latest, newest_first
+from shelfcast.operators.summaries import newest_first
 from shelfcast.plans.dataset import model_dataset
 from shelfcast.plans.scoring import predict
 from shelfcast.plans.sizing import sized_shuffles
 from shelfcast.plans.training import TREES, load_model, train_job
 from shelfcast.schemas import RAW_REQUEST_SCHEMA, RAW_SCHEMAS, SALE_KEYS
-from shelfcast.sinks.audit import append_dataset, append_predictions, create_tables, read_audit
+from shelfcast.sinks.audit import (
+    append_dataset,
+    append_predictions,
+    create_tables,
+    read_audit,
+    read_latest,
+)
 from shelfcast.sinks.tables import write_dataset, write_table
 from shelfcast.sources.staging import dropping_staged, staged
 from shelfcast.sources.tables import (
@@ -29,7 +35,7 @@ from shelfcast.sources.tables import (
     read_model_dataset,
     read_raw_tables,
 )
-from shelfcast.streaming.requests import read_requests, score_stream
+from shelfcast.streaming.requests import read_requests, score_stream, write_rejected
 
 
 def clean_job(
@@ -63,12 +69,13 @@ def audit_job(spark: SparkSession, dataset: str, root: str, *, run_id: str) -> N
 def score_job(
     spark: SparkSession, requests: str, model: str, root: str, rejected: str, *, run_id: str
 ) -> None:
-    """A batch of request files into the prediction audit table; invalid requests aside."""
+    """A batch of request files into the prediction audit table; invalid requests aside, under
+    the name of the run."""
     read = check_requests(spark.read.schema(RAW_REQUEST_SCHEMA).json(requests))
     create_tables(spark, root)
     with staged(read, "requests") as checked:
         append_predictions(predict(load_model(model), valid_requests(checked)), root, run_id=run_id)
-        write_table(rejected_requests(checked), rejected)
+        write_rejected(rejected_requests(checked), rejected, run_id)
 
 
 def stream_job(
@@ -92,8 +99,7 @@ def stream_job(
 def reports_job(spark: SparkSession, root: str, out: str, *, rows: int = 10) -> None:
     """The reports over the audit tables: latest predictions, metrics by time, first rows of
     the dataset."""
-    predictions = read_audit(spark, root, "predicciones")
-    write_table(latest(predictions, "fecha_prediccion", rows), f"{out}/predicciones")
+    write_table(read_latest(spark, root, "predicciones", rows), f"{out}/predicciones")
     metrics = read_audit(spark, root, "metricas_modelo")
     write_table(newest_first(metrics, "fecha_entrenamiento"), f"{out}/metricas_modelo")
     dataset = read_audit(spark, root, "dataset_modelo")

@@ -1,10 +1,11 @@
 """Scoring request files as they arrive.
 
 The stream is stateless. Each micro-batch is read and checked once and then split: valid
-requests are scored and appended to the prediction audit table as a run of their own,
-rejected ones go to the quarantine by batch. Both writes replace what an earlier attempt of
-the same batch has left, and the checkpoint remembers which files were read, so a restart
-neither repeats nor loses a request. Rows of other runs stay as they are.
+requests are scored and committed to the prediction audit table as a run of their own,
+rejected ones go to the quarantine by batch. A batch that an earlier attempt has committed is
+not scored again, its quarantine is replaced, and the checkpoint remembers which files were
+read, so a restart neither repeats nor loses a request. Rows of other runs stay as they are.
+Every ``COMPACT_EVERY`` batches the small files of the table become few.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfcast.operators.requests import check_requests, rejected_requests, valid_requests
 from shelfcast.plans.scoring import predict
 from shelfcast.schemas import RAW_REQUEST_SCHEMA
-from shelfcast.sinks.audit import append_predictions
+from shelfcast.sinks.audit import append_predictions, compact_audit
 from shelfcast.sources.staging import staged
 
 FILES_PER_BATCH = 1000
+COMPACT_EVERY = 50
 BATCH = "lote"
 
 
@@ -51,8 +53,11 @@ def _each_batch(
     def process(checked: DataFrame, batch: int) -> None:
         run = f"{run_id}-{batch}"
         with staged(checked, "request-batch") as stored:  # the requests are read once
-            append_predictions(predict(model, valid_requests(stored)), audit_root, run_id=run)
+            predicted = predict(model, valid_requests(stored))
+            append_predictions(predicted, audit_root, run_id=run, again=False)
             write_rejected(rejected_requests(stored), rejected_path, run)
+        if batch % COMPACT_EVERY == COMPACT_EVERY - 1:
+            compact_audit(checked.sparkSession, audit_root, "predicciones")
 
     return process
 
