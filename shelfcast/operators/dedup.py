@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.operators.joins import BROADCAST_BYTES
+from shelfcast.sources.staging import stage
+
+_DIGEST_BYTES = 48  # two longs in a hashed relation
+
 
 def drop_identical_rows(df: DataFrame) -> DataFrame:
     """One row of every set of rows equal in all columns (NULLs count as equal).
@@ -14,6 +19,24 @@ def drop_identical_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def drop_identical_wide_rows(df: DataFrame, *, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The same result for wide rows of which few are copies. Only digests of 128 bits are
+    shuffled; rows whose digest occurs once stay where they are, the others are compared in
+    full. ``df`` is read three times, best from a stored table. Where the repeated digests take
+    more than ``limit`` bytes, so that they cannot be broadcast, all rows are compared."""
+    digest = {"_d1": F.xxhash64(F.lit(1), *df.columns), "_d2": F.xxhash64(F.lit(2), *df.columns)}
+    marked = df.withColumns(digest)
+    keys = list(digest)
+    counts = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = stage(counts.where("_n > 1").select(*keys), "repeated-digests")
+    if repeated.count() * _DIGEST_BYTES > limit:
+        return drop_identical_rows(df)
+    few = F.broadcast(repeated)  # measured above
+    once = marked.join(few, keys, "left_anti").select(*df.columns)
+    copies = marked.join(few, keys, "left_semi").select(*df.columns)
+    return once.unionByName(drop_identical_rows(copies))
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """The first row of every key by ``order``; ties go to the smaller remaining columns. A value
     comes before NULL.

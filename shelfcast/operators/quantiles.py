@@ -54,3 +54,34 @@ def approximate_quantile(
     return df.where(~F.isnan(value.cast("double"))).agg(
         F.percentile_approx(value, q, accuracy).alias(column)
     )
+
+
+# Documented parameter: size of a sketch; ranks are off by about 1.33 % of the rows for 200,
+# halved with every doubling.
+SKETCH_K = 1_600
+
+
+def quantile_sketches(df: DataFrame, column: str, *by: str, k: int = SKETCH_K) -> DataFrame:
+    """Per value of ``by`` a KLL sketch of the column (boceto) and the number of its values (n).
+    NULL and NaN do not count. A stored table of sketches answers for any union of its groups."""
+    value = F.col(column).cast("double")
+    return (
+        df.where(value.isNotNull() & ~F.isnan(value))
+        .groupBy(*by)
+        .agg(F.kll_sketch_agg_double(value, k).alias("boceto"), F.count(value).alias("n"))
+    )
+
+
+def merge_sketches(sketches: DataFrame, *by: str, k: int = SKETCH_K) -> DataFrame:
+    """The sketches of groups as those of their unions by ``by``."""
+    return sketches.groupBy(*by).agg(
+        F.kll_merge_agg_double("boceto", k).alias("boceto"), F.sum("n").alias("n")
+    )
+
+
+def sketched_quantile(sketches: DataFrame, column: str, q: float = 0.5) -> DataFrame:
+    """The quantile of every sketch, under the name of the column, beside its other columns."""
+    rest = [c for c in sketches.columns if c not in ("boceto", "n")]
+    return sketches.where("n > 0").select(
+        *rest, F.kll_sketch_get_quantile_double("boceto", F.lit(q)).alias(column)
+    )

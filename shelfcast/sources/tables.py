@@ -57,9 +57,56 @@ def _typed(text: DataFrame, schema: StructType, bad: str, path: str) -> DataFram
     return text.select(*columns)
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, named by the header. Every file has to have the same header."""
-    return spark.read.option("header", True).option("enforceSchema", False).csv(path)
+def csv_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of the header. Every file has to have the same header."""
+    return spark.read.option("header", True).option("enforceSchema", False).csv(path).columns
+
+
+def read_csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of the files other than headers and empty ones: archivo, linea, campos (the fields
+    as texts by name) and motivo: NULL, ``campos`` where a line has more or fewer fields than the
+    header, ``comillas`` where a quote is left open."""
+    names = csv_columns(spark, path)
+    quoted = [f"`{n.replace('`', '``')}`" for n in names]
+    fields = F.from_csv(
+        "linea",
+        ", ".join(f"{q} string" for q in [*quoted, "`_linea`"]),
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_linea"},
+    )
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("archivo"), F.col("value").alias("linea")
+    )
+    # a quote behind a backslash is part of a field
+    open_quote = F.regexp_count("linea", F.lit(r'(?<!\\)"')) % 2 == 1
+    ragged = F.col("campos").getField("_linea").isNotNull()
+    header = F.lit(True)
+    for name in names:
+        header = header & F.col("campos").getField(name).eqNullSafe(F.lit(name))
+    return (
+        lines.where(F.trim("linea") != "")
+        .withColumn("campos", fields)
+        .where(~header)
+        .withColumn("motivo", F.when(open_quote, "comillas").when(ragged, "campos"))
+    )
+
+
+def read_csv_text(spark: SparkSession, path: str, *, bad: str = "null") -> DataFrame:
+    """All columns as text, named by the header. A line that is malformed (see
+    ``read_csv_lines``) stops the job with ``bad="fail"``, otherwise it is left out."""
+    lines = read_csv_lines(spark, path)
+    fields = F.col("campos")
+    if bad == "fail":
+        what = F.concat_ws(": ", "archivo", F.lit("malformed line"), "motivo", "linea")
+        fields = F.when(F.col("motivo").isNotNull(), F.raise_error(what)).otherwise(fields)
+    else:
+        lines = lines.where("motivo IS NULL")
+    return lines.select(fields.alias("campos")).select("campos.*").drop("_linea")
+
+
+def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The quarantine of a CSV: archivo, linea and motivo of every malformed line."""
+    found = read_csv_lines(spark, path).where("motivo IS NOT NULL")
+    return found.select("archivo", "linea", "motivo")
 
 
 def read_table(
@@ -72,10 +119,11 @@ def read_table(
 ) -> DataFrame:
     """Scan one table. CSV has a header row, and its columns may stand in any order; with a
     schema a field that is not empty but cannot be read stops the job, or becomes NULL with
-    ``bad="null"`` (``unreadable_values`` counts them). Without a schema types are inferred,
-    which costs an extra pass over the files."""
+    ``bad="null"`` (``unreadable_values`` counts them). A malformed line stops the job too, or
+    is left out (``malformed_lines`` has them). Without a schema types are inferred, which costs
+    an extra pass over the files."""
     if fmt == "csv" and schema is not None:
-        return _typed(read_csv_text(spark, path), schema, bad, path)
+        return _typed(read_csv_text(spark, path, bad=bad), schema, bad, path)
     reader = spark.read
     if fmt == "csv":
         reader = reader.option("header", True).option("inferSchema", True)
