@@ -5,6 +5,7 @@ from shelfcast.catalog import (  # noqa: F401  (importing registers the queries)
     cleaning,
     functions,
     joins,
+    layouts,
     models,
     sources_and_sinks,
     windows,
