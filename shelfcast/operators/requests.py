@@ -11,7 +11,6 @@ from pyspark.sql.types import IntegerType
 from shelfcast.schemas import FEATURES, REQUEST_SCHEMA, TARGET
 
 REASONS = "motivos"
-PLAIN_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 
@@ -35,29 +34,58 @@ def model_input(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     return df.select(*features)
 
 
-def _typed(name: str, text: Column) -> tuple[Column, Column]:
-    """Value of a raw field and whether it is valid: a plain finite number, whole for integer
-    fields. NaN, infinities and spellings such as 10f would stop the model or the batch."""
-    value = F.trim(text).try_cast("double")
-    finite = ~F.isnan(value) & (F.abs(value) < float("inf"))
-    number = F.when(F.trim(text).rlike(PLAIN_NUMBER) & finite, value)
-    if isinstance(REQUEST_SCHEMA[name].dataType, IntegerType):
-        whole = (number == F.floor(number)) & number.between(_INT_MIN, _INT_MAX)
-        return F.when(whole, number.try_cast("int")), F.coalesce(whole, F.lit(False))
-    return number, number.isNotNull()
+def _read(field: Column) -> Column:
+    """The text of a field without spaces around it, and what a cast makes of it."""
+    plain = F.trim(field["text"])
+    return F.struct(
+        field["name"].alias("name"),
+        field["whole"].alias("whole"),
+        plain.alias("plain"),
+        plain.try_cast("double").alias("value"),
+    )
+
+
+def _judged(field: Column) -> Column:
+    """The value of a field that is a plain finite number, and whole where it has to be; NULL for
+    anything else. NaN, infinities and spellings such as 10f or 0x1p3 would stop the model or
+    the batch. Of what a cast reads, plain spellings are those without an x that begin with no
+    control character and end with a digit or a point: cheaper to see than by a pattern."""
+    plain, value = field["plain"], field["value"]
+    finite = F.abs(value) < float("inf")  # NaN is larger than infinity
+    spelled = (F.ascii(plain) > 32) & F.right(plain, F.lit(1)).isin(*"0123456789.")
+    hexadecimal = plain.contains("x") | plain.contains("X")
+    fits = ~field["whole"] | ((value == F.floor(value)) & value.between(_INT_MIN, _INT_MAX))
+    return F.struct(
+        field["name"].alias("name"),
+        F.when(finite & spelled & ~hexadecimal & fits, value).alias("value"),
+    )
 
 
 def check_requests(raw: DataFrame) -> DataFrame:
     """Requests with every field typed (NULL where invalid) and the list of invalid fields.
-    A field that is missing altogether is invalid in every row."""
-    columns, faults = [], []
+    A field that is missing altogether is invalid in every row.
+
+    The fields go through one loop over an array. As expressions of their own the checks of 15
+    fields make a method too long to be compiled, and a filter on the verdict repeats them."""
+    fields = []
     for name in FEATURES:
         text = F.col(name).cast("string") if name in raw.columns else F.lit(None).cast("string")
-        value, valid = _typed(name, text)
-        columns.append(value.alias(name))
-        faults.append(F.when(~valid, F.lit(name)))
+        whole = isinstance(REQUEST_SCHEMA[name].dataType, IntegerType)
+        fields.append(
+            F.struct(F.lit(name).alias("name"), F.lit(whole).alias("whole"), text.alias("text"))
+        )
+    judged = F.transform(F.transform(F.array(*fields), _read), _judged)
     extra = [c for c in raw.columns if c not in FEATURES]
-    return raw.select(*extra, *columns, F.array_compact(F.array(*faults)).alias(REASONS))
+    # an exploded array of one is computed once, whatever filters on it
+    rows = raw.select(*extra, F.explode(F.array(judged)).alias("_fields"))
+    values = [
+        F.get("_fields", F.lit(i))["value"].cast(REQUEST_SCHEMA[name].dataType).alias(name)
+        for i, name in enumerate(FEATURES)
+    ]
+    faults = F.transform(
+        F.filter("_fields", lambda f: f["value"].isNull()), lambda f: f["name"]
+    )
+    return rows.select(*extra, *values, faults.alias(REASONS))
 
 
 def valid_requests(checked: DataFrame) -> DataFrame:
