@@ -3,25 +3,34 @@ r"""Personal data: base rules, proposed candidates, boosted trees, redaction.
 Base rules find e-mail addresses, IP addresses, card and phone numbers by format and check.
 On top of them loose generators propose overlapping candidates, several from every start, also
 beside base spans and other numbers; boosted trees score each by
-its format and the characters around it; a threshold per kind, calibrated on the candidates
-of all documents that the trees did not learn from, decides which are added. The trees learn
-from documents of a bounded sample, where base spans are the positive candidates; checksums
-are no feature, so what looks and stands like personal data scores high although a check fails.
-Of overlapping spans above the threshold the one with the highest score is added.
+its format and the characters around it; a calibrated probability per kind decides which are
+added. It is a logistic curve over the scores of the candidates of all documents that the trees
+did not learn from, one curve for all kinds with an offset for each that shrinks to nothing
+where a kind is rare, so it is defined at any size. The trees learn from documents of a bounded
+sample, where base spans are the positive candidates; checksums are no feature, so what looks
+and stands like personal data scores high although a check fails.
+
+Of overlapping candidates above the threshold the one with the highest score is added, then the
+next that overlaps none. A run of more than ``PIECE`` candidates that overlap one after another is
+cut into pieces of so many; where what is added in neighbouring pieces overlaps, the better stays.
 
 All of it is expressions over one row: the trees become CASE expressions, so scoring is a
-part of the scan, without shuffle or Python.
+part of the scan, without shuffle or Python. Positions are sums in two levels, overlaps are
+looked up by halving sorted spans and text is cut out of windows, so work grows with the length
+of a text, not with its square.
 
 Semantics: a null text is empty and has no spans. Positions are code points, ends exclusive.
-Equal texts get equal spans. Where the sample has no positive or no negative candidates, or
-no threshold is precise enough, nothing is added. Other columns are kept untouched.
+Equal texts get equal spans. Where the sample has no positive or no negative candidates nothing
+is added. Other columns are kept untouched.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -57,10 +66,11 @@ EMAIL_TAIL = r"^[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+"
 # characters in the format of a kind. Groups are looked at in blocks of 64; a run that begins in
 # a block may end behind it.
 BLOCK = r"(?<![0-9])[0-9](?=[0-9 ().:+-]{5})[0-9]*+(?:[ ().:+-]{1,28}[0-9]++){0,63}+"
-LONGEST = 30
+LONGEST = 40
 LOOSE = {
     "ip": r"^[0-9]{1,4}(?:[.:-][0-9]{1,4}){3}$",
-    "card": r"^[0-9][0-9 .-]{10,28}[0-9]$",
+    # 12 to 20 digits, also with a separator between every two
+    "card": r"^(?=(?:[^0-9]?[0-9]){12,20}$)[0-9][0-9 .-]{10,38}[0-9]$",
     "phone": r"^[+(]{0,2}[0-9][0-9 ().-]{5,22}[0-9]$",
 }
 # Words around a candidate that speak for a kind.
@@ -76,33 +86,154 @@ CONTEXT = 32
 # Documented parameters: documents to learn from, trees, their depth, precision of added spans.
 SAMPLE_DOCS = 20_000
 TREES, DEPTH, SEED = 12, 3, 42
-PRECISION, LEAST_ABOVE, BINS = 0.9, 20, 50
+# Probability from which a candidate is added; steps and range of the scores that are counted;
+# how strongly the calibration keeps to that of the trees where there is little to see.
+PRECISION, STEPS, RANGE, RIDGE = 0.9, 5, 8, 1.0
+PIECE = 256
+# Numbers added up at a time, spans that share a window.
+LEVEL, GROUP = 256, 64
 
 _SPANS = "array<struct<start:int,end:int,value:string>>"
 
 
+def _larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
+def chunks(array: Column, size: int) -> Column:
+    """The array cut into arrays of ``size``; one empty array for an empty one."""
+    last = F.greatest(F.floor((F.size(array) - 1) / size), F.lit(0)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(array, i * size + 1, size))
+
+
+def running(numbers: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """What ``combine`` makes of 0 and all numbers before each place. An array that grows by
+    one number after the other is copied every time, so it is done in two levels."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        out = F.concat(acc["out"], F.array(acc["at"]))
+        return F.struct(combine(acc["at"], x).alias("at"), out.alias("out"))
+
+    def of(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), combine))
+        begins = F.aggregate(totals, start, step, lambda acc: acc["out"])
+
+        def inside(block: Column, begin: Column) -> Column:
+            own = F.struct(begin.alias("at"), F.array().cast("array<int>").alias("out"))
+            return F.aggregate(block, own, step, lambda acc: acc["out"])
+
+        return F.flatten(F.zip_with(blocks, begins, inside))
+
+    return let(chunks(numbers, LEVEL), of)
+
+
 def spans_of(text: Column, pattern: str) -> Column:
     """All matches of ``pattern`` with their positions: gaps and matches alternate."""
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(values))
-    both = F.zip_with(
-        gaps, values, lambda g, v: F.struct(F.length(g).alias("gap"), v.alias("value"))
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
 
-    def step(acc: Column, x: Column) -> Column:
-        at = acc["at"] + x["gap"]
-        end = at + F.length(x["value"])
-        span = F.struct(at.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+    def placed(values: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), 1, F.size(values))
+        sizes = F.zip_with(
+            gaps, values, lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("n"), v.alias("v"))
+        )
+
+        def ends(found: Column) -> Column:
+            lengths = F.transform(found, lambda x: x["gap"] + x["n"])
+            return F.zip_with(
+                found,
+                running(lengths, lambda a, b: a + b),
+                lambda x, at: F.struct(
+                    (at + x["gap"]).alias("start"), (at + x["gap"] + x["n"]).alias("end"), x["v"].alias("value")
+                ),
+            )
+
+        return let(sizes, ends)
 
-    return F.aggregate(both, start, step, lambda acc: acc["spans"])
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
 
 def _none() -> Column:
     return F.array().cast(_SPANS)
 
 
+_INDEX = "array<struct<start:int,end:int,kind:int,reach:int>>"
+
+
+def span_index(spans: Column) -> Column:
+    """Spans (kind, start, end) by start, each with the largest end so far."""
+
+    def with_reach(found: Column) -> Column:
+        before = running(F.transform(found, lambda s: s["end"]), _larger)
+        return F.zip_with(
+            found,
+            before,
+            lambda s, at: F.struct(
+                s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"),
+                F.greatest(at, s["end"]).alias("reach"),
+            ),
+        )
+
+    by_start = F.array_sort(
+        F.transform(
+            spans,
+            lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
+        )
+    )
+    return F.when(F.size(spans) > 0, let(by_start, with_reach)).otherwise(F.array().cast(_INDEX))
+
+
+def _first(array: Column, holds: Callable[[Column], Column]) -> Column:
+    """Index of the first element for which ``holds``, which then holds for all behind it; by
+    halving."""
+    turns = F.sequence(F.lit(0), F.ceil(F.log2(F.size(array) + 1)).cast("int"))
+    start = F.struct(F.lit(0).alias("low"), F.size(array).alias("high"))
+
+    def halve(acc: Column, _: Column) -> Column:
+        mid = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        before = holds(F.get(array, mid))
+        return (
+            F.when(acc["low"] >= acc["high"], acc)
+            .when(before, F.struct(acc["low"].alias("low"), mid.alias("high")))
+            .otherwise(F.struct((mid + 1).alias("low"), acc["high"].alias("high")))
+        )
+
+    return F.aggregate(turns, start, halve, lambda acc: acc["low"])
+
+
+def spans_near(index: Column, begin: Column, end: Column) -> Column:
+    """The spans of an index that can overlap the positions from ``begin`` to ``end``."""
+    low = _first(index, lambda s: s["reach"] > begin)
+    high = _first(index, lambda s: s["start"] >= end)
+    near = F.slice(index, low + 1, F.greatest(high - low, F.lit(0)))
+    return F.when(F.size(index) > 0, near).otherwise(index)
+
+
+def _few_spans_of(text: Column, pattern: str) -> Column:
+    """``spans_of`` for a text with some dozen matches: in one level."""
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    sizes = F.zip_with(
+        F.slice(F.split(text, pattern, -1), 1, F.size(values)),
+        values,
+        lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("n")),
+    )
+    start = F.struct(
+        F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out")
+    )
+
+    def step(acc: Column, x: Column) -> Column:
+        begin = acc["at"] + x["gap"]
+        end = begin + x["n"]
+        span = F.struct(begin.alias("start"), end.alias("end"))
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+
+    return F.aggregate(sizes, start, step, lambda acc: acc["out"])
+
+
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -156,8 +287,13 @@ def base_spans(text: Column) -> Column:
     return F.concat(*found)
 
 
-def _candidate(number: int, text: Column, at: Column, start: Column, end: Column) -> Column:
-    """A candidate with its surroundings; ``text`` begins at position ``at`` of the document."""
+def _candidate(number: int, w: Column, start: Column, end: Column) -> Column:
+    """A candidate with its surroundings and how it lies to base spans: ``same`` as one of its
+    kind, on one of its own kind, or on any (``taken``). The window ``w`` holds the text from
+    position ``at`` of the document on and the base spans near it."""
+    text, at = w["window"], w["at"]
+    mine = F.filter(w["near"], lambda b: (b["start"] < end) & (start < b["end"]))
+    own = F.filter(mine, lambda b: b["kind"] == number)
     parts = {
         "kind": F.lit(number),
         "start": start,
@@ -169,74 +305,102 @@ def _candidate(number: int, text: Column, at: Column, start: Column, end: Column
             F.least(start - at, F.lit(CONTEXT)),
         ),
         "after": F.substring(text, end - at + 1, F.lit(CONTEXT // 2)),
+        "taken": F.size(mine) > 0,
+        "own": F.size(own) > 0,
+        "same": F.exists(own, lambda b: (b["start"] == start) & (b["end"] == end)),
     }
     return F.named_struct(*[x for k, v in parts.items() for x in (F.lit(k), v)])
 
 
-def _addresses(text: Column) -> Column:
+def _window(text: Column, index: Column, begin: Column, end: Column) -> dict[str, Column]:
+    """The text and the base spans around the positions from ``begin`` to ``end``."""
+    at = F.greatest(begin - CONTEXT, F.lit(0))
+    return {
+        "at": at,
+        "window": F.substring(text, at + 1, end - at + CONTEXT // 2 + 2),
+        "near": spans_near(index, begin, end),
+    }
+
+
+def _addresses(text: Column, index: Column) -> Column:
     """Candidates for e-mail addresses: wide ones and narrow ones, which may overlap."""
+    tail = 255
 
-    def whole(head: Column) -> Column:
-        tail = F.regexp_extract(F.substring(text, head["end"] + 1, F.lit(255)), EMAIL_TAIL, 0)
-        return F.struct(
-            head["start"].alias("start"),
-            (head["end"] + F.length(tail)).alias("end"),
-            F.concat(head["value"], tail).alias("value"),
+    def group(spans: Column) -> Column:
+        begin = spans[0]["start"]
+        furthest = F.array_max(F.transform(spans, lambda s: s["end"])) + tail
+
+        def inside(w: Column) -> Column:
+            def whole(s: Column) -> Column:
+                rest = F.substring(w["window"], s["end"] - w["at"] + 1, F.lit(tail))
+                found = F.when(s["head"], F.regexp_extract(rest, EMAIL_TAIL, 0)).otherwise("")
+                return F.struct(s["start"].alias("start"), (s["end"] + F.length(found)).alias("end"))
+
+            ends = F.array_distinct(F.transform(spans, whole))
+            return F.transform(ends, lambda s: _candidate(0, w, s["start"], s["end"]))
+
+        around = _window(text, index, begin, furthest)
+        return let(F.struct(*[value.alias(name) for name, value in around.items()]), inside)
+
+    def marked(pattern: str, head: bool) -> Column:
+        return F.transform(
+            spans_of(text, pattern),
+            lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(head).alias("head")),
         )
 
-    spans = F.array_distinct(
-        F.concat(spans_of(text, WIDE_EMAIL), F.transform(spans_of(text, EMAIL_HEAD), whole))
-    )
-    zero = F.lit(0)
-    return F.transform(spans, lambda s: _candidate(0, text, zero, s["start"], s["end"]))
+    spans = F.array_sort(F.concat(marked(WIDE_EMAIL, False), marked(EMAIL_HEAD, True)))
+    groups = let(spans, lambda found: F.filter(chunks(found, GROUP), lambda g: F.size(g) > 0))
+    return F.flatten(F.transform(groups, group))
 
 
-def _runs_in(text: Column) -> Callable[[Column], Column]:
+def _runs_in(text: Column, index: Column) -> Callable[[Column], Column]:
     """Candidates for the other kinds that begin in a block of digit groups."""
 
     def runs(block: Column) -> Column:
-        at = F.greatest(block["start"] - CONTEXT, F.lit(0))
         length = block["end"] - block["start"]
-        window = F.substring(text, at + 1, block["end"] - at + LONGEST + CONTEXT // 2 + 2)
-        body = F.substring(window, block["start"] - at + 1, length + LONGEST + 1)
-        # what is used more than once is bound by a lambda over an array of one
-        bound = F.array(
-            F.struct(
-                at.alias("at"),
-                window.alias("window"),
-                spans_of(body, "[0-9]++").alias("groups"),
-            )
-        )
-        return F.flatten(F.transform(bound, lambda w: _runs_of(w, block["start"], length)))
+        body = F.substring(text, block["start"] + 1, length + LONGEST + 1)
+        parts = {
+            **_window(text, index, block["start"] - 2, block["end"] + LONGEST),
+            "groups": _few_spans_of(body, "[0-9]++"),
+        }
+        around = F.struct(*[value.alias(name) for name, value in parts.items()])
+        return let(around, lambda w: _runs_of(w, block["start"], length))
 
     return runs
 
 
 def _runs_of(w: Column, block_start: Column, length: Column) -> Column:
-    groups, window, at = w["groups"], w["window"], w["at"]
+    window, at, groups = w["window"], w["at"], w["groups"]
 
-    def from_group(first: Column) -> Column:
+    def from_group(first: Column, place: Column) -> Column:
         start = block_start + first["start"]
         lead = F.substring(
             window, F.greatest(start - at - 3, F.lit(0)) + 1, F.least(start - at, F.lit(3))
         )
         sign = F.length(F.regexp_extract(lead, r"(?<![0-9A-Za-z])[+(]{1,2}$", 0))
         apart = ~lead.rlike("[0-9A-Za-z]$")
+        # groups and the separators between them take two characters each at least
         ends = F.filter(
-            groups,
+            F.slice(groups, place + 1, LONGEST // 2 + 1),
             lambda g: (g["end"] > first["start"] + 5) & (g["end"] <= first["start"] + LONGEST),
         )
 
         def kinds(last: Column) -> Column:
             end = block_start + last["end"]
-            proposed = [
-                F.when(F.lit(True) if kind == "card" else apart, _candidate(
-                    number, window, at, start - sign if kind == "phone" else start, end
-                ))
-                for number, kind in enumerate(KINDS)
-                if kind in LOOSE
-            ]
-            return F.filter(F.array(*proposed), _in_format)
+            value = F.substring(window, start - at + 1, end - start)
+            proposed = []
+            for number, kind in enumerate(KINDS):
+                if kind in LOOSE:
+                    # the format is looked at before anything else of a candidate is made
+                    fits = value.rlike(LOOSE[kind])
+                    if kind == "phone":
+                        signed = F.substring(window, start - sign - at + 1, end - start + sign)
+                        fits = signed.rlike(LOOSE[kind])
+                    if kind != "card":
+                        fits = fits & apart
+                    begin = start - sign if kind == "phone" else start
+                    proposed.append(F.when(fits, _candidate(number, w, begin, end)))
+            return F.array_compact(F.array(*proposed))
 
         return F.flatten(F.transform(ends, kinds))
 
@@ -244,28 +408,20 @@ def _runs_of(w: Column, block_start: Column, length: Column) -> Column:
     return F.flatten(F.transform(starts, from_group))
 
 
-def _in_format(c: Column) -> Column:
-    fits = F.lit(False)
-    for number, kind in enumerate(KINDS):
-        if kind in LOOSE:
-            fits = fits | ((c["kind"] == number) & c["value"].rlike(LOOSE[kind]))
-    return c.isNotNull() & fits
-
-
-def candidates(text: Column) -> Column:
-    """What the loose generators propose: kind, start, end, value and its surroundings. Spans
-    overlap, also within a kind."""
+def candidates(text: Column, index: Column | None = None) -> Column:
+    """What the loose generators propose: kind, start, end, value and its surroundings, and how
+    each lies to the base spans of ``index`` (none by default). Spans overlap, also within a
+    kind."""
+    if index is None:
+        index = F.array().cast(_INDEX)
     at = F.contains(text, F.lit("@")) | F.contains(text, F.lit("at]"))
     at = at | F.contains(text, F.lit("at)"))
-    none = F.filter(
-        F.array(_candidate(0, text, F.lit(0), F.lit(0), F.lit(0))), lambda c: F.lit(False)
-    )
-    blocks = F.when(
-        text.rlike("[0-9][0-9 ().:+-]{5}"), spans_of(text, BLOCK)
-    ).otherwise(_none())
+    w = F.struct(F.lit(0).alias("at"), text.alias("window"), index.alias("near"))
+    none = F.filter(F.array(_candidate(0, w, F.lit(0), F.lit(0))), lambda c: F.lit(False))
+    blocks = F.when(text.rlike("[0-9][0-9 ().:+-]{5}"), spans_of(text, BLOCK)).otherwise(_none())
     return F.concat(
-        F.when(at, _addresses(text)).otherwise(none),
-        F.flatten(F.transform(blocks, _runs_in(text))),
+        F.when(at, _addresses(text, index)).otherwise(none),
+        F.flatten(F.transform(blocks, _runs_in(text, index))),
     )
 
 
@@ -311,17 +467,75 @@ def _overlap(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
+def _best_apart(chosen: Column) -> Column:
+    """Of candidates (start, end, order, kind) by start those that stay: the best of a run that
+    overlaps, then the best that overlaps none taken. ``order`` is unique among them."""
+    empty = F.array().cast("array<struct<order:int,start:int,end:int,kind:int>>")
+
+    def take(piece: Column) -> Column:
+        def step(taken: Column, c: Column) -> Column:
+            return F.when(F.exists(taken, lambda t: _overlap(t, c)), taken).otherwise(
+                F.concat(taken, F.array(c))
+            )
+
+        by_order = F.transform(
+            piece,
+            lambda c: F.struct(
+                c["order"].alias("order"), c["start"].alias("start"), c["end"].alias("end"),
+                c["kind"].alias("kind"),
+            ),
+        )
+        return F.aggregate(F.array_sort(by_order), empty, step)
+
+    def pieces(found: Column) -> Column:
+        reach = running(F.transform(found, lambda c: c["end"]), _larger)
+        places = F.sequence(F.lit(0), F.size(found) - 1)
+
+        def cut(begins: Column) -> Column:
+            def own(begin: Column, i: Column) -> Column:
+                end = F.coalesce(F.get(begins, i + 1), F.size(found))
+                parts = F.sequence(begin, end - 1, F.lit(PIECE))
+                return F.transform(
+                    parts, lambda at: take(F.slice(found, at + 1, F.least(end - at, F.lit(PIECE))))
+                )
+
+            return F.flatten(F.transform(begins, own))
+
+        return let(
+            reach,
+            lambda r: let(F.filter(places, lambda i: F.get(found, i)["start"] >= F.get(r, i)), cut),
+        )
+
+    def borders(taken: Column) -> Column:
+        def stays(piece: Column, i: Column) -> Column:
+            beside = F.concat(
+                F.coalesce(F.get(taken, i - 1), empty), F.coalesce(F.get(taken, i + 1), empty)
+            )
+            return F.filter(
+                piece,
+                lambda c: ~F.exists(beside, lambda b: _overlap(b, c) & (b["order"] < c["order"])),
+            )
+
+        return F.flatten(F.transform(taken, stays))
+
+    resolved = let(let(chosen, pieces), borders)
+    return F.when(F.size(chosen) > 0, resolved).otherwise(empty)
+
+
+_RANKED = "array<struct<start:int,end:int,order:int,kind:int>>"
+
+
 @dataclass(frozen=True)
 class Redactor:
     """Boosted trees as nested tuples (feature, threshold, left, right) or leaf values, their
-    weights, and the score from which a candidate of a kind is redacted (None: never)."""
+    weights, and the log odds from which a candidate of a kind is redacted (None: never)."""
 
     trees: list = field(default_factory=list)
     weights: list = field(default_factory=list)
     thresholds: tuple = (None,) * len(KINDS)
 
-    def score(self, f: Column) -> Column:
-        """Probability for a column of features."""
+    def log_odds(self, f: Column) -> Column:
+        """Log odds for a column of features, before calibration."""
 
         def grow(node) -> Column:
             if not isinstance(node, tuple):
@@ -332,16 +546,15 @@ class Redactor:
         margin = F.lit(0.0)
         for tree, weight in zip(self.trees, self.weights, strict=True):
             margin = margin + grow(tree) * weight
-        return 1 / (1 + F.exp(-2 * margin))
+        return 2 * margin
 
-    def added_spans(self, text: Column, base: Column) -> Column:
-        """Candidates from the threshold of their kind on that overlap no base span; of those
-        overlapping each other the one with the highest score, then the longest, then the first."""
-        empty = F.array().cast("array<struct<kind:int,start:int,end:int>>")
+    def chosen(self, text: Column, index: Column) -> Column:
+        """Candidates from the threshold of their kind on that overlap no base span, by start;
+        ``order`` is the rank by score, then length, then place."""
         if all(t is None for t in self.thresholds):
-            return empty
-        limits = F.array(*[F.lit(2.0 if t is None else float(t)) for t in self.thresholds])
-        free = F.filter(candidates(text), lambda c: ~F.exists(base, lambda b: _overlap(b, c)))
+            return F.array().cast(_RANKED)
+        limits = F.array(*[F.lit(math.inf if t is None else float(t)) for t in self.thresholds])
+        free = F.filter(candidates(text, index), lambda c: ~c["taken"])
         scored = F.transform(
             F.transform(
                 free,
@@ -353,22 +566,22 @@ class Redactor:
                 ),
             ),
             lambda c: F.struct(
-                (-self.score(c["f"])).alias("order"),
+                # how far beyond the threshold: the same measure for all kinds
+                (F.get(limits, c["kind"]) - self.log_odds(c["f"])).alias("order"),
                 (c["start"] - c["end"]).alias("shortness"),
                 c["start"].alias("start"),
                 c["end"].alias("end"),
                 c["kind"].alias("kind"),
             ),
         )
-        chosen = F.filter(scored, lambda c: -c["order"] >= F.get(limits, c["kind"]))
-
-        def step(taken: Column, c: Column) -> Column:
-            span = F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
-            return F.when(F.exists(taken, lambda t: _overlap(t, c)), taken).otherwise(
-                F.concat(taken, F.array(span))
-            )
-
-        return F.aggregate(F.array_sort(chosen), empty, step)
+        best_first = F.array_sort(F.filter(scored, lambda c: c["order"] <= 0))
+        ranked = F.transform(
+            best_first,
+            lambda c, i: F.struct(
+                c["start"].alias("start"), c["end"].alias("end"), i.alias("order"), c["kind"].alias("kind")
+            ),
+        )
+        return F.array_sort(ranked)
 
 
 def _node(node) -> tuple | float:
@@ -391,22 +604,21 @@ def labelled_candidates(docs: DataFrame) -> DataFrame:
     """Candidates of ``docs`` (doc_id, text): doc_id, kind, features and whether they are a base
     span of their kind. Those that only overlap one are left out, as they are never added and
     no example of what is none."""
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(
-        "doc_id", base_spans(text).alias("base"), F.explode(candidates(text)).alias("c")
+    text = F.coalesce("text", F.lit("")).alias("text")
+    # step by step: the analysis of lambdas in lambdas takes a pass each
+    indexed = docs.select("doc_id", text, base_spans(text).alias("base")).select(
+        "doc_id", "text", span_index(F.col("base")).alias("index")
+    )
+    examples = F.filter(
+        candidates(F.col("text"), F.col("index")), lambda c: ~c["own"] | c["same"]
     )
+    rows = indexed.select("doc_id", F.explode(examples).alias("c"))
     c = F.col("c")
-    own = F.filter("base", lambda b: (b["kind"] == c["kind"]) & _overlap(b, c))
-    same = F.exists("own", lambda b: (b["start"] == c["start"]) & (b["end"] == c["end"]))
-    return (
-        rows.select("doc_id", "c", own.alias("own"))
-        .where((F.size("own") == 0) | same)
-        .select(
-            "doc_id",
-            c["kind"].alias("kind"),
-            features(c).alias("features"),
-            (F.size("own") > 0).cast("double").alias("label"),
-        )
+    return rows.select(
+        "doc_id",
+        c["kind"].alias("kind"),
+        features(c).alias("features"),
+        c["same"].cast("double").alias("label"),
     )
 
 
@@ -425,26 +637,51 @@ def training_candidates(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Data
 
 
 def score_counts(docs: DataFrame, model: Redactor, last_key: int) -> list:
-    """Candidates (n) and those that are base spans (hits) per kind and bin of the score, over
-    all documents but those learned from: at most BINS + 1 rows per kind. A document was
-    sampled where its key is not above ``last_key``."""
+    """Candidates (n) and those that are base spans (hits) per kind and step of the log odds,
+    over all documents but those learned from: at most 2 * STEPS * RANGE + 1 rows per kind. A
+    document was sampled where its key is not above ``last_key``."""
     learned = (uniform_key("doc_id", seed=7) <= last_key) & _learned_from()
     # the lambda computes the features of a candidate once for all nodes of the trees
-    score = F.transform(F.array("features"), model.score)[0]
+    odds = F.transform(F.array("features"), model.log_odds)[0]
+    step = F.round(F.greatest(F.least(odds, F.lit(RANGE)), F.lit(-RANGE)) * STEPS).cast("int")
     return (
-        labelled_candidates(docs.where(~learned))
-        .select("kind", "label", F.floor(score * BINS).alias("bin"))
-        .groupBy("kind", "bin")
+        labelled_candidates(docs.where(~F.coalesce(learned, F.lit(False))))
+        .select("kind", "label", step.alias("step"))
+        .groupBy("kind", "step")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("hits"))
         .collect()
     )
 
 
+def calibrate(counts: list) -> np.ndarray:
+    """Intercept and slope of a logistic curve over the log odds of the trees, and an offset per
+    kind, from rows (kind, step, n, hits). Ridges pull them to 0, 1 and 0: without rows the
+    probability is that of the trees, a rare kind follows the common curve."""
+    design = np.zeros((len(counts), 2 + len(KINDS)))
+    for row, r in enumerate(counts):
+        design[row, :2] = 1.0, r["step"] / STEPS
+        design[row, 2 + r["kind"]] = 1.0
+    n = np.array([float(r["n"]) for r in counts])
+    hits = np.array([float(r["hits"]) for r in counts])
+    prior = np.array([0.0, 1.0] + [0.0] * len(KINDS))
+    w = prior.copy()
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+        gradient = design.T @ (n * p - hits) + RIDGE * (w - prior)
+        hessian = (design * (n * p * (1 - p))[:, None]).T @ design + RIDGE * np.eye(len(w))
+        change = np.linalg.solve(hessian, gradient)
+        w -= np.clip(change, -1, 1)
+        if np.abs(change).max() < 1e-9:
+            break
+    return w
+
+
 def fit_redactor(
     docs: DataFrame, *, sample_docs: int = SAMPLE_DOCS, precision: float = PRECISION
 ) -> Redactor:
-    """Learn the trees on three in four documents of the sample and the thresholds on the
-    candidates of all other documents."""
+    """Learn the trees on three in four documents of the sample and the calibration on the
+    candidates of all other documents. A kind is redacted from the log odds on at which the
+    calibrated probability is ``precision``."""
     rows = stage(training_candidates(docs, sample_docs), "pii-candidates")
     seen = rows.agg(F.collect_set("label").alias("labels"), F.max("key").alias("key")).first()
     if set(seen["labels"]) != {0.0, 1.0}:
@@ -455,16 +692,12 @@ def fit_redactor(
     train = rows.select(array_to_vector("features").alias("features"), "label")
     fitted = trainer.fit(train)
     model = Redactor(_trees(fitted), list(fitted.treeWeights))
-    bins = score_counts(docs, model, seen["key"])
-    thresholds = []
-    for kind in range(len(KINDS)):
-        best, n, hits = None, 0, 0.0
-        for row in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
-            n, hits = n + row["n"], hits + row["hits"]
-            if n >= LEAST_ABOVE and hits / n >= precision:
-                best = row["bin"] / BINS
-        thresholds.append(best)
-    return Redactor(model.trees, model.weights, tuple(thresholds))
+    intercept, slope, *offsets = calibrate(score_counts(docs, model, seen["key"]))
+    wanted = math.log(precision / (1 - precision))
+    thresholds = tuple(
+        float((wanted - intercept - offset) / slope) if slope > 0 else None for offset in offsets
+    )
+    return Redactor(model.trees, model.weights, thresholds)
 
 
 def find_spans(
@@ -478,9 +711,18 @@ def find_spans(
     """``docs`` with the columns ``base`` and ``every`` (all spans), each an array of kind
     number, start and end, ordered by kind and start."""
     body = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumn(base, base_spans(body)).withColumn(
-        every, F.array_sort(F.concat(base, redactor.added_spans(body, F.col(base))))
+    index, chosen = "__pii_index", "__pii_chosen"
+    found = (
+        docs.withColumn(base, base_spans(body))
+        .withColumn(index, span_index(F.col(base)))
+        .withColumn(chosen, redactor.chosen(body, F.col(index)))
+        .withColumn(chosen, _best_apart(F.col(chosen)))
+    )
+    added = F.transform(
+        chosen,
+        lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")),
     )
+    return found.withColumn(every, F.array_sort(F.concat(base, added))).drop(index, chosen)
 
 
 def span_list(spans: Column | str) -> Column:
@@ -500,20 +742,40 @@ def _by_start(s: Column) -> Column:
 
 def redact(text: Column, spans: Column) -> Column:
     """The text with a mark such as <PHONE> in place of each span; of overlapping spans the
-    first is marked, and what the others reach beyond it goes too. A null text stays null."""
+    first is marked, and what the others reach beyond it goes too. A null text stays null.
+    Pieces are cut out of windows over some spans each, not out of the whole text."""
     marks = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
     by_start = F.array_sort(F.transform(spans, lambda s: _by_start(s)))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        mark = F.when(s["start"] >= acc["at"], F.get(marks, s["kind"])).otherwise("")
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.concat(acc["out"], gap, mark).alias("out"),
+
+    def with_gaps(found: Column) -> Column:
+        before = running(F.transform(found, lambda s: s["end"]), _larger)
+        return F.zip_with(
+            found,
+            before,
+            lambda s, at: F.struct(
+                at.alias("at"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")
+            ),
         )
 
-    def finish(acc: Column) -> Column:
-        return F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
+    def group(own: Column) -> Column:
+        begin, end = own[0]["at"], F.array_max(F.transform(own, lambda s: s["start"]))
+
+        def inside(window: Column) -> Column:
+            def piece(s: Column) -> Column:
+                gap = F.substring(
+                    window, s["at"] - begin + 1, F.greatest(s["start"] - s["at"], F.lit(0))
+                )
+                mark = F.when(s["start"] >= s["at"], F.get(marks, s["kind"])).otherwise("")
+                return F.concat(gap, mark)
+
+            return F.array_join(F.transform(own, piece), "")
+
+        return let(F.substring(text, begin + 1, F.greatest(end - begin, F.lit(0))), inside)
+
+    def whole(found: Column) -> Column:
+        end = F.array_max(F.transform(found, lambda s: s["end"]))
+        rest = F.substring(text, end + 1, F.length(text))
+        return F.concat(F.array_join(F.transform(chunks(found, GROUP), group), ""), rest)
 
-    return F.when(F.size(spans) > 0, F.aggregate(by_start, start, step, finish)).otherwise(text)
+    marked = let(let(by_start, with_gaps), whole)
+    return F.when(F.size(spans) > 0, marked).otherwise(text)
