@@ -1,18 +1,23 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 Words become symbols: insult, threat, target, negation, report, intent, intensifier, quote,
-break or other. Five sequential transducers read them, each rewriting symbols and adding a log
-weight: negation and reported speech weaken what follows, a target or an intensifier nearby
-strengthens it, intent turns a verb of violence into a threat. They are composed into one
-machine before any text is read. A clause scores the sum of its matches, each the weight of
-its word times the weight of its path; lone words of the lexicon never score by themselves
-but through the clause they stand in.
+break or other. Six sequential transducers read them, each rewriting symbols and adding a log
+weight. Negation and reported speech weaken what follows. An insult is a match where a target
+stands before it, an intensifier, or another insult in the clause or the six before it; a verb
+of violence is one where a target stands behind it, with more weight if an intent stands before
+it. They are composed into one machine before any text is read. A clause scores the sum of its
+matches, each the weight of its word times the weight of its path. An insult outside of every
+pattern counts a small part of that, and a text without a match stays below the threshold
+however many of them it holds.
 
 The lexicon is a short list of seeds and what labelled rows add: words and word beginnings
 (3 to 8 letters) that stand in far more toxic documents than others, with their log odds as
 weight. Near copies among the labelled rows count once. A logistic curve over the clause
 scores of the same rows turns them into a probability.
 
+Apostrophes belong to their word: "isn't" and "I'll" are looked up as isnt and ill, other words
+by what stands behind the apostrophe.
+
 Semantics: a null or empty text has no clauses and gets the probability of a text without
 matches. Scores depend on the text alone, so repeated rows score alike. Without labels of
 both kinds the seeds are used with fixed weights. Other columns are not looked at.
@@ -25,6 +30,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Hashable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
 from operator import mul
 
 import numpy as np
@@ -43,11 +49,17 @@ MAX_STEMS, LEAST_ROWS, LEAST_SHARE, LEAST_Z, LEAST_ODDS = 2_000, 5, 0.008, 4.5,
 SHORTEST, LONGEST = 3, 8
 COUNT_ROWS = 100
 SEED_WEIGHT, THREAT_WEIGHT = 3.0, 4.0
+# What an insult outside of a pattern counts, and the most a text without a match can score.
+LONE, LONE_MOST = 0.25, 0.25
+# Clauses behind that of an insult in which another one adds to the pile.
+PILE = 6
 REMEMBERED = 100_000
 
-# Symbols.
+# Symbols of words, symbols the transducers write for each other, and what they write at last.
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, INTENT, STRONG, QUOTE, BREAK = range(10)
-HIT_INSULT, HIT_THREAT = 10, 11
+DENIED, ADDRESSED, PILED, SOFT_THREAT = range(10, 14)
+HIT_INSULT, HIT_THREAT, LONE_INSULT = 14, 15, 16
+INSULTS, THREATS = (INSULT, DENIED, ADDRESSED, PILED), (THREAT, SOFT_THREAT)
 
 SEEDS = {
     INSULT: "idiot moron stupid scum trash loser pathetic worthless disgusting clown",
@@ -58,9 +70,11 @@ SEEDS = {
     INTENT: "will ill gonna going shall want wanna should must",
     STRONG: "so such very really absolutely complete total utter fucking damn",
 }
-TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]|[\"“”«»]")
+TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;:\n]|[\"“”«»]")
+APOSTROPHE = re.compile("['’]")
 QUOTES, BREAKS = set("\"“”«»"), set(".!?;:\n")
 
+SYMBOLS = BREAK + 1
 Step = Callable[[Hashable, int], tuple[Hashable, int, float]]
 
 
@@ -70,8 +84,10 @@ def negation(state: int, symbol: int) -> tuple[int, int, float]:
         return 3, symbol, 0.0
     if symbol == BREAK:
         return 0, symbol, 0.0
-    weaker = -1.5 if state and symbol in (INSULT, THREAT) else 0.0
-    return max(state - 1, 0), symbol, weaker
+    after = max(state - 1, 0)
+    if state and symbol == INSULT:
+        return after, DENIED, -1.5
+    return after, SOFT_THREAT if state and symbol == THREAT else symbol, 0.0
 
 
 def reported(state: int, symbol: int) -> tuple[int, int, float]:
@@ -82,39 +98,58 @@ def reported(state: int, symbol: int) -> tuple[int, int, float]:
         return 1, symbol, 0.0
     if symbol == BREAK:
         return (2 if state == 2 else 0), symbol, 0.0
-    return state, symbol, -0.8 if state and symbol in (INSULT, THREAT) else 0.0
+    if state and symbol in INSULTS:
+        return state, symbol, -0.8
+    return state, SOFT_THREAT if state and symbol == THREAT else symbol, 0.0
 
 
 def target(state: int, symbol: int) -> tuple[int, int, float]:
-    """State: how many more words a target makes what is said about it stronger."""
+    """State: how many more words a target is what is said something about."""
     if symbol == TARGET:
         return 4, symbol, 0.0
     if symbol == BREAK:
         return 0, symbol, 0.0
-    stronger = 0.4 if state and symbol in (INSULT, THREAT) else 0.0
-    return max(state - 1, 0), symbol, stronger
+    after = max(state - 1, 0)
+    return (after, ADDRESSED, 0.4) if state and symbol == INSULT else (after, symbol, 0.0)
+
+
+def piling(state: int, symbol: int) -> tuple[int, int, float]:
+    """State: how many more clauses an insult makes of others a pile of insults."""
+    if symbol == BREAK:
+        return max(state - 1, 0), symbol, 0.0
+    if symbol in (INSULT, ADDRESSED):
+        return PILE + 1, PILED if state and symbol == INSULT else symbol, 0.0
+    return state, symbol, 0.0
 
 
 def insult(state: int, symbol: int) -> tuple[int, int, float]:
-    """State: whether the word before was an intensifier. Insults become matches."""
-    if symbol == INSULT:
-        return 0, HIT_INSULT, 0.3 if state else 0.0
-    return int(symbol == STRONG), symbol, 0.0
+    """State: whether the word before was an intensifier. Insults in a pattern become matches."""
+    if symbol not in INSULTS:
+        return int(symbol == STRONG), symbol, 0.0
+    if state:
+        return 0, HIT_INSULT, 0.3
+    return 0, HIT_INSULT if symbol in (ADDRESSED, PILED) else LONE_INSULT, 0.0
 
 
-def threat(state: tuple[int, int], symbol: int) -> tuple[tuple[int, int], int, float]:
-    """State: words that an intent and a verb of violence still reach. A verb with an intent
-    before it or a target behind it becomes a match."""
-    intent, verb = state
-    after = (max(intent - 1, 0), max(verb - 1, 0))
+# What a target behind a verb makes of it: denied or reported, plain, after an intent.
+SOFT, PLAIN, MEANT = 1, 2, 3
+THREAT_PATHS = {SOFT: -2.0, PLAIN: -0.7, MEANT: 0.0}
+
+
+def threat(state: tuple[int, int, int], symbol: int) -> tuple[tuple[int, int, int], int, float]:
+    """State: words that an intent still reaches; kind of the last verb of violence and the
+    words it still reaches. A target behind the verb makes the match."""
+    intent, kind, verb = state
+    after = (max(intent - 1, 0), kind if verb > 1 else 0, max(verb - 1, 0))
     if symbol == BREAK:
-        return (0, 0), symbol, 0.0
+        return (0, 0, 0), symbol, 0.0
     if symbol == INTENT:
-        return (5, after[1]), symbol, 0.0
-    if symbol == THREAT:
-        return (after[0], 4), HIT_THREAT if intent else OTHER, 0.0
+        return (3, *after[1:]), symbol, 0.0
+    if symbol in THREATS:
+        kind = SOFT if symbol == SOFT_THREAT else MEANT if intent else PLAIN
+        return (after[0], kind, 3), OTHER, 0.0
     if symbol == TARGET and verb:
-        return (after[0], 0), HIT_THREAT, -0.7
+        return (after[0], 0, 0), HIT_THREAT, THREAT_PATHS[kind]
     return after, symbol, 0.0
 
 
@@ -129,26 +164,38 @@ def compose(first: Step, second: Step) -> Step:
     return step
 
 
-def compile_machine(step: Step, start: Hashable) -> list[list[tuple[int, int, float]]]:
-    """Table of all states that can be reached: per state and symbol the next state, the
-    output and the factor of the path."""
-    numbers, todo, table = {start: 0}, [start], []
-    while todo:
-        state = todo.pop(0)
-        row = []
-        for symbol in range(10):
-            after, out, weight = step(state, symbol)
-            if after not in numbers:
-                numbers[after] = len(numbers)
-                todo.append(after)
-            row.append((numbers[after], out, math.exp(weight)))
-        table.append(row)
-    return table
-
-
-def grammar() -> list[list[tuple[int, int, float]]]:
+@dataclass(frozen=True)
+class Machine:
+    """Per state and symbol of a word: the next state (as the place of its row), what is written
+    and the factor of the path."""
+
+    after: list[int]
+    out: list[int]
+    factor: list[float]
+
+
+def compile_machine(step: Step, start: Hashable) -> Machine:
+    """The machine over all states that can be reached."""
+    numbers, states = {start: 0}, [start]
+    after, out, factor = [], [], []
+    for state in states:
+        for symbol in range(SYMBOLS):
+            following, written, weight = step(state, symbol)
+            if following not in numbers:
+                numbers[following] = len(states)
+                states.append(following)
+            after.append(numbers[following] * SYMBOLS)
+            out.append(written)
+            factor.append(math.exp(weight))
+    return Machine(after, out, factor)
+
+
+@cache
+def grammar() -> Machine:
     step, start = negation, 0
-    for machine, its_start in ((reported, 0), (target, 0), (insult, 0), (threat, (0, 0))):
+    for machine, its_start in (
+        (reported, 0), (target, 0), (piling, 0), (insult, 0), (threat, (0, 0, 0))
+    ):
         step, start = compose(step, machine), (start, its_start)
     return compile_machine(step, start)
 
@@ -169,8 +216,11 @@ class Lexicon(dict):
         elif word in QUOTES:
             found = (QUOTE, 0.0)
         else:
-            found = self.seeds.get(word, (OTHER, 0.0))
-            if found[0] in (OTHER, INSULT):
+            parts = APOSTROPHE.split(word)
+            found = self.seeds.get("".join(parts), (OTHER, 0.0))
+            if found[0] == OTHER and len(parts) > 1:
+                found = self[parts[-1]]
+            elif found[0] in (OTHER, INSULT):
                 stems = [f"^{word[:n]}" for n in range(SHORTEST, LONGEST + 1) if n <= len(word)]
                 best = max((self.stems.get(s, 0.0) for s in (f"={word}", *stems)), default=0.0)
                 # a learned weight counts more than that of a seed
@@ -180,28 +230,44 @@ class Lexicon(dict):
         return found
 
 
-def clause_features(text: str, lexicon: Lexicon, table: list) -> tuple[float, float, float, float]:
-    """Sum of the clause scores (log), largest clause score, matched clauses (log), density."""
+NOTHING = (0.0, 0.0, 0.0, 0.0)
+
+
+def read_clauses(text: str, lexicon: Lexicon, machine: Machine) -> tuple[tuple[float, ...], bool]:
+    """Sum of the clause scores (log), largest clause score, clauses with a score (log) and
+    density, and whether any clause matched a pattern."""
     tokens = TOKEN.findall(text.lower())
     symbols = [lexicon[t] for t in tokens]
     if not any(s[0] in (INSULT, THREAT) for s in symbols):
-        return 0.0, 0.0, 0.0, 0.0
-    state, clause, scores = 0, 0.0, []
+        return NOTHING, False
+    after, written, factors = machine.after, machine.out, machine.factor
+    state, clause, scores, matched = 0, 0.0, [], False
     for symbol, weight in symbols:
-        state, out, factor = table[state][symbol]
+        at = state + symbol
+        state, out = after[at], written[at]
         if out == HIT_INSULT:
-            clause += weight * factor
+            clause += weight * factors[at]
+            matched = True
+        elif out == LONE_INSULT:
+            clause += LONE * weight * factors[at]
         elif out == HIT_THREAT:
-            clause += THREAT_WEIGHT * factor
+            clause += THREAT_WEIGHT * factors[at]
+            matched = True
         elif symbol == BREAK and clause:
             scores.append(clause)
             clause = 0.0
     if clause:
         scores.append(clause)
     if not scores:
-        return 0.0, 0.0, 0.0, 0.0
+        return NOTHING, False
     total = sum(scores)
-    return math.log1p(total), max(scores), math.log1p(len(scores)), 50 * total / (len(tokens) + 50)
+    density = 50 * total / (len(tokens) + 50)
+    return (math.log1p(total), max(scores), math.log1p(len(scores)), density), matched
+
+
+def clause_features(text: str, lexicon: Lexicon, machine: Machine) -> tuple[float, ...]:
+    """The four numbers that the curve reads."""
+    return read_clauses(text, lexicon, machine)[0]
 
 
 @dataclass(frozen=True)
@@ -215,7 +281,8 @@ def _word_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in slices(batches, "text", SLICE_BYTES // 4):
         families, found = [], []
         for text in batch.column("text").to_pylist():
-            words = [w for w in TOKEN.findall((text or "").lower()) if w[0].isalpha()]
+            tokens = TOKEN.findall((text or "").lower())
+            words = [APOSTROPHE.split(w)[-1] for w in tokens if w[0].isalpha()]
             triples = zip(words, words[1:], words[2:], strict=False)
             families.append(
                 min(
@@ -295,14 +362,17 @@ def _learn_stems(sample: DataFrame) -> dict[str, float]:
 
 
 def _feature_batches(stems: dict[str, float]):
+    machine = grammar()  # made here, not by every task
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, table = Lexicon(stems), grammar()
+        lexicon = Lexicon(stems)
         for batch in slices(batches):
             rows = [
-                clause_features(text or "", lexicon, table)
+                read_clauses(text or "", lexicon, machine)
                 for text in batch.column("text").to_pylist()
             ]
-            values = pa.array([list(r) for r in rows], pa.list_(pa.float64()))
+            # the four numbers of the curve, then 1 where a clause matched
+            values = pa.array([[*r, float(m)] for r, m in rows], pa.list_(pa.float64()))
             kept = [name for name in batch.schema.names if name != "text"]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in kept), values], names=[*kept, "features"]
@@ -347,22 +417,34 @@ def fit_toxicity(
         sample.join(once.select("doc_id"), "doc_id", "left_semi")
         .select(F.col("label").cast("int").alias("label"), "text")
         .mapInArrow(_feature_batches(stems), "label int, features array<double>")
-        .collect()  # at most sample_rows rows of five numbers
+        .collect()  # at most sample_rows rows of six numbers
     )
     y = np.array([r["label"] for r in rows], np.float64)
     if len(set(y)) < 2:
         return ToxicityModel(stems)
-    x = np.array([r["features"] for r in rows], np.float64)
+    x = np.array([r["features"][:-1] for r in rows], np.float64)
     return ToxicityModel(stems, tuple(fit_curve(x, y)))
 
 
+LONE_MARGIN = math.log(LONE_MOST / (1 - LONE_MOST))
+
+
 def _probability(features: Column, model: ToxicityModel) -> Column:
     margin = F.lit(float(model.curve[0]))
     for i, weight in enumerate(model.curve[1:]):
         margin = margin + F.get(features, F.lit(i)) * float(weight)
+    matched = F.get(features, F.lit(len(model.curve) - 1)) > 0
+    margin = F.when(matched, margin).otherwise(F.least(margin, F.lit(LONE_MARGIN)))
     return 1 / (1 + F.exp(-margin))
 
 
+def toxic_margin(text: str, model: ToxicityModel, lexicon: Lexicon, machine: Machine) -> float:
+    """The margin of one text; its probability is the logistic curve of it."""
+    features, matched = read_clauses(text, lexicon, machine)
+    margin = model.curve[0] + sum(map(mul, model.curve[1:], features))
+    return margin if matched else min(margin, LONE_MARGIN)
+
+
 def score_toxicity(
     docs: DataFrame, model: ToxicityModel, *, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -378,14 +460,13 @@ def drop_toxic(
 ) -> DataFrame:
     """The rows of ``docs`` with a score below ``reject_from``, as they are."""
 
-    names, schema = docs.columns, docs.schema
+    names, schema, machine = docs.columns, docs.schema, grammar()
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, table = Lexicon(model.stems), grammar()
+        lexicon = Lexicon(model.stems)
         for batch in slices(batches, text):
             margins = [
-                model.curve[0]
-                + sum(map(mul, model.curve[1:], clause_features(t or "", lexicon, table)))
+                toxic_margin(t or "", model, lexicon, machine)
                 for t in batch.column(text).to_pylist()
             ]
             clean = [1 / (1 + math.exp(-min(max(m, -500), 500))) < reject_from for m in margins]

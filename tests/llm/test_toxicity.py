@@ -1,5 +1,8 @@
+import math
 import random
 
+import pytest
+
 from shelfcast.llm import toxicity as T
 
 
@@ -24,6 +27,34 @@ def test_paths_of_the_grammar():
     assert feature("idiot. idiot. idiot")[2] > feature("idiot idiot idiot")[2]
 
 
+def probability(text):
+    margin = T.toxic_margin(text, T.ToxicityModel(), T.Lexicon({}), T.grammar())
+    return 1 / (1 + math.exp(-margin))
+
+
+@pytest.mark.parametrize("text", [
+    "idiot", "the idiot is there", "this movie is trash", "I will beat the eggs", "he isn't an idiot",
+    "he is not an idiot", "he isn’t an idiot", "I will not kill you", "she said he will kill them",
+    "kill the process", "idiot " + "word. " * 9 + "trash", "l'idiot est là", "",
+])
+def test_what_matches_no_pattern_stays_below_the_threshold(text):
+    assert probability(text) < 0.3
+
+
+@pytest.mark.parametrize("text", [
+    "you are an idiot", "You're an idiot", "I'll kill you", "I will kill you", "i’ll kill you",
+    "stupid scum", "so stupid!", "the idiot is there. what a moron",
+])
+def test_patterns_are_toxic(text):
+    assert probability(text) >= 0.3
+
+
+def test_apostrophes_belong_to_their_word():
+    assert probability("he isn't an idiot") == probability("he isnt an idiot")
+    assert probability("I'll kill you") == probability("ill kill you")
+    assert probability("all's idiot") == probability("s idiot")
+
+
 def test_composition_feeds_one_machine_to_the_next():
     step = T.compose(T.negation, T.insult)
     state, out, weight = step((3, 1), T.INSULT)
