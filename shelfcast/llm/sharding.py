@@ -3,7 +3,10 @@
 Several metadata dimensions are cut into 2^bits cells each at their own quantiles, the cell
 coordinates become an index on the Hilbert curve, rows are ordered by it, and the order is cut
 into runs of equal row counts. Neighbours on the curve are neighbours in every dimension, so a
-shard spans a small box of all of them and its file statistics prune by each.
+shard spans a small box of all of them and its file statistics prune by each. Numbers are cut at
+approximate quantiles. Texts are cut by rank: the rows before a value in sorted order are
+counted (distinct values with their counts, range sort, prefix sums), so values that begin alike
+lie in as many cells as their rows call for. ``write_shards`` writes the runs as files.
 
 Semantics: a null dimension lies in the first cell; ties of the index are ordered by the
 dimensions themselves, then by the digest of the text (equal texts of one cell stay together)
@@ -55,12 +58,30 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def as_number(df: DataFrame, column: str) -> Column:
-    """A number in the order of the column; of strings the first six bytes."""
-    if dict(df.dtypes)[column] == "string":
-        first = F.rpad(F.hex(F.substring(F.encode(F.col(column), "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(first, 16, 10).cast("double")
-    return F.col(column).cast("double")
+def value_cells(values: DataFrame, column: str, bits: int) -> DataFrame:
+    """Rows (value, cell) for the distinct values of a column: the rows with a smaller value, as
+    a share of all rows, times 2^bits. One row per range of values meets in one task."""
+    counts = values.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
+    ranges = stage(
+        counts.agg(F.count(F.lit(1)).alias("n"))
+        .repartitionByRange("value")
+        .withColumn("range", F.spark_partition_id()),
+        "shard-values",
+    )
+    sums = ranges.groupBy("range").agg(F.sum("n").alias("sum"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        "range",
+        F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("at"),
+        F.sum("sum").over(Window.partitionBy()).alias("total"),
+    )
+    inside = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("at") + F.coalesce("own", F.lit(0))
+    return (
+        ranges.withColumn("own", F.sum("n").over(inside))
+        .join(offsets, "range")
+        .select("value", F.floor(before * (1 << bits) / F.col("total")).cast("double").alias("cell"))
+    )
 
 
 def _cell_index(cuts: list[list[float]], bits: int):
@@ -79,9 +100,94 @@ def _cell_index(cuts: list[list[float]], bits: int):
     return index
 
 
+class _Layout:
+    """The order of documents along the curve."""
+
+    def __init__(self, docs: DataFrame, dimensions: Sequence[str], doc_id: str, text: str, bits: int):
+        self.doc_id, self.text, self.bits = doc_id, text, bits
+        self.dimensions = list(dimensions)
+        self.raw = [d for d in dimensions if d != "size"]
+        self.texts = {d for d in self.raw if dict(docs.dtypes)[d] == "string"}
+        self.order = [
+            "_hilbert", *[f"_raw{i}" for i in range(len(self.raw))], "_crc32", "_id", "_size"
+        ]
+        self.metadata = stage(docs.select(*self._columns()), "shard-metadata")  # texts are read once
+        share = [i / (1 << bits) for i in range(1, 1 << bits)]
+        numbers = [i for i, d in enumerate(self.dimensions) if d not in self.texts]
+        # 2^bits - 1 numbers per dimension, whatever the input
+        found = self.metadata.select(
+            F.count(F.lit(1)).alias("n"),
+            *[F.percentile_approx(self._number(i), share, 1000).alias(f"q{i}") for i in numbers],
+        ).first()
+        self.total = found["n"]
+        cells = [float(c) for c in range(1, 1 << bits)]
+        self.cuts = [
+            cells if i not in numbers else list(found[f"q{i}"] or [])
+            for i in range(len(self.dimensions))
+        ]
+        self.cells = {
+            d: stage(value_cells(self.metadata, f"_raw{self.raw.index(d)}", bits), "shard-cells")
+            for d in sorted(self.texts)
+        }
+
+    def _columns(self) -> list[Column]:
+        size = (F.coalesce(F.octet_length(self.text), F.lit(0)) + 1).cast("long")
+        return [
+            F.col(self.doc_id).alias("_id"),
+            size.alias("_size"),
+            F.crc32(F.coalesce(F.col(self.text), F.lit(""))).alias("_crc32"),
+            *[F.col(d).alias(f"_raw{i}") for i, d in enumerate(self.raw)],
+        ]
+
+    def _number(self, i: int) -> Column:
+        name = self.dimensions[i]
+        source = "_size" if name == "size" else f"_raw{self.raw.index(name)}"
+        return F.col(source).cast("double")
+
+    def indexed(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the columns of the metadata and their place on the curve."""
+        dims = []
+        for i, name in enumerate(self.dimensions):
+            if name in self.texts:
+                cell = self.cells[name].select(
+                    F.col("value").alias(f"_raw{self.raw.index(name)}"), F.col("cell").alias(f"_dim{i}")
+                )
+                rows = rows.join(cell, f"_raw{self.raw.index(name)}", "left")
+                dims.append(F.col(f"_dim{i}"))
+            else:
+                dims.append(self._number(i).alias(f"_dim{i}"))
+        index = _cell_index(self.cuts, self.bits)(F.struct(*dims))
+        return rows.withColumn("_hilbert", index)
+
+    def ranked(self) -> DataFrame:
+        """The order columns of every document with its rank (_rank), from 0."""
+        ranges = stage(
+            self.indexed(self.metadata)
+            .repartitionByRange(*self.order)
+            .withColumn("_range", F.spark_partition_id())
+            .select("_range", *self.order),
+            "shard-ranges",
+        )
+        # one row per range; the first rank of a range is the number of rows before it
+        counts = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+        earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        firsts = counts.select(
+            "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_at")
+        )
+        inside = Window.partitionBy("_range").orderBy(*self.order)
+        return (
+            ranges.withColumn("_in", F.row_number().over(inside) - 1)
+            .join(firsts, "_range")
+            .withColumn("_rank", F.col("_at") + F.col("_in"))
+        )
+
+
+DIMENSIONS = ("lang", "source", "size")
+
+
 def hilbert_shards(
     docs: DataFrame,
-    dimensions: Sequence[str] = ("lang", "source", "size"),
+    dimensions: Sequence[str] = DIMENSIONS,
     *,
     doc_id: str = "doc_id",
     text: str = "text",
@@ -90,53 +196,53 @@ def hilbert_shards(
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, size (bytes of the text and one), text_crc32,
     hilbert (index), shard and slot within it. ``size`` may be named as a dimension."""
-    size = (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
-    wanted = [d for d in dimensions if d != "size"]
-    numbers = {d: size.cast("double") if d == "size" else as_number(docs, d) for d in dimensions}
-    metadata = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        size.alias("size"),
-        F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("text_crc32"),
-        *[F.col(d).alias(f"_raw{i}") for i, d in enumerate(wanted)],
-        *[numbers[d].alias(f"_dim{i}") for i, d in enumerate(dimensions)],
-    )
-    metadata = stage(metadata, "shard-metadata")  # the texts are read once
-
-    dims = [f"_dim{i}" for i in range(len(dimensions))]
-    share = [i / (1 << bits) for i in range(1, 1 << bits)]
-    # 2^bits - 1 numbers per dimension, whatever the input
-    found = metadata.select(
-        F.count(F.lit(1)).alias("n"),
-        *[F.percentile_approx(d, share, 1000).alias(d) for d in dims],
-    ).first()
-    cuts = [list(found[d] or []) for d in dims]
-    total = found["n"]
-
-    indexed = metadata.withColumn("hilbert", _cell_index(cuts, bits)(F.struct(*dims)))
-    order = ["hilbert", *[f"_raw{i}" for i in range(len(wanted))], "text_crc32", "doc_id", "size"]
-    ranges = stage(
-        indexed.repartitionByRange(*order)
-        .withColumn("_range", F.spark_partition_id())
-        .select("_range", *order),
-        "shard-ranges",
-    )
-    # one row per range; the first rank of a range is the number of rows before it
-    counts = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = counts.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_at"))
-    inside = Window.partitionBy("_range").orderBy(*order)
-    ranked = (
-        ranges.withColumn("_in", F.row_number().over(inside) - 1)
-        .join(firsts, "_range")
-        .withColumn("_rank", F.col("_at") + F.col("_in"))
-    )
-    shard = F.expr(f"(_rank * {shards}) div {max(total, 1)}").cast("int")
-    start = F.expr(f"(shard * {total}L + {shards - 1}) div {shards}")
-    return ranked.withColumn("shard", shard).select(
-        "doc_id",
-        "size",
-        "text_crc32",
-        "hilbert",
+    layout = _Layout(docs, dimensions, doc_id, text, bits)
+    shard = F.expr(f"(_rank * {shards}) div {max(layout.total, 1)}").cast("int")
+    start = F.expr(f"(shard * {layout.total}L + {shards - 1}) div {shards}")
+    return layout.ranked().withColumn("shard", shard).select(
+        F.col("_id").alias("doc_id"),
+        F.col("_size").alias("size"),
+        F.col("_crc32").alias("text_crc32"),
+        F.col("_hilbert").alias("hilbert"),
         "shard",
         (F.col("_rank") - start).cast("long").alias("slot"),
     )
+
+
+def write_shards(
+    docs: DataFrame,
+    path: str,
+    dimensions: Sequence[str] = DIMENSIONS,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shards: int = SHARDS,
+    files: int = 4,
+    bits: int = BITS,
+) -> None:
+    """Write ``docs`` to ``path``/shard=0, 1, ..., about ``files`` files each, every file a run of
+    the curve in its order, so that a filter on any of the dimensions skips files by their
+    statistics. Rows equal in id, text and dimensions are interchangeable: where a shard begins
+    among such rows, all of them go to it."""
+    layout = _Layout(docs, dimensions, doc_id, text, bits)
+    first = F.expr(f"_rank = (((_rank * {shards}) div {max(layout.total, 1)}) * {layout.total}L + {shards - 1}) div {shards}")
+    begins = layout.ranked().where(first).select(*layout.order).orderBy(*layout.order).limit(shards)
+    row = F.struct(*layout.order)
+    names = [c for c in docs.columns if c != "shard"]
+    placed = layout.indexed(docs.select(*names, *layout._columns()))
+    # at most ``shards`` rows of metadata; the first shard begins before all rows
+    starts = begins.collect()[1:]
+    number = F.lit(0)
+    for begin in starts:
+        values = F.struct(
+            *[F.lit(begin[c]).cast(placed.schema[c].dataType).alias(c) for c in layout.order]
+        )
+        number = number + F.when(row >= values, 1).otherwise(0)
+    (
+        placed.withColumn("shard", number)
+        .repartitionByRange(shards * files, "shard", *layout.order)
+        .sortWithinPartitions("shard", *layout.order)
+        .select(*names, "shard")
+        .write.partitionBy("shard")
+        .parquet(path)
+    )
