@@ -78,6 +78,54 @@ def test_recall_of_the_buckets():
         assert np.mean(found) >= least
 
 
+def test_recall_of_more_rotations():
+    assert V.table_shape(50_000, 64) == (10, 3, 8)
+    tables, rotations, probes = V.table_shape(1_000_000, 64)
+    assert (tables, rotations, probes) == (24, 4, 16)
+    assert V.table_shape(10**9, 64)[1] == 5 and V.table_shape(1, 1) == (10, 3, 8)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(800, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y = np.stack([near(rng, v, 0.9) for v in x])
+    home_x, probe_x = V.bucket_keys(x, tables, rotations, probes)
+    home_y, probe_y = V.bucket_keys(y, tables, rotations, probes)
+    found = [
+        bool(set(home_x[i]) & set(probe_y[i]) or set(home_y[i]) & set(probe_x[i]))
+        for i in range(len(x))
+    ]
+    assert np.mean(found) >= 0.98
+
+
+def test_two_large_balls_are_compared_in_blocks(spark, monkeypatch):
+    """Two balls whose centres are linked, though not all of their vectors: every link is
+    counted, without a row per pair."""
+    rng = np.random.default_rng(9)
+    a = rng.normal(size=16)
+    a /= np.linalg.norm(a)
+    b = near(rng, a, 0.9)
+    rows = [(i, near(rng, a if i % 2 else b, rng.uniform(0.98, 0.999))) for i in range(1_200)]
+    rows += [(5_000 + i, rows[i][1]) for i in range(50)]  # copies count as vectors of their own
+    monkeypatch.setattr(V, "BLOCK", 100)
+    expected = brute_force(rows)
+    made = []
+    plain = V._block_links
+
+    def noted(cosine):
+        made.append(cosine)
+        return plain(cosine)
+
+    monkeypatch.setattr(V, "_block_links", noted)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in V.near_duplicate_vectors(frame(spark, rows)).collect()}
+    assert made and got == expected
+
+
+def test_unit_vectors_leave_out_what_has_no_direction():
+    x = np.array([[1.0, 2.0], [0.0, 0.0], [np.nan, 1.0], [1e300, 1e300], [1e-300, 0.0], [np.inf, 1.0]])
+    good, units = V.unit_vectors(x)
+    assert good.tolist() == [0, 3, 4] and np.allclose(np.linalg.norm(units, axis=1), 1)
+    assert V.unit_vectors(np.zeros((3, 0)))[0].tolist() == []
+
+
 def test_hadamard_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 32))
     turned = V.rotate(x, (1, 2))
