@@ -1,6 +1,8 @@
 import random
 import re
+import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from shelfcast.llm import pii
@@ -169,6 +171,77 @@ def test_nothing_to_learn_from(documents):
     assert pii.find_spans(df.limit(0), pii.Redactor()).collect() == []
 
 
+def seconds(run):
+    run()  # plans and compiles
+    started = time.monotonic()
+    run()
+    return time.monotonic() - started
+
+
+def test_work_grows_with_the_matches_not_with_their_square(spark):
+    def spans(n):
+        text = " ".join(f"u{i}@ex{i}.com" for i in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        found = df.select(F.size(pii.base_spans(F.col("text"))).alias("n"))
+        return lambda: found.first().n
+
+    assert spans(40_000)() == 40_000
+    assert seconds(spans(40_000)) < 4 * seconds(spans(10_000)) + 3
+
+    def pairs(n):
+        text = " ".join(f"555 {100 + i % 900}-{1000 + i % 9000} 10.{i % 250}.3.4" for i in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        found = pii.labelled_candidates(df)
+        return found.count
+
+    assert seconds(pairs(2_000)) < 4 * seconds(pairs(500)) + 3
+
+
+def test_cards_with_a_separator_between_all_digits_are_proposed(spark):
+    values = ["4 5 3 9 1 4 8 8 0 3 4 3 6 4 6 7", "4-5-3-9-1-4-8-8-0-3-4-3-6-4-6-7-1-1-1"]
+    df = spark.createDataFrame([(i, f"x {v}.") for i, v in enumerate(values)], "doc_id long, text string")
+    for r in df.select("doc_id", pii.candidates(F.col("text")).alias("c")).collect():
+        assert values[r.doc_id] in {c.value for c in r.c if c.kind == 2}
+
+
+def test_calibration_is_defined_at_any_size():
+    def row(kind, step, n, hits):
+        return {"kind": kind, "step": step, "n": n, "hits": hits}
+
+    none = pii.calibrate([])
+    assert none[:2].tolist() == [0, 1] and not none[2:].any()
+    many = [row(3, s, 10_000, 10_000 / (1 + np.exp(-s / 5 + 1))) for s in range(-20, 21)]
+    intercept, slope, *offsets = pii.calibrate(many)
+    assert abs(slope - 1) < 0.02 and abs(intercept + offsets[3] + 1) < 0.05
+    # kinds without rows follow the common curve, a rare one is pulled to it
+    assert offsets[:3] == [0, 0, 0]
+    *_, rare, _, _ = pii.calibrate([*many, row(1, 10, 1, 0)])
+    assert -1.0 < rare < 0
+
+
+def test_small_corpora_have_thresholds(documents):
+    model = pii.fit_redactor(documents(corpus(100)))
+    assert model.trees and all(t is not None for t in model.thresholds)
+
+
+def test_long_runs_of_overlaps_are_cut(spark):
+    """A chain of candidates, each overlapping the next: what stays overlaps no other."""
+    n = 3 * pii.PIECE
+    rng = random.Random(1)
+    order = list(range(n))
+    rng.shuffle(order)
+    chosen = [(10 * i, 10 * i + 15, order[i], 3) for i in range(n)]
+    schema = "doc_id long, c array<struct<start:int,end:int,order:int,kind:int>>"
+    df = spark.createDataFrame([(1, chosen), (2, [])], schema)
+    got = {r.doc_id: r.best for r in df.select("doc_id", pii._best_apart(F.col("c")).alias("best")).collect()}
+    spans = sorted((c.start, c.end, c.order) for c in got[1])
+    assert got[2] == [] and all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+    # the best of all stays, and so does whoever beats both neighbours
+    stays = {s[2] for s in spans}
+    beats = [o for i, o in enumerate(order) if o < min(order[max(i - 1, 0) : i] + order[i + 1 : i + 2])]
+    assert set(beats) <= stays and len(spans) > n // 3
+
+
 def test_native_plan(documents):
     df = documents(corpus(30))
     found = pii.find_spans(df, pii.Redactor([(4, 9.0, -1.0, 1.0)], [1.0], (0.5,) * 4))
