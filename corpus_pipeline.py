@@ -15,12 +15,14 @@ empty table gives an empty result. Columns beyond those of documents are carried
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import minhash, mixing, pii, sentences, toxicity
 from shelfcast.llm.common import crc_bucket, read
-from shelfcast.sources.staging import stage
+from shelfcast.sources.staging import stage_result
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,5 +71,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = read(spark, sf_dir, "documents")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        build = partial(step, spark, docs, sf_dir)
+        docs = stage_result(spark, build, f"pipeline-{name.replace(' ', '-')}")
     return docs

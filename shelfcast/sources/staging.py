@@ -7,7 +7,7 @@ the planner real sizes. The folder is the one the cluster names in ``spark.check
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import cache
@@ -16,8 +16,8 @@ from uuid import uuid4
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-# Paths written since the start of the block that will delete them, behind a mark.
-_COLLECTED: list[str | None] = []
+# Paths written since the start of each open block that will delete them.
+_SCOPES: list[list[str]] = []
 
 
 @cache
@@ -50,8 +50,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def _stage(df: DataFrame, path: str) -> DataFrame:
-    if _COLLECTED:
-        _COLLECTED.append(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -78,17 +78,26 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
 @contextmanager
 def dropping_staged(spark: SparkSession) -> Iterator[None]:
     """What is staged inside the block is deleted at its end: for jobs, which have written
-    their results elsewhere by then. Blocks do not nest or run side by side."""
-    _COLLECTED.append(None)
+    their results elsewhere by then. Blocks may nest, but do not run side by side."""
+    _SCOPES.append([])
     try:
         yield
     finally:
-        paths = [path for path in _COLLECTED if path is not None]
-        _COLLECTED.clear()
-        for path in paths:
+        for path in _SCOPES.pop():
             drop_path(spark, path)
 
 
+def stage_result(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The staged result of ``build``; what was staged on the way to it is deleted."""
+    path = new_path(spark, name)
+    with dropping_staged(spark):
+        result = build()
+        result.write.parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return spark.read.schema(result.schema).parquet(path)
+
+
 def stage_all(**tables: DataFrame) -> list[DataFrame]:
     """Stage several tables at once, so that small ones do not wait for large ones."""
     with ThreadPoolExecutor(len(tables)) as pool:
