@@ -1,5 +1,5 @@
-"""The pipeline as jobs for spark-submit: clean, features, train, audit, score, stream,
-reports.
+"""The pipeline as jobs for spark-submit: clean, features, refresh, train, audit, score, stream,
+compact, reports.
 
     spark-submit --py-files shelfcast.zip shelfcast/jobs.py clean --raw DIR --out DIR
 
@@ -16,13 +16,16 @@ from shelfcast.operators.cleaning import clean_tables
 from shelfcast.operators.requests import check_requests, rejected_requests, valid_requests
 from shelfcast.operators.summaries import newest_first
 from shelfcast.plans.dataset import model_dataset
+from shelfcast.plans.incremental import SalesStore, refresh_dataset
 from shelfcast.plans.scoring import predict
 from shelfcast.plans.sizing import sized_shuffles
 from shelfcast.plans.training import TREES, load_model, train_job
 from shelfcast.schemas import RAW_REQUEST_SCHEMA, RAW_SCHEMAS, SALE_KEYS
 from shelfcast.sinks.audit import (
+    TABLES,
     append_dataset,
     append_predictions,
+    compact_audit,
     create_tables,
     read_audit,
     read_latest,
@@ -60,6 +63,15 @@ def features_job(
         write_dataset(dataset, out)
 
 
+def refresh_job(spark: SparkSession, clean: str, store: str, out: str | None = None) -> None:
+    """Cleaned tables of new days into the sales store; with ``out`` the whole dataset of the
+    store, by year and month."""
+    tables = read_clean_tables(spark, {name: f"{clean}/{name}" for name in RAW_SCHEMAS})
+    refresh_dataset(spark, store, tables)
+    if out is not None:
+        write_dataset(SalesStore(spark, store).dataset(tables.clima, tables.productos), out)
+
+
 def audit_job(spark: SparkSession, dataset: str, root: str, *, run_id: str) -> None:
     """Create the audit tables and append the dataset to its table."""
     create_tables(spark, root)
@@ -96,6 +108,12 @@ def stream_job(
     stream.awaitTermination()
 
 
+def compact_job(spark: SparkSession, root: str) -> None:
+    """Small files of the audit tables into few; earlier versions can still be read."""
+    for table in TABLES:
+        compact_audit(spark, root, table)
+
+
 def reports_job(spark: SparkSession, root: str, out: str, *, rows: int = 10) -> None:
     """The reports over the audit tables: latest predictions, metrics by time, first rows of
     the dataset."""
@@ -123,6 +141,8 @@ def _arguments() -> argparse.ArgumentParser:
     clean.add_argument("--bad", choices=["fail", "null"], default="fail")
     features = job("features", "clean", "out")
     features.add_argument("--calendar-lags", dest="calendar_lags", action="store_true")
+    job("refresh", "clean", "store").add_argument("--out")
+    job("compact", "root")
     train = job("train", "dataset-path", "model-path", "metrics-path", "audit-root", run=True)
     train.add_argument("--trees", type=int, default=TREES)
     job("audit", "dataset", "root", run=True)
@@ -135,6 +155,8 @@ def _arguments() -> argparse.ArgumentParser:
 JOBS = {
     "clean": clean_job,
     "features": features_job,
+    "refresh": refresh_job,
+    "compact": compact_job,
     "train": train_job,
     "audit": audit_job,
     "score": score_job,

@@ -54,8 +54,21 @@ def test_pipeline_from_csv_files_to_predictions(spark, tmp_path, rows):
     assert set(by_run) == {"p", "p-0"} and by_run["p"] == by_run["p-0"]
     assert spark.read.parquet(at("bad")).count() == spark.read.parquet(at("live-bad")).count() == 1
 
+    # a second run keeps the quarantine of the first, a repeated one adds nothing
+    again = ["score", *scoring[:-1], "p2", "--root", at("audit"), "--rejected", at("bad")]
+    for _ in range(2):
+        jobs.main(again)
+    bad = spark.read.parquet(at("bad"))
+    assert sorted(r.lote for r in bad.collect()) == ["p", "p2"]
+    jobs.main(["compact", "--root", at("audit")])
+    assert len(audit.read_audit(spark, at("audit"), "predicciones").inputFiles()) == 1
+
+    jobs.main(["refresh", "--clean", at("clean"), "--store", at("store"), "--out", at("kept")])
+    kept = read_model_dataset(spark, at("kept")).select(*DATASET_COLUMNS)
+    assert rows(kept) == rows(dataset)
+
     jobs.main(["reports", "--root", at("audit"), "--out", at("reports"), "--rows", "3"])
     counts = {n: spark.read.parquet(f"{at('reports')}/{n}").count() for n in audit.TABLES}
-    assert counts == {"dataset_modelo": 3, "predicciones": 2, "metricas_modelo": 1}
+    assert counts == {"dataset_modelo": 3, "predicciones": 3, "metricas_modelo": 1}
     # nothing that the jobs staged is left
     assert set(staged.glob("*")) == before
