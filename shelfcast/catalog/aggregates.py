@@ -69,7 +69,7 @@ def _(fx):
     "SELECT id_tienda, avg(unidades_vendidas) AS media_unidades FROM {dataset} GROUP BY 1",
 )
 def _(fx):
-    return mean_units_by(model_dataset(fx.tables), "id_tienda")
+    return mean_units_by(model_dataset(fx.tables, columns=("id_tienda", TARGET)), "id_tienda")
 
 
 @query(
@@ -89,12 +89,17 @@ def _pair():
     return F.col(TARGET), F.col("lag_7")
 
 
+def _errors(fx):
+    """Units and their forecast alone: nothing else of the dataset is built."""
+    return model_dataset(fx.tables, columns=(TARGET, "lag_7"))
+
+
 @query(
     "mean_absolute_error",
     "SELECT avg(abs(unidades_vendidas - lag_7)) AS mae FROM {dataset}",
 )
 def _(fx):
-    return model_dataset(fx.tables).agg(mean_absolute_error(*_pair()).alias("mae"))
+    return _errors(fx).agg(mean_absolute_error(*_pair()).alias("mae"))
 
 
 @query(
@@ -102,7 +107,7 @@ def _(fx):
     "SELECT sqrt(avg((unidades_vendidas - lag_7) ** 2)) AS rmse FROM {dataset}",
 )
 def _(fx):
-    return model_dataset(fx.tables).agg(root_mean_squared_error(*_pair()).alias("rmse"))
+    return _errors(fx).agg(root_mean_squared_error(*_pair()).alias("rmse"))
 
 
 @query(
@@ -111,12 +116,12 @@ def _(fx):
   AS r2 FROM {dataset}""",
 )
 def _(fx):
-    return model_dataset(fx.tables).agg(F.round(r_squared(*_pair()), 9).alias("r2"))
+    return _errors(fx).agg(F.round(r_squared(*_pair()), 9).alias("r2"))
 
 
 @query("forecast_metrics", f"SELECT {METRICS} FROM {{dataset}}")
 def _(fx):
-    return forecast_metrics(model_dataset(fx.tables), TARGET, "lag_7")
+    return forecast_metrics(_errors(fx), TARGET, "lag_7")
 
 
 @query(

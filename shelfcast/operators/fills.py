@@ -12,7 +12,8 @@ ZERO_FILLED = ("promocion_activa", "descuento_pct", "lluvia_mm")
 
 
 def fill_zeros(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ZERO_FILLED})
+    present = [c for c in ZERO_FILLED if c in df.columns]
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in present})
 
 
 def fill_temperature(

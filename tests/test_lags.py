@@ -149,3 +149,20 @@ def test_calendar_lags_skip_gaps(frame):
         (None, None, 3.0),
         (None, 5.0, 5.0),
     ]
+
+
+def test_dataset_of_few_columns_is_that_of_all(spark, rows):
+    from shelfcast.catalog.fixtures import Fixtures
+    from shelfcast.plans.dataset import model_dataset
+    from shelfcast.sources.tables import RetailTables
+
+    tables = Fixtures(spark, "/root/testdata/sf0.001").tables
+    twice = RetailTables(
+        tables.ventas, tables.promociones, tables.clima,
+        tables.productos.unionByName(tables.productos.selectExpr(
+            "id_producto", "concat(nombre_producto, '2') AS nombre_producto", "categoria")),
+    )
+    for source in (tables, twice):  # keys of dimensions that repeat multiply the rows
+        whole = model_dataset(source)
+        for columns in (["id_tienda", "lag_7"], ["descuento_pct", "lluvia_mm", "mes"], ["categoria", "lag_1"]):
+            assert rows(model_dataset(source, columns=columns)) == rows(whole.select(*columns))
