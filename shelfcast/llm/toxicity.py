@@ -47,7 +47,7 @@ from shelfcast.sources.staging import stage
 SAMPLE_ROWS = 10_000
 MAX_STEMS, LEAST_ROWS, LEAST_SHARE, LEAST_Z, LEAST_ODDS = 2_000, 5, 0.008, 4.5, 1.5
 SHORTEST, LONGEST = 3, 8
-COUNT_ROWS = 100
+COUNT_ROWS, COUNTED = 100, 100_000
 SEED_WEIGHT, THREAT_WEIGHT = 3.0, 4.0
 # What an insult outside of a pattern counts, and the most a text without a match can score.
 LONE, LONE_MOST = 0.25, 0.25
@@ -307,8 +307,25 @@ def _word_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with and without the label per feature, summed up within the partition."""
+    """Rows with and without the label per feature, summed up within the partition as far as
+    ``COUNTED`` features at a time allow; what follows adds up the rest."""
     counts: tuple[Counter, Counter] = (Counter(), Counter())
+
+    def summed() -> Iterator[pa.RecordBatch]:
+        names = list(set(counts[0]) | set(counts[1]))
+        for at in range(0, len(names), 50_000):
+            part = names[at : at + 50_000]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(part, pa.string()),
+                    pa.array([counts[1][f] for f in part], pa.int64()),
+                    pa.array([counts[0][f] for f in part], pa.int64()),
+                ],
+                names=["feature", "pos", "neg"],
+            )
+        for seen in counts:
+            seen.clear()
+
     for batch in batches:
         for at in range(0, batch.num_rows, COUNT_ROWS):
             part = batch.slice(at, COUNT_ROWS)
@@ -318,17 +335,9 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 names, times = found.field("values").to_pylist(), found.field("counts").to_pylist()
                 for name, n in zip(names, times, strict=True):
                     counts[label][name] += n
-    names = list(set(counts[0]) | set(counts[1]))
-    for at in range(0, len(names), 50_000):
-        part = names[at : at + 50_000]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(part, pa.string()),
-                pa.array([counts[1][f] for f in part], pa.int64()),
-                pa.array([counts[0][f] for f in part], pa.int64()),
-            ],
-            names=["feature", "pos", "neg"],
-        )
+            if len(counts[0]) + len(counts[1]) > COUNTED:
+                yield from summed()
+    yield from summed()
 
 
 def _learn_stems(sample: DataFrame) -> dict[str, float]:
