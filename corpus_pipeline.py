@@ -47,7 +47,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sentences.encode_documents(docs)
+    # executors still hold what the stages before took; fewer remembered words leave them room
+    return sentences.encode_documents(docs, cached_words=100_000)
 
 
 def _recount(docs: DataFrame) -> DataFrame:
