@@ -10,10 +10,9 @@ texts are cut there first, which changes no result, and each distinct word of a
 encoded once. The cut is made only for models where this holds.
 
 Words are encoded in batches by several threads. Parity with the sentencepiece library and the
-way back through the decoder are verified for every distinct word, and for one text in
-``WHOLE_TEXTS`` (by digest), or every text of a model that cannot be cut, as a whole. Where
-the two libraries differ the ids of sentencepiece are returned and the row says so;
-round_trip says whether the ids decode to the normalised text.
+way back through the decoder are verified for every text as a whole. Where the two libraries
+differ the ids of sentencepiece are returned and the row says so; round_trip says whether the
+ids decode to the normalised text.
 
 Semantics: a null text has null ids and counts as parity and round trip; an empty one has no
 ids. A space marker in a text reads as a space afterwards, as in the format itself.
@@ -25,7 +24,6 @@ import gc
 import os
 import re
 import struct
-import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -47,9 +45,7 @@ MAX_MODEL_BYTES = 32 * 1024 * 1024
 CACHED_WORDS, LONG_WORD = 400_000, 64
 # Words encoded at a time; an encoding takes about a kilobyte.
 WORDS_AT_ONCE = 8_192
-# One text in so many is compared with sentencepiece as a whole, besides all its words.
-WHOLE_TEXTS = 16
-# Texts that are compared as a whole at a time; their ids are lists of numbers.
+# Texts that are compared with sentencepiece at a time; their ids are lists of numbers.
 WHOLE_AT_ONCE = 32
 DECODE_ROWS = 200
 
@@ -185,8 +181,9 @@ def build_tokenizer(model: Model):
         steps.append(normalizers.Replace(" ", MARKER))
     tokenizer.normalizer = normalizers.Sequence(steps)
     strip = [decoders.Strip(" ", 1, 0)] if model.dummy_prefix else []
+    # markers are replaced in the text as a whole, not piece by piece
     tokenizer.decoder = decoders.Sequence(
-        [decoders.Replace(MARKER, " "), decoders.ByteFallback(), decoders.Fuse(), *strip]
+        [decoders.ByteFallback(), decoders.Fuse(), decoders.Replace(MARKER, " "), *strip]
     )
     return tokenizer
 
@@ -204,33 +201,14 @@ class Encoder:
         self.by_word = model.escape_spaces and stays_in_words(model)
         self.words = re.compile(f"{MARKER}*[^{MARKER}]+|{MARKER}+" if self.by_word else "(?s).+")
         self.known: dict[str, bytes] = {}
-        # known words of which the libraries disagree, or that do not come back
+        # words of texts of which the libraries disagree
         self.other: set[str] = set()
-        self.lost: set[str] = set()
 
     def normalize(self, text: str) -> str:
         if self.plain and text:  # the same steps, without tracking positions
             return self.prefix + text.replace(" ", MARKER)
         return self.normalizer.normalize_str(text)
 
-    @property
-    def verifies_words(self) -> bool:
-        """Whether a word by itself reads as it does in a text: it begins with the marker that
-        the normaliser would put before it."""
-        return bool(self.processor and self.plain and self.by_word and self.prefix)
-
-    def _verify(self, words: list[str], ids: list[list[int]]) -> None:
-        """Notes the words of which the libraries disagree, and those that do not come back. All
-        words are decoded in a row, which is one call, and one by one only if the row differs."""
-        plain = [w[1:].replace(MARKER, " ") for w in words]
-        reference = self.processor.encode(plain)
-        if reference != ids:
-            self.other.update(w for w, x, y in zip(words, ids, reference, strict=True) if x != y)
-        row = self.tokenizer.decode(list(chain.from_iterable(ids)), skip_special_tokens=False)
-        if row != "".join(words)[1:].replace(MARKER, " "):
-            back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-            self.lost.update(w for w, x, y in zip(words, plain, back, strict=True) if x != y)
-
     def cut(self, text: str) -> list[str]:
         return self.words.findall(self.normalize(text))
 
@@ -240,16 +218,13 @@ class Encoder:
     def encode_words(self, cut: list[list[str]]) -> list[bytes]:
         """Packed ids of texts given as their words."""
         if len(self.known) > self.cached_words:
-            for seen in (self.known, self.other, self.lost):
-                seen.clear()
+            self.known.clear()
+            self.other.clear()
         new = list(set(chain.from_iterable(cut)).difference(self.known))
         for at in range(0, len(new), WORDS_AT_ONCE):
             words = new[at : at + WORDS_AT_ONCE]
             encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-            ids = [e.ids for e in encoded]
-            if self.verifies_words:
-                self._verify(words, ids)
-            self.known.update(zip(words, map(_packed, ids), strict=True))
+            self.known.update(zip(words, (_packed(e.ids) for e in encoded), strict=True))
         packed = [b"".join(map(self.known.__getitem__, words)) for words in cut]
         for word in new:
             if len(word) > LONG_WORD:
@@ -257,30 +232,24 @@ class Encoder:
         return packed
 
     def encode_verified(self, texts: list[str], threads: int) -> tuple[list, list, list]:
-        """Packed ids, parity and round trip per text."""
+        """Packed ids, parity and round trip per text, each compared as a whole."""
         cut = [self.cut(text) for text in texts]
         packed = self.encode_words(cut)
-        parity = [not self.other or self.other.isdisjoint(words) for words in cut]
-        round_trip = [not self.lost or self.lost.isdisjoint(words) for words in cut]
-        whole = [
-            i
-            for i, text in enumerate(texts)
-            if not self.verifies_words
-            or not parity[i]
-            or zlib.crc32(packed[i]) % WHOLE_TEXTS == 0
-        ]
-        for at in range(0, len(whole), WHOLE_AT_ONCE):
-            some = whole[at : at + WHOLE_AT_ONCE]
-            reference = self.processor.encode([texts[i] for i in some], num_threads=threads)
+        parity, round_trip = [], []
+        for at in range(0, len(texts), WHOLE_AT_ONCE):
+            some = texts[at : at + WHOLE_AT_ONCE]
+            reference = self.processor.encode(some, num_threads=threads)
             back = self.tokenizer.decode_batch(reference, skip_special_tokens=False)
             if self.model.charsmap:
                 wanted = self.processor.decode(reference)
             else:
-                wanted = [_expected(texts[i], self.model) for i in some]
-            for i, own, decoded, text in zip(some, map(_packed, reference), back, wanted, strict=True):
-                parity[i] = packed[i] == own
-                round_trip[i] = decoded == text
-                packed[i] = own
+                wanted = [_expected(text, self.model) for text in some]
+            round_trip += [decoded == text for decoded, text in zip(back, wanted, strict=True)]
+            for i, own in enumerate(map(_packed, reference), at):
+                parity.append(packed[i] == own)
+                if not parity[i]:
+                    self.other.update(cut[i])
+                    packed[i] = own
         return packed, parity, round_trip
 
 

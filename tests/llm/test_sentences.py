@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pytest
 import sentencepiece
+from tokenizers import decoders
 
 from shelfcast.llm import sentences as S
 
@@ -79,6 +80,18 @@ def test_words_that_differ_are_noticed():
     assert ids == good and parity == [False, False, True]
 
 
+def test_every_text_is_compared_as_a_whole():
+    data = Path(S.MODEL).read_bytes()
+    encoder = S.Encoder(S.parse_model(data), sentencepiece.SentencePieceProcessor(model_proto=data))
+    texts = [f"{word} two {i}" for i in range(40) for word in ("one", "four")]
+    good, *_ = encoder.encode_verified(texts, 1)
+    # a word that was verified and then went wrong, and a decoder that loses spaces
+    encoder.known["▁two"] = S._packed([1])
+    assert encoder.encode_verified(texts, 1) == (good, [False] * 80, [True] * 80)
+    encoder.tokenizer.decoder = decoders.Fuse()
+    assert encoder.encode_verified(texts, 1)[2] == [False] * 80
+
+
 def test_documents(documents):
     texts = [*ODD, None]
     rows = [*enumerate(texts), (0, texts[0])]
