@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from shelfcast.catalog import QUERIES, models
 from shelfcast.catalog.fixtures import Fixtures
 from shelfcast.operators.requests import (
     check_requests,
@@ -12,6 +13,7 @@ from shelfcast.operators.requests import (
     select_features,
     valid_requests,
 )
+from shelfcast.plans import training
 from shelfcast.plans.dataset import model_dataset
 from shelfcast.plans.scoring import predict, predict_one, response, score_requests
 from shelfcast.plans.training import (
@@ -206,6 +208,21 @@ def test_training_job(spark, dataset, tmp_path):
     assert load_model(paths["model"]).stages[-1].getNumTrees == 3
 
 
+def test_train_job_query_trains_one_forest(spark, monkeypatch):
+    fits = []
+
+    def counted(train, **options):
+        fits.append(train)
+        return train_forest(train, trees=2, depth=2)
+
+    for module in (models, training):
+        monkeypatch.setattr(module, "train_forest", counted)
+    monkeypatch.setattr(models, "_TRAINED", {})
+    row = QUERIES["train_job"](spark, "/root/testdata/sf0.001").first()
+    assert row.archivo_igual and row.auditoria_igual
+    assert len(fits) == 1
+
+
 def write_requests(directory, name, requests):
     directory.mkdir(exist_ok=True)
     (directory / name).write_text("\n".join(json.dumps(r) for r in requests))
