@@ -11,6 +11,9 @@ and read again as the ``docs`` of the next. All but the last return the columns
 
 Null texts pass the stages as empty documents until the mix, which takes no words of them. An
 empty table gives an empty result. Columns beyond those of documents are carried along.
+
+Executors keep their Python workers from stage to stage, so texts go to them ``ARROW_ROWS`` rows
+at a time: the stages lower the session's Arrow batches to that, never raise them.
 """
 
 from __future__ import annotations
@@ -24,14 +27,26 @@ from shelfcast.llm import minhash, mixing, pii, sentences, toxicity
 from shelfcast.llm.common import crc_bucket, read
 from shelfcast.sources.staging import stage_result
 
+ARROW_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """A stage is written after its function has returned, so the setting stays."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(setting))
+    if rows <= 0 or rows > ARROW_ROWS:  # not positive: unlimited
+        spark.conf.set(setting, str(ARROW_ROWS))
+
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     labels = read(spark, sf_dir, "labels").where(crc_bucket("doc_id", 4) != 2)
     model = toxicity.fit_toxicity(docs, labels.select("doc_id", F.col("toxic").alias("label")))
     return toxicity.drop_toxic(docs, model)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return minhash.drop_near_duplicates(docs, minhash.near_duplicates(docs, n=5))
 
 
@@ -47,6 +62,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     # executors still hold what the stages before took; fewer remembered words leave them room
     return sentences.encode_documents(docs, cached_words=100_000)
 

@@ -35,7 +35,6 @@ from operator import mul
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +46,7 @@ from shelfcast.sources.staging import stage
 SAMPLE_ROWS = 10_000
 MAX_STEMS, LEAST_ROWS, LEAST_SHARE, LEAST_Z, LEAST_ODDS = 2_000, 5, 0.008, 4.5, 1.5
 SHORTEST, LONGEST = 3, 8
-COUNT_ROWS, COUNTED = 100, 100_000
+COUNTED = 100_000
 SEED_WEIGHT, THREAT_WEIGHT = 3.0, 4.0
 # What an insult outside of a pattern counts, and the most a text without a match can score.
 LONE, LONE_MOST = 0.25, 0.25
@@ -277,12 +276,17 @@ class ToxicityModel:
     curve: tuple[float, ...] = (-4.0, 1.5, 0.3, 0.5, 0.5)
 
 
-def _word_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _words(text: str | None) -> list[str]:
+    tokens = TOKEN.findall((text or "").lower())
+    return [APOSTROPHE.split(w)[-1] for w in tokens if w[0].isalpha()]
+
+
+def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What near copies have in common: the smallest hash of three words in a row."""
     for batch in slices(batches, "text", SLICE_BYTES // 4):
-        families, found = [], []
+        families = []
         for text in batch.column("text").to_pylist():
-            tokens = TOKEN.findall((text or "").lower())
-            words = [APOSTROPHE.split(w)[-1] for w in tokens if w[0].isalpha()]
+            words = _words(text)
             triples = zip(words, words[1:], words[2:], strict=False)
             families.append(
                 min(
@@ -290,25 +294,23 @@ def _word_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     default=xxhash.xxh3_64_intdigest(" ".join(words)) >> 1,
                 )
             )
-            distinct = set(words)
-            stems = {
-                f"^{w[:n]}" for w in distinct for n in range(SHORTEST, min(LONGEST, len(w) - 1) + 1)
-            }
-            found.append([f"={w}" for w in distinct if len(w) > 1] + list(stems))
         yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("label"),
-                pa.array(families, pa.int64()),
-                pa.array(found, pa.list_(pa.string())),
-            ],
-            names=["doc_id", "label", "family", "features"],
+            [batch.column("doc_id"), batch.column("label"), pa.array(families, pa.int64())],
+            names=["doc_id", "label", "family"],
         )
 
 
+def word_features(text: str | None) -> list[str]:
+    """The distinct words of a text and their beginnings."""
+    distinct = set(_words(text))
+    stems = {f"^{w[:n]}" for w in distinct for n in range(SHORTEST, min(LONGEST, len(w) - 1) + 1)}
+    return [f"={w}" for w in distinct if len(w) > 1] + list(stems)
+
+
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with and without the label per feature, summed up within the partition as far as
-    ``COUNTED`` features at a time allow; what follows adds up the rest."""
+    """Rows with and without the label per feature of the texts, summed up within the partition
+    as far as ``COUNTED`` features at a time allow; what follows adds up the rest. The features
+    of a row are many times its text, so they are counted where they are made."""
     counts: tuple[Counter, Counter] = (Counter(), Counter())
 
     def summed() -> Iterator[pa.RecordBatch]:
@@ -326,15 +328,11 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for seen in counts:
             seen.clear()
 
-    for batch in batches:
-        for at in range(0, batch.num_rows, COUNT_ROWS):
-            part = batch.slice(at, COUNT_ROWS)
-            for label in (0, 1):
-                own = part.column("features").filter(pc.equal(part.column("label"), label))
-                found = pc.value_counts(own.flatten())
-                names, times = found.field("values").to_pylist(), found.field("counts").to_pylist()
-                for name, n in zip(names, times, strict=True):
-                    counts[label][name] += n
+    for batch in slices(batches, "text", SLICE_BYTES // 4):
+        texts, labels = batch.column("text").to_pylist(), batch.column("label").to_pylist()
+        for text, label in zip(texts, labels, strict=True):
+            if label in (0, 1):
+                counts[label].update(word_features(text))
             if len(counts[0]) + len(counts[1]) > COUNTED:
                 yield from summed()
     yield from summed()
@@ -347,7 +345,7 @@ def _learn_stems(sample: DataFrame) -> dict[str, float]:
     if not n1 or not n0:
         return {}
     counts = (
-        sample.select("label", "features")
+        sample.select("label", "text")
         .mapInArrow(lean(_count_features), "feature string, pos long, neg long")
         .groupBy("feature")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
@@ -412,19 +410,16 @@ def fit_toxicity(
     """Learn from ``labels`` (doc_id, label 0 or 1) over ``docs`` (doc_id, text), from at most
     ``sample_rows`` of them."""
     sample = stage(labelled_sample(docs, labels, sample_rows), "toxic-sample")
-    words = stage(
-        sample.select("doc_id", F.col("label").cast("int").alias("label"), "text").mapInArrow(
-            lean(_word_features), "doc_id long, label int, family long, features array<string>"
-        ),
-        "toxic-words",
-    )
+    numbered = sample.select("doc_id", F.col("label").cast("int").alias("label"), "text")
+    families = numbered.mapInArrow(lean(_families), "doc_id long, label int, family long")
     # of near copies the one with the smallest id
-    firsts = words.groupBy("family", "label").agg(F.min("doc_id").alias("doc_id"))
-    once = stage(words.join(firsts, ["family", "label", "doc_id"]), "toxic-once")
+    firsts = stage(
+        families.groupBy("family", "label").agg(F.min("doc_id").alias("doc_id")), "toxic-once"
+    )
+    once = numbered.join(firsts.select("doc_id"), "doc_id", "left_semi")
     stems = _learn_stems(once)
     rows = (
-        sample.join(once.select("doc_id"), "doc_id", "left_semi")
-        .select(F.col("label").cast("int").alias("label"), "text")
+        once.select("label", "text")
         .mapInArrow(_feature_batches(stems), "label int, features array<double>")
         .collect()  # at most sample_rows rows of six numbers
     )

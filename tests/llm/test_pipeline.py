@@ -125,3 +125,16 @@ def test_query_covers_its_table(spark, duck, name):
     table = "embeddings" if name.startswith("op3") else "documents"
     ids = duck.execute(f"SELECT {key} FROM {table}").fetchall()
     assert sorted((r[key],) for r in out) == sorted(ids)
+
+
+def test_texts_go_to_python_in_small_batches(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        for given, kept in (("10000", "1000"), ("0", "1000"), ("50", "50")):
+            spark.conf.set(setting, given)
+            corpus_pipeline.encode(spark, docs, folder)
+            assert spark.conf.get(setting) == kept
+    finally:
+        spark.conf.set(setting, before)

@@ -101,3 +101,24 @@ def test_odd_rows(spark, documents):
         assert by_id[1] == by_id[2] == by_id[None] == by_id[5] < by_id[3]
     empty = df.limit(0)
     assert T.score_toxicity(empty, T.fit_toxicity(empty, nothing)).collect() == []
+
+
+def test_features_are_counted_where_they_are_made(spark, monkeypatch):
+    rng = random.Random(3)
+    odd = iter(["".join(rng.choices("aeioubdglmnrst", k=9)) for _ in range(240)])
+    rows = [
+        (i, f"{next(odd)} {next(odd)} {'grobl' if i % 2 else 'plain'} {next(odd)} {next(odd)}", i % 2)
+        for i in range(60)
+    ]
+    # copies count once, and a row without words has features of its own
+    rows += [(100 + i, rows[1][1], 1) for i in range(5)] + [(200, "", 0), (201, None, 1)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, label int")
+    staged, stage = {}, T.stage
+    monkeypatch.setattr(T, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    stems = T.fit_toxicity(docs, labels).stems
+    # a row's features are many times its text: no table and no Python worker is given them
+    assert staged and not any("features" in df.columns for df in staged.values())
+    assert "=grobl" in stems and "=plain" not in stems
+    # 31 toxic rows and 31 others are left; all but the one without a text have the word
+    assert stems["=grobl"] == pytest.approx(math.log(30.5 / 1.5) - math.log(0.5 / 31.5))
