@@ -7,10 +7,11 @@ pieces is a merge, ordered by the score of the whole.
 
 Pieces never cross from a character into a space marker if no piece of the model does; then
 texts are cut there first, which changes no result, and each distinct word of a batch is
-encoded once. The cut is made only for models where this holds.
+encoded once, many new ones as one string. The cut is made only for models where this holds.
 
 Words are encoded in batches by several threads. Parity with the sentencepiece library and the
-way back through the decoder are verified for every text as a whole. Where the two libraries
+way back through the decoder are verified for every text as a whole, one text at a time, as
+the tasks already keep the cores busy. Where the two libraries
 differ the ids of sentencepiece are returned and the row says so; round_trip says whether the
 ids decode to the normalised text.
 
@@ -43,10 +44,8 @@ THREADS = 2
 MAX_MODEL_BYTES = 32 * 1024 * 1024
 # Words remembered between batches, and the longest that are.
 CACHED_WORDS, LONG_WORD = 400_000, 64
-# Words encoded at a time; an encoding takes about a kilobyte.
-WORDS_AT_ONCE = 8_192
-# Texts that are compared with sentencepiece at a time; their ids are lists of numbers.
-WHOLE_AT_ONCE = 32
+# Words encoded at a time, and as one string.
+WORDS_AT_ONCE, JOINED_WORDS = 8_192, 64
 DECODE_ROWS = 200
 
 # Kinds of pieces and of models in the file format.
@@ -200,6 +199,11 @@ class Encoder:
         self.prefix = MARKER if model.dummy_prefix else ""
         self.by_word = model.escape_spaces and stays_in_words(model)
         self.words = re.compile(f"{MARKER}*[^{MARKER}]+|{MARKER}+" if self.by_word else "(?s).+")
+        self.splits = self.by_word and self.plain and model.dummy_prefix
+        self.joins = self.by_word and model.kind == BPE and model.byte_fallback
+        self.piece_bytes = np.array(
+            [1 if kind == BYTE else len(piece.encode()) for piece, _, kind in model.pieces]
+        )
         self.known: dict[str, bytes] = {}
         # words of texts of which the libraries disagree
         self.other: set[str] = set()
@@ -210,6 +214,11 @@ class Encoder:
         return self.normalizer.normalize_str(text)
 
     def cut(self, text: str) -> list[str]:
+        if self.splits and text and MARKER not in text:  # the same words, without a pattern
+            marked = MARKER + text.replace(" ", f" {MARKER}")
+            while f"{MARKER} {MARKER}" in marked:
+                marked = marked.replace(f"{MARKER} {MARKER}", MARKER * 2)
+            return marked.split(" ")
         return self.words.findall(self.normalize(text))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
@@ -217,39 +226,66 @@ class Encoder:
 
     def encode_words(self, cut: list[list[str]]) -> list[bytes]:
         """Packed ids of texts given as their words."""
+        here = set(chain.from_iterable(cut))
         if len(self.known) > self.cached_words:
-            self.known.clear()
+            # what these texts hold again is the likeliest to come once more
+            self.known = {word: self.known[word] for word in here.intersection(self.known)}
             self.other.clear()
-        new = list(set(chain.from_iterable(cut)).difference(self.known))
+        new = list(here.difference(self.known))
         for at in range(0, len(new), WORDS_AT_ONCE):
             words = new[at : at + WORDS_AT_ONCE]
-            encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-            self.known.update(zip(words, (_packed(e.ids) for e in encoded), strict=True))
+            self.known.update(zip(words, self.encode_new(words), strict=True))
         packed = [b"".join(map(self.known.__getitem__, words)) for words in cut]
         for word in new:
             if len(word) > LONG_WORD:
                 del self.known[word]
         return packed
 
-    def encode_verified(self, texts: list[str], threads: int) -> tuple[list, list, list]:
+    def encode_new(self, words: list[str]) -> list[bytes]:
+        """Packed ids of words as ``cut`` gives them. Words that begin with a marker and end
+        without one keep their pieces apart, so many of them are encoded as one string; the
+        bytes of the pieces tell where each ends. If an end lies within a piece, and for other
+        words and models, each word is encoded on its own."""
+        found: dict[str, bytes] = {}
+        joined = [w for w in words if w[0] == MARKER != w[-1]] if self.joins else []
+        if joined:
+            texts = [
+                "".join(joined[at : at + JOINED_WORDS])
+                for at in range(0, len(joined), JOINED_WORDS)
+            ]
+            encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            ids = np.array(list(chain.from_iterable(e.ids for e in encoded)), np.int32)
+            reached = np.cumsum(self.piece_bytes[ids])
+            ends = np.cumsum([len(w.encode()) for w in joined])
+            last = np.searchsorted(reached, ends)
+            if reached[-1] == ends[-1] and (reached[last] == ends).all():
+                packed, cuts = ids.tobytes(), ((last + 1) * ids.itemsize).tolist()
+                starts = [0, *cuts[:-1]]
+                for word, start, end in zip(joined, starts, cuts, strict=True):
+                    found[word] = packed[start:end]
+        rest = [w for w in words if w not in found]
+        alone = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        found.update(zip(rest, (_packed(e.ids) for e in alone), strict=True))
+        return [found[w] for w in words]
+
+    def encode_verified(self, texts: list[str], _threads: int = 1) -> tuple[list, list, list]:
         """Packed ids, parity and round trip per text, each compared as a whole."""
         cut = [self.cut(text) for text in texts]
         packed = self.encode_words(cut)
         parity, round_trip = [], []
-        for at in range(0, len(texts), WHOLE_AT_ONCE):
-            some = texts[at : at + WHOLE_AT_ONCE]
-            reference = self.processor.encode(some, num_threads=threads)
-            back = self.tokenizer.decode_batch(reference, skip_special_tokens=False)
+        for i, text in enumerate(texts):
+            reference = self.processor.encode(text, return_type="numpy")
+            back = self.tokenizer.decode(reference.tolist(), skip_special_tokens=False)
             if self.model.charsmap:
                 wanted = self.processor.decode(reference)
             else:
-                wanted = [_expected(text, self.model) for text in some]
-            round_trip += [decoded == text for decoded, text in zip(back, wanted, strict=True)]
-            for i, own in enumerate(map(_packed, reference), at):
-                parity.append(packed[i] == own)
-                if not parity[i]:
-                    self.other.update(cut[i])
-                    packed[i] = own
+                wanted = _expected(text, self.model)
+            round_trip.append(back == wanted)
+            own = reference.tobytes()
+            parity.append(packed[i] == own)
+            if not parity[i]:
+                self.other.update(cut[i])
+                packed[i] = own
         return packed, parity, round_trip
 
 

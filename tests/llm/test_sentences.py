@@ -114,3 +114,37 @@ def test_broken_or_large_files(tmp_path, documents, monkeypatch):
     monkeypatch.setattr(S, "MAX_MODEL_BYTES", 1)
     with pytest.raises(ValueError, match="larger"):
         S.encode_documents(documents([(1, "a")]), model_path=str(broken))
+
+
+def test_joined_words_and_split_texts_change_nothing():
+    data = Path(S.MODEL).read_bytes()
+    model = S.parse_model(data)
+    encoder, alone = S.Encoder(model), S.Encoder(model)
+    alone.joins = False
+    texts = [*ODD, *random_texts(), " a", "a ", "a    b", "  ", "é  \n x"]
+    for text in texts:
+        assert encoder.cut(text) == encoder.words.findall(encoder.normalize(text))
+    words = sorted({word for text in texts for word in encoder.cut(text)})
+    given = []
+
+    class Counting:
+        def encode_batch_fast(self, batch, **options):
+            given.extend(batch)
+            return alone.tokenizer.encode_batch_fast(batch, **options)
+
+    encoder.tokenizer = Counting()
+    assert encoder.encode_new(words) == alone.encode_new(words)
+    assert len(given) < len(words) / 4
+    # where the pieces do not tell the ends of the words, each word is encoded on its own
+    given.clear()
+    encoder.piece_bytes = encoder.piece_bytes + 1
+    assert encoder.encode_new(words) == alone.encode_new(words)
+    assert set(words) <= set(given) | {"".join(words)}
+
+
+def test_words_that_come_again_stay_remembered():
+    encoder = S.Encoder(S.parse_model(Path(S.MODEL).read_bytes()), cached_words=2)
+    encoder.encode(["one two three"])
+    encoder.known["▁two"] = S._packed([1])  # as a sign that it is not encoded again
+    assert encoder.encode(["two four"])[0][0] == 1
+    assert set(encoder.known) == {"▁two", "▁four"}
