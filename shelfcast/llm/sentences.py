@@ -165,6 +165,7 @@ def build_tokenizer(model: Model):
             unk_token=model.pieces[unknown][0],
             fuse_unk=True,
             byte_fallback=model.byte_fallback,
+            cache_capacity=0,  # the encoder remembers words itself
         )
     else:
         raise ValueError("only unigram and merge models are supported")
@@ -226,20 +227,19 @@ class Encoder:
 
     def encode_words(self, cut: list[list[str]]) -> list[bytes]:
         """Packed ids of texts given as their words."""
-        here = set(chain.from_iterable(cut))
+        here = dict.fromkeys(chain.from_iterable(cut))
+        for word in here.keys() & self.known.keys():
+            here[word] = self.known[word]
         if len(self.known) > self.cached_words:
             # what these texts hold again is the likeliest to come once more
-            self.known = {word: self.known[word] for word in here.intersection(self.known)}
+            self.known = {word: ids for word, ids in here.items() if ids is not None}
             self.other.clear()
-        new = list(here.difference(self.known))
+        new = [word for word, ids in here.items() if ids is None]
         for at in range(0, len(new), WORDS_AT_ONCE):
             words = new[at : at + WORDS_AT_ONCE]
-            self.known.update(zip(words, self.encode_new(words), strict=True))
-        packed = [b"".join(map(self.known.__getitem__, words)) for words in cut]
-        for word in new:
-            if len(word) > LONG_WORD:
-                del self.known[word]
-        return packed
+            here.update(zip(words, self.encode_new(words), strict=True))
+        self.known.update((word, here[word]) for word in new if len(word) <= LONG_WORD)
+        return [b"".join(map(here.__getitem__, words)) for words in cut]
 
     def encode_new(self, words: list[str]) -> list[bytes]:
         """Packed ids of words as ``cut`` gives them. Words that begin with a marker and end
@@ -273,15 +273,16 @@ class Encoder:
         cut = [self.cut(text) for text in texts]
         packed = self.encode_words(cut)
         parity, round_trip = [], []
-        for i, text in enumerate(texts):
-            reference = self.processor.encode(text, return_type="numpy")
+        # one library after the other, as each has tables that should stay in the cache
+        references = [self.processor.encode(text, return_type="numpy") for text in texts]
+        for text, reference in zip(texts, references, strict=True):
             back = self.tokenizer.decode(reference.tolist(), skip_special_tokens=False)
             if self.model.charsmap:
                 wanted = self.processor.decode(reference)
             else:
                 wanted = _expected(text, self.model)
             round_trip.append(back == wanted)
-            own = reference.tobytes()
+        for i, own in enumerate(map(np.ndarray.tobytes, references)):
             parity.append(packed[i] == own)
             if not parity[i]:
                 self.other.update(cut[i])
